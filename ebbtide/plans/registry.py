@@ -12,7 +12,7 @@ from ebbtide.operators import explore, features
 from ebbtide.operators.evaluation import confusion, evaluate
 from ebbtide.plans import churn, training
 from ebbtide.plans.ingest import enrich
-from ebbtide.schema import LOG_SCHEMA, RAW_SCHEMA
+from ebbtide.schema import LOG_SCHEMA, PARTITION_COLUMN, RAW_SCHEMA
 from ebbtide.session import scratch_path
 from ebbtide.sources.event_log import PAGES, event_log, raw_log, read_events, with_item_position
 from ebbtide.sources.json_log import read_log_json, split_bad_records
@@ -27,12 +27,17 @@ RANGE = LogFilter(start="2024-01-01T00:00:00Z", end="2024-12-31T23:59:59Z")
 LAKE_START, LAKE_END = "2024-01-01", "2024-01-30"
 
 
+def serving_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log as the panels see it; ``date`` is a key of the lake, not a log column."""
+    return event_log(spark, sf_dir).drop(PARTITION_COLUMN)
+
+
 def on_log(operator: Callable[..., DataFrame], *args, **kwargs) -> Query:
-    return lambda spark, sf_dir: operator(event_log(spark, sf_dir), *args, **kwargs)
+    return lambda spark, sf_dir: operator(serving_log(spark, sf_dir), *args, **kwargs)
 
 
 def on_users(operator: Callable[..., DataFrame], *args, **kwargs) -> Query:
-    return lambda spark, sf_dir: operator(with_user(event_log(spark, sf_dir)), *args, **kwargs)
+    return lambda spark, sf_dir: operator(with_user(serving_log(spark, sf_dir)), *args, **kwargs)
 
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,8 +45,8 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_log(with_item_position(read_events(spark, sf_dir))).select(*RAW_SCHEMA.names)
 
 
-def timestamps(df: DataFrame) -> DataFrame:
-    return df.select("event_id", "timestamp", "registration_timestamp", "date")
+def timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return event_log(spark, sf_dir).select("event_id", "timestamp", "registration_timestamp", "date")
 
 
 def user_agent_facets(df: DataFrame) -> DataFrame:
@@ -63,7 +68,7 @@ def lake_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sql_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    register_views(spark, event_log(spark, sf_dir), "api_logs")
+    register_views(spark, serving_log(spark, sf_dir), "api_logs")
     return spark.sql(
         "SELECT level, gender, count(*) AS value FROM api_logs WHERE status = 404 "
         "GROUP BY level, gender"
@@ -154,7 +159,7 @@ def all_queries() -> dict[str, Query]:
         "churn_features": on_log(fused_features),
         "churn_features_joined": on_log(churn.churn_features_joined, PAGES),
         "user_agent_facets": on_log(user_agent_facets),
-        "log_timestamps": on_log(timestamps),
+        "log_timestamps": timestamps,
         "lake_roundtrip": lake_roundtrip,
         "json_roundtrip": json_roundtrip,
         "hash_split": on_users(hash_split),

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -14,7 +12,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -27,6 +25,10 @@ TRAIN_SHARE = 0.8
 SPLIT_STEPS = 10_000
 CLASSIFIERS = ("dt", "rf", "lr", "svc")
 HIDDEN_LAYERS = (5, 4)
+COMPARISON = (
+    "classifier string, weighted_f1 double, f1_churn double, accuracy double, "
+    "tn bigint, fp bigint, fn bigint, tp bigint"
+)
 
 
 def feature_columns(features: DataFrame) -> list[str]:
@@ -51,7 +53,7 @@ def random_split(
     return train, test
 
 
-def in_train(train_share: float = TRAIN_SHARE) -> F.Column:
+def in_train(train_share: float = TRAIN_SHARE) -> Column:
     step = F.conv(F.substring(F.md5(USER), 1, 7), 16, 10).cast("bigint") % SPLIT_STEPS
     return step < round(train_share * SPLIT_STEPS)
 
@@ -94,21 +96,22 @@ def compare(
     """Train and evaluate classifiers on one split, one result row each.
 
     The feature frame is written once, so neither fits nor evaluations go back to the log;
-    the assembled training rows are persisted for the iterative fits only.
+    the assembled training rows are persisted for the iterative fits only. One row of
+    metrics per classifier comes to the driver.
     """
     stored = materialize(features, "features")
     columns = feature_columns(stored)
     train_rows, test_rows = hash_split(assemble(stored))
     train_rows = train_rows.select("features", "churn").persist(StorageLevel.MEMORY_AND_DISK)
+    results = []
     try:
-        models = {kind: classifier(kind, len(columns), seed).fit(train_rows) for kind in kinds}
+        for kind in kinds:
+            model = classifier(kind, len(columns), seed).fit(train_rows)
+            metrics = evaluate(model.transform(test_rows)).first()
+            results.append((kind, *metrics))
     finally:
         train_rows.unpersist()
-    results = [
-        evaluate(model.transform(test_rows)).select(F.lit(kind).alias("classifier"), "*")
-        for kind, model in models.items()
-    ]
-    return reduce(DataFrame.unionByName, results)
+    return features.sparkSession.createDataFrame(results, COMPARISON)
 
 
 def align_features(features: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,14 +21,25 @@ def read_log_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.schema(JSON_SCHEMA).options(**JSON_OPTIONS).json(path)
 
 
-def bad_reason(df: DataFrame):
-    """Why a line cannot be used, NULL for a good one."""
+def any_field() -> Column:
+    """Some field as text, NULL if there is none; text fields first, which need no cast."""
+    fields = sorted(RAW_SCHEMA.fields, key=lambda f: (f.dataType != T.StringType(), f.name != "page"))
+    return F.coalesce(*[F.col(f.name).cast("string") for f in fields])
+
+
+def bad_reason(df: DataFrame) -> Column:
+    """Why a line cannot be used, NULL for a good one.
+
+    The reader judges only the fields it is asked for, so the test for empty lines, which
+    looks at every field, also keeps the verdict the same whatever columns are used later.
+    """
     malformed = F.col(CORRUPT_COLUMN).isNotNull() if CORRUPT_COLUMN in df.columns else F.lit(False)
     bad_registration = (
         F.col("registration").isNotNull() & timestamp_from_ms(F.col("registration")).isNull()
     )
     return (
         F.when(malformed, "malformed")
+        .when(any_field().isNull(), "empty")
         .when(F.col("ts").isNull(), "missing ts")
         .when(timestamp_from_ms(F.col("ts")).isNull(), "unusable ts")
         .when(bad_registration, "unusable registration")
