@@ -9,13 +9,16 @@ short enough for the JIT compiler (8000 bytes of bytecode).
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
-from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def quoted(text: str) -> str:
+    """SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 @dataclass(frozen=True)
 class Family:
     """One family: the user agent holds any of ``any_of`` and all of ``all_of``.
@@ -29,17 +32,16 @@ class Family:
     marker: str = ""
     device: str = ""
 
-    def matches(self, agent: Column) -> Column:
-        test = reduce(or_, [agent.contains(text) for text in self.any_of])
-        return reduce(and_, [agent.contains(text) for text in self.all_of], test)
-
-    def value(self) -> Column:
-        return F.struct(
-            F.lit(self.name).alias("name"),
-            F.lit(self.marker).alias("marker"),
-            F.lit(self.device).alias("device"),
+    def condition(self, agent: str) -> str:
+        any_of = " OR ".join(f"contains({agent}, {quoted(text)})" for text in self.any_of)
+        return " AND ".join(
+            [f"({any_of})", *[f"contains({agent}, {quoted(text)})" for text in self.all_of]]
         )
 
+    def value(self) -> str:
+        name, marker, device = map(quoted, (self.name, self.marker, self.device))
+        return f"named_struct('name', {name}, 'marker', {marker}, 'device', {device})"
+
 
 OTHER = Family("Other")
 
@@ -77,13 +79,10 @@ DEFAULT_RULES = Rules(
 )
 
 
-def _first_match(agent: Column, families: tuple[Family, ...]) -> Column:
+def _first_match(agent: str, families: tuple[Family, ...]) -> Column:
     """Struct of the first matching family; NULL for a NULL or blank user agent."""
-    first, *rest = families
-    chain = F.when(first.matches(agent), first.value())
-    for family in rest:
-        chain = chain.when(family.matches(agent), family.value())
-    return F.when(F.length(agent) > 0, chain.otherwise(OTHER.value()))
+    rules = " ".join(f"WHEN {f.condition(agent)} THEN {f.value()}" for f in families)
+    return F.expr(f"CASE WHEN length({agent}) > 0 THEN CASE {rules} ELSE {OTHER.value()} END END")
 
 
 def _version(agent: Column, rule: Column) -> Column:
@@ -97,8 +96,8 @@ def with_user_agent(df: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     agent, browser, system = F.col("userAgent"), F.col("_browser"), F.col("_system")
     matched = df.withColumns(
         {
-            "_browser": _first_match(agent, rules.browsers),
-            "_system": _first_match(agent, rules.systems),
+            "_browser": _first_match("userAgent", rules.browsers),
+            "_system": _first_match("userAgent", rules.systems),
         }
     )
     return matched.withColumns(

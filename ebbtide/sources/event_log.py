@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ebbtide.plans.ingest import enrich
@@ -41,73 +41,49 @@ PAGES = (
 )
 
 
-def _text(column: Column) -> Column:
-    return column.cast("string")
-
-
-def _page(kind: Column, k: Column, user: Column) -> Column:
-    rest = k % 10
-    return (
-        F.when(kind == "click", "NextSong")
-        .when(kind == "error", "Error")
-        .when(kind == "signup", F.when(k % 2 == 0, "Upgrade").otherwise("Submit Upgrade"))
-        .when(
-            kind == "view",
-            F.when(k % 4 == 0, "Home")
-            .when(k % 4 == 1, "Help")
-            .when(k % 4 == 2, "Thumbs Up")
-            .otherwise("Add Friend"),
-        )
-        .when((user % 5 == 0) & (rest == 0), "Submit Downgrade")
-        .when((user % 7 == 0) & (rest == 1), "Cancellation Confirmation")
-        .when(rest == 2, "Downgrade")
-        .when(rest == 3, "Cancel")
-        .otherwise("Add to Playlist")
-    )
+PAGE = """
+CASE event_type
+  WHEN 'click' THEN 'NextSong'
+  WHEN 'error' THEN 'Error'
+  WHEN 'signup' THEN if(k % 2 = 0, 'Upgrade', 'Submit Upgrade')
+  WHEN 'view' THEN CASE k % 4 WHEN 0 THEN 'Home' WHEN 1 THEN 'Help'
+                              WHEN 2 THEN 'Thumbs Up' ELSE 'Add Friend' END
+  ELSE CASE WHEN user_id % 5 = 0 AND k % 10 = 0 THEN 'Submit Downgrade'
+            WHEN user_id % 7 = 0 AND k % 10 = 1 THEN 'Cancellation Confirmation'
+            WHEN k % 10 = 2 THEN 'Downgrade'
+            WHEN k % 10 = 3 THEN 'Cancel'
+            ELSE 'Add to Playlist' END
+END"""
 
 
 def raw_log(events: DataFrame) -> DataFrame:
     """``event_id`` and the raw fields, row by row; ``itemInSession`` if it was added."""
-    user, kind, value = F.col("user_id"), F.col("event_type"), F.col("value")
-    k, ms, page = F.col("k"), F.col("ms"), F.col("page")
-    song = page == "NextSong"
-    agent = F.element_at(
-        F.array(*[F.lit(a) for a in USER_AGENTS]), (user % len(USER_AGENTS)).cast("int") + 1
-    )
-    base = (
-        events.withColumns(
-            {
-                "k": F.regexp_extract("props", "([0-9]+)", 1).cast("int"),
-                "ms": F.unix_millis(F.col("ts").cast("timestamp")),
-            }
-        )
-        .withColumn("page", _page(kind, F.col("k"), user))
-    )
     items = [name for name in ("itemInSession",) if name in events.columns]
-    return base.select(
+    agents = ", ".join(f"'{agent}'" for agent in USER_AGENTS)
+    base = events.selectExpr(
+        "*",
+        "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k",
+        "unix_millis(CAST(ts AS TIMESTAMP)) AS ms",
+    ).withColumn("page", F.expr(PAGE))
+    return base.selectExpr(
         "event_id",
         *items,
-        F.when(song, F.concat(F.lit("artist_"), _text(k % 20))).alias("artist"),
-        F.floor(ms / SESSION_MS).cast("int").alias("sessionId"),
-        F.when(k == 98, "").when(k != 99, _text(user)).alias("userId"),
-        F.concat(F.lit("city_"), _text(user % 10)).alias("location"),
-        F.when(page == "Error", 404).when(k % 8 == 0, 307).otherwise(200).alias("status"),
-        F.when(k != 97, agent).alias("userAgent"),
-        F.concat(F.lit("Last_"), _text(user % 50)).alias("lastName"),
-        F.when(kind.isin("view", "error"), "GET").otherwise("PUT").alias("method"),
-        F.when(k != 99, (F.lit(1514764800000) + user * 86400000).cast("double")).alias(
-            "registration"
-        ),
-        F.when(song, F.concat(F.lit("song_"), _text(k))).alias("song"),
-        F.when(value < 110, "free").otherwise("paid").alias("level"),
-        ms.cast("double").alias("ts"),
-        F.concat(F.lit("First_"), _text(user % 30)).alias("firstName"),
-        F.when(song, value.cast("float")).alias("length"),
-        F.when(k >= 98, "Logged Out")
-        .when(k % 25 == 0, "Guest")
-        .otherwise("Logged In")
-        .alias("auth"),
-        F.when(k != 99, F.when(user % 5 < 3, "M").otherwise("F")).alias("gender"),
+        "if(page = 'NextSong', concat('artist_', k % 20), NULL) AS artist",
+        f"CAST(floor(ms / {SESSION_MS}) AS INT) AS sessionId",
+        "CASE WHEN k = 98 THEN '' WHEN k != 99 THEN CAST(user_id AS STRING) END AS userId",
+        "concat('city_', user_id % 10) AS location",
+        "CASE WHEN page = 'Error' THEN 404 WHEN k % 8 = 0 THEN 307 ELSE 200 END AS status",
+        f"if(k != 97, element_at(array({agents}), CAST(user_id % 8 AS INT) + 1), NULL) AS userAgent",
+        "concat('Last_', user_id % 50) AS lastName",
+        "if(event_type IN ('view', 'error'), 'GET', 'PUT') AS method",
+        "if(k != 99, CAST(1514764800000 + user_id * 86400000 AS DOUBLE), NULL) AS registration",
+        "if(page = 'NextSong', concat('song_', k), NULL) AS song",
+        "if(value < 110, 'free', 'paid') AS level",
+        "CAST(ms AS DOUBLE) AS ts",
+        "concat('First_', user_id % 30) AS firstName",
+        "if(page = 'NextSong', CAST(value AS FLOAT), NULL) AS length",
+        "CASE WHEN k >= 98 THEN 'Logged Out' WHEN k % 25 = 0 THEN 'Guest' ELSE 'Logged In' END AS auth",
+        "if(k != 99, if(user_id % 5 < 3, 'M', 'F'), NULL) AS gender",
         "page",
     )
 

@@ -134,3 +134,9 @@ def test_user_filter(spark):
     df = log(spark, [{"userId": None}, {"userId": ""}, {"userId": " "}, {"userId": "7"}])
     assert with_user(df).count() == 3
     assert [r.userId for r in with_user(df, drop_blank=True).collect()] == ["7"]
+
+
+def test_rule_texts_are_quoted(spark):
+    rules = Rules((Family("It's", ("o'b\\c",), marker="c/"),), DEFAULT_RULES.systems)
+    row = with_user_agent(agents(spark, "o'b\\c/1.2"), rules).first()
+    assert (row.userAgent_browser_family, row.userAgent_browser_version) == ("It's", "1.2")
