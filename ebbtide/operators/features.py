@@ -33,6 +33,8 @@ OS_PATTERNS = {
 DEVICES = ("mobile", "pc", "tablet")
 
 MAX_PAGES = 10_000
+# Above this many pages a counter per page and row costs more than counting by key.
+WIDE_PAGES = 50
 
 
 def churn_event() -> Column:
@@ -104,8 +106,12 @@ def page_counts(pages: Sequence[str | None]) -> dict[str, Column]:
 def page_views(df: DataFrame, pages: Sequence[str | None] | None = None) -> DataFrame:
     """Views per user and page; ``pages`` spares the discovery pass over the log."""
     pages = discover_pages(df) if pages is None else pages
-    counts = [count.alias(name) for name, count in page_counts(pages).items()]
-    return df.groupBy(USER).agg(*counts) if counts else df.select(USER).distinct()
+    named = feature_pages(pages)
+    if not named:
+        return df.select(USER).distinct()
+    if len(named) > WIDE_PAGES:
+        return df.groupBy(USER).pivot("page", list(named.values())).count().fillna(0)
+    return df.groupBy(USER).agg(*[count.alias(name) for name, count in page_counts(pages).items()])
 
 
 def avg_songs_per_session(df: DataFrame) -> DataFrame:

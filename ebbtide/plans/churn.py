@@ -12,6 +12,11 @@ from ebbtide.operators import features as ft
 from ebbtide.operators.features import SESSION, USER
 from ebbtide.schema import SONG_PAGE
 
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 FLAG_NAMES = (
     *ft.BROWSER_PATTERNS,
     *ft.OS_PATTERNS,
@@ -29,11 +34,14 @@ def churn_features(
 
     Sessions are summed up first, next to the distinct artists of each session, and both
     meet in one aggregation per user. The wide aggregates thus shuffle one row per session;
-    only the three narrow columns of the artist count shuffle at song grain.
+    only the three narrow columns of the artist count shuffle at song grain. A very wide
+    page vocabulary is counted by key on its own and joined, one row per user.
     """
     df = with_user(df, drop_blank)
     pages = ft.discover_pages(df) if pages is None else pages
-    counts = ft.page_counts(pages)
+    named = ft.feature_pages(pages)
+    wide = len(named) > ft.WIDE_PAGES
+    counts = {} if wide else ft.page_counts(pages)
     flags = ft.browser_flags() | ft.os_flags(ios_pattern)
     for device in ft.DEVICES:
         flags |= ft.device_flags(device)
@@ -53,7 +61,7 @@ def churn_features(
         .select(USER, F.lit(1).cast("bigint").alias("artists"))
     )
     both = sessions.drop(SESSION).unionByName(artists, allowMissingColumns=True)
-    return both.groupBy(USER).agg(
+    fused = both.groupBy(USER).agg(
         F.max("churn").alias("churn"),
         *[F.coalesce(F.sum(f"p{i}"), F.lit(0)).alias(name) for i, name in enumerate(counts)],
         F.coalesce(F.avg(F.nullif("songs", F.lit(0))), F.lit(0.0)).alias("avg_songs_per_session"),
@@ -63,6 +71,10 @@ def churn_features(
         ).alias("avg_num_artists_per_session"),
         *[F.coalesce(F.max(name), F.lit(0)).alias(name) for name in FLAG_NAMES],
     )
+    if not wide:
+        return fused
+    rest = fused.drop(USER, "churn").columns
+    return fused.join(ft.page_views(df, pages), USER).select(USER, "churn", *map(quoted, named), *rest)
 
 
 def join_families(labels: DataFrame, families: Sequence[DataFrame]) -> DataFrame:

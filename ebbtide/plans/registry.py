@@ -166,6 +166,7 @@ def all_queries() -> dict[str, Query]:
         "metrics": lambda spark, sf_dir: evaluate(label_predictions(spark, sf_dir)),
         "confusion": lambda spark, sf_dir: confusion(label_predictions(spark, sf_dir)),
         "compare_classifiers": on_log(lambda df: training.compare(fused_features(df))),
+        "compare_mlp": on_log(lambda df: training.compare(fused_features(df), ("mlp",))),
         "score_users": on_log(score),
         "stream_ingest": stream_ingest,
         "stream_series": stream_series,

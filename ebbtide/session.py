@@ -15,6 +15,8 @@ def build_session(app_name: str = "ebbtide", master: str | None = None, **conf)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # The JVM never compiles methods over 8000 bytes: let Spark split such stages.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         # Recording a call site per column costs more than planning the query.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )

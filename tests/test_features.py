@@ -105,6 +105,20 @@ def test_odd_page_names(spark):
     assert row["a.b`c"] == row["song's"] == row["p0"] == 1
 
 
+def test_wide_vocabulary_is_counted_by_key(spark, sf_dir, monkeypatch):
+    df = event_log(spark, sf_dir)
+    odd = F.when(F.col("event_id") % 50 == 0, None).when(F.col("event_id") % 50 == 1, "a.b")
+    df = df.withColumn("page", odd.otherwise(F.col("page")))
+    narrow = churn_features(df)
+    expected = sorted(narrow.collect(), key=repr)
+    monkeypatch.setattr(ft, "WIDE_PAGES", 3)
+    wide = churn_features(df)
+    assert "null" in wide.columns and "a.b" in wide.columns
+    assert wide.columns == narrow.columns
+    assert sorted(wide.collect(), key=repr) == expected
+    same(churn_features(df, PAGES), churn_features_joined(df, PAGES))
+
+
 def test_no_feature_pages(spark):
     df = log(spark, [{"page": "Cancel"}])
     assert one(churn_features(df))["churn"] == 0

@@ -131,7 +131,7 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     source, lake, bad = (str(tmp_path / n) for n in ("in", "lake", "bad"))
 
     def run():
-        for query in ingest_stream(spark, source, lake, str(tmp_path / "checkpoint"), bad):
+        for query in ingest_stream(spark, source, lake, str(tmp_path / "checkpoint"), bad, 1):
             query.awaitTermination()
         return read_lake(spark, lake).count(), spark.read.json(bad).count()
 

@@ -43,7 +43,9 @@ def test_query_equals_sql(spark, sf_dir, name):
 
 def test_every_statement_has_a_query():
     assert set(oracle_statements()) <= set(all_queries())
-    assert set(all_queries()) - set(oracle_statements()) == {"compare_classifiers", "score_users"}
+    assert set(all_queries()) - set(oracle_statements()) == {
+        "compare_classifiers", "compare_mlp", "score_users",
+    }
 
 
 def test_entry(spark):
