@@ -2,24 +2,16 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ebbtide.functions.timestamps import with_timestamps
 from ebbtide.functions.user_agent import with_user_agent
-from ebbtide.schema import CORRUPT_COLUMN
-from ebbtide.sources.json_log import bad_reason, bad_records, read_log_json
+from ebbtide.sources.json_log import read_log_json, split_bad_records
 from ebbtide.sources.lake import write_lake
 
 
-@dataclass(frozen=True)
-class IngestReport:
-    good: int
-    bad: int
-
-
 def enrich(raw: DataFrame) -> DataFrame:
     """Raw rows to log rows: pure column work, no shuffle."""
     return with_user_agent(with_timestamps(raw))
@@ -32,22 +24,16 @@ def ingest(
     quarantine: str | None = None,
     stripe_size: int | None = None,
     rebalance: bool = True,
-) -> IngestReport:
-    """Write good lines to ``lake`` and bad ones, with their reason, to ``quarantine``.
+) -> int | None:
+    """Write good lines to ``lake``; with ``quarantine`` also the bad ones, with their reason.
 
-    Lines are counted while they are written. The input is parsed a second time only if
-    there were bad lines and they are wanted.
+    Bad lines of a run go to a ``run=`` folder of their own and their number is returned.
+    Setting them aside parses the input a second time, so it is done on request only.
     """
-    lines = read_log_json(spark, source)
-    seen = Observation("ingest")
-    judged = lines.withColumn("reason", bad_reason(lines)).observe(
-        seen,
-        F.count_if(F.col("reason").isNull()).alias("good"),
-        F.count_if(F.col("reason").isNotNull()).alias("bad"),
-    )
-    good = judged.where(F.col("reason").isNull()).drop("reason", CORRUPT_COLUMN)
+    good, bad = split_bad_records(read_log_json(spark, source))
     write_lake(enrich(good), lake, stripe_size, rebalance)
-    report = IngestReport(**seen.get)
-    if quarantine and report.bad:
-        bad_records(lines).write.mode("append").json(quarantine)
-    return report
+    if quarantine is None:
+        return None
+    folder = f"{quarantine.rstrip('/')}/run={uuid.uuid4().hex}"
+    bad.write.json(folder)
+    return spark.read.text(folder).count()

@@ -59,12 +59,14 @@ def test_missing_source_is_fatal(spark, tmp_path):
         read_log_json(spark, str(tmp_path / "nowhere"))
 
 
-def test_ingest_reports_and_quarantines(spark, tmp_path):
+def test_ingest_quarantines_and_counts(spark, tmp_path):
     source = lines(tmp_path / "in", day(0), day(1), "not json", {"page": "Home"})
     lake, bad = str(tmp_path / "lake"), str(tmp_path / "bad")
-    report = ingest(spark, source, lake, quarantine=bad, stripe_size=64 * 1024)
-    assert (report.good, report.bad) == (2, 2)
-    assert spark.read.json(bad).count() == 2
+    assert ingest(spark, source, lake, quarantine=bad, stripe_size=64 * 1024) == 2
+    assert ingest(spark, source, lake, quarantine=bad) == 2
+    assert spark.read.json(bad).count() == 4
+    assert ingest(spark, lines(tmp_path / "good", day(1)), lake, quarantine=bad) == 0
+    assert ingest(spark, source, lake) is None
     df = read_lake(spark, lake)
     assert df.schema.names == LAKE_SCHEMA.names
     assert {r.date for r in df.collect()} == {dt.date(2018, 10, 1), dt.date(2018, 10, 2)}
