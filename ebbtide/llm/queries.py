@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import exact_dedup, packing, token_files, warc
+from ebbtide.llm import decontaminate, exact_dedup, ngram_join, packing, token_files, toxicity, url_filter, warc
 from ebbtide.llm.common import table
 from ebbtide.session import scratch_path
 
@@ -19,6 +19,39 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_sets(table(spark, sf_dir, "documents"))
+
+
+def _held_out(doc_id) -> Column:
+    return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(3)) == 1
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    found = toxicity.scored(docs, labels, ~_held_out(labels["doc_id"]), columns=["doc_id"])
+    return found.select(
+        "doc_id", _held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+URL_RULES = [
+    url_filter.Rule("block", "net", "/"),
+    url_filter.Rule("allow", "example.net", "/en/"),
+    url_filter.Rule("block", "example.com", "/de/"),
+    url_filter.Rule("allow", "org", "/fr/"),
+]
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path)
@@ -48,6 +81,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def operator_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
+        "op2_decontamination": op2_decontamination,
+        "op3_ngram_join": op3_ngram_join,
+        "op6_toxicity": op6_toxicity,
+        "op7_url_filter": op7_url_filter,
         "op8_token_files": op8_token_files,
         "op9_warc": op9_warc,
         "op10_exact_dedup": op10_exact_dedup,
