@@ -1,11 +1,12 @@
 """Toxicity: gradient-boosted trees over dense features, calibrated isotonically.
 
-Lexicon. A word is toxic when it is in a short list of insults or when the labelled texts say so:
-it must occur in at least ``MIN_SHARE`` of the toxic ones and at most in 1 / ``MIN_LIFT`` of that
-share of the clean ones, each distinct text counted once. At most ``MAX_WORDS`` are learned.
+Lexicon. A short list of insults, and what the labelled texts mark: words and word beginnings of 4
+to 7 letters whose share among toxic texts exceeds that among clean ones ``MIN_LIFT`` times and by
+``MIN_SCORE`` standard errors, each distinct text counted once. Their weight is the logarithm of
+that ratio; at most ``MAX_FORMS`` are kept. Inflected words of any language are met by beginnings.
 
-Features of a text, all computed over the whole of it (``FEATURES``): densities of lexicon words,
-of distinct ones, of those near a second-person word and of disguised ones (swapped characters,
+Features of a text, all computed over the whole of it (``FEATURES``): densities of insults and of
+learned weights, distinct hits, hits near a second-person word and of disguised ones (swapped characters,
 stretched letters, separators, spelt with blanks), rates of capitals and punctuation, length.
 
 Model. Trees are boosted on a bounded sample of labelled rows (``MAX_ROWS``, chosen by a hash of
@@ -46,13 +47,15 @@ SECOND_PERSON = (
 DISGUISES = {"0": "o", "1": "i", "!": "i", "|": "i", "3": "e", "4": "a", "@": "a", "5": "s", "$": "s", "7": "t", "+": "t"}
 
 FEATURES = (
-    "hits", "hits_per_100", "distinct", "disguised_per_100", "addressed_per_100", "second_person_per_100",
+    "hits", "hits_per_100", "distinct", "weight_per_100", "weighted", "weighted_distinct", "disguised_per_100", "addressed_per_100", "second_person_per_100",
     "capitals", "shouted_words", "marks", "exclamations", "log_words",
 )
 NEAR = 3  # words between an insult and a second-person word
-MAX_WORDS = 500
+STEMS = (4, 5, 6, 7)  # letters of a word beginning
+MAX_FORMS = 500
 MAX_ROWS = 20_000
-MIN_SHARE, MIN_LIFT, MIN_TEXTS = 0.08, 20, 5
+MIN_LIFT, MIN_SCORE, MIN_TEXTS = 4, 5, 5
+TOP_WEIGHT = 6.0
 THRESHOLD = 0.7
 CACHE_ENTRIES = 500_000
 
@@ -65,20 +68,30 @@ _SWAPS = str.maketrans(DISGUISES)
 class Reader:
     """Turns texts into features, with a bounded cache of what words are."""
 
-    PLAIN, TOXIC, DISGUISED, ADDRESS = 1, 2, 3, 4
+    PLAIN, TOXIC, DISGUISED, ADDRESS, WEIGHTED = 1, 2, 3, 4, 5
 
-    def __init__(self, lexicon: frozenset[str]):
-        self._lexicon, self._address = lexicon, frozenset(SECOND_PERSON)
-        self._known: dict[str, tuple[int, str]] = {}
+    def __init__(self, forms: tuple[tuple[str, float], ...]):
+        self._lexicon, self._address = frozenset(INSULTS), frozenset(SECOND_PERSON)
+        self._weights = dict(forms)
+        self._known: dict[str, tuple[int, str, float]] = {}
 
-    def _new(self, word: str) -> tuple[int, str]:
+    def _weight(self, word: str) -> float:
+        get = self._weights.get
+        return max([get(word, 0.0), *[get(word[:n] + "*", 0.0) for n in STEMS if len(word) >= n]])
+
+    def _new(self, word: str) -> tuple[int, str, float]:
         plain = _EDGES.sub("", word.lower())
+        weight = self._weight(plain)
         if plain in self._lexicon:
-            found = (self.TOXIC, plain)
+            found = (self.TOXIC, plain, max(weight, TOP_WEIGHT / 2))
+        elif weight:
+            found = (self.WEIGHTED, plain, weight)
         elif plain in self._address or _INSIDE.sub("", plain) in self._address:
-            found = (self.ADDRESS, plain)
+            found = (self.ADDRESS, plain, 0.0)
+        elif hidden := self._hidden(word.lower()):
+            found = (self.DISGUISED, hidden, TOP_WEIGHT / 2)
         else:
-            found = (self.DISGUISED, hidden) if (hidden := self._hidden(word.lower())) else (self.PLAIN, "")
+            found = (self.PLAIN, "", 0.0)
         if len(word) <= 64:
             if len(self._known) >= CACHE_ENTRIES:
                 self._known.clear()
@@ -115,10 +128,11 @@ class Reader:
             return [0.0] * len(FEATURES)
         get, new = self._known.get, self._new
         kinds = [get(word) or new(word) for word in words]
-        marked = [(k, kind, form) for k, (kind, form) in enumerate(kinds) if kind != self.PLAIN]
-        bad = [(k, form) for k, kind, form in marked if kind in (self.TOXIC, self.DISGUISED)]
-        disguised = sum(kind == self.DISGUISED for _, kind, _ in marked)
-        address = [k for k, kind, _ in marked if kind == self.ADDRESS]
+        marked = [(k, *kind) for k, kind in enumerate(kinds) if kind[0] != self.PLAIN]
+        bad = [(k, form) for k, kind, form, _ in marked if kind in (self.TOXIC, self.DISGUISED)]
+        weighted = [form for _, _, form, weight in marked if weight]
+        disguised = sum(kind == self.DISGUISED for _, kind, _, _ in marked)
+        address = [k for k, kind, _, _ in marked if kind == self.ADDRESS]
         spelt = self._spelt(words) if sum(len(word) == 1 for word in words) >= 3 else []
         near, at = 0, 0
         for k, _ in bad:
@@ -132,6 +146,7 @@ class Reader:
         shouted = sum(map(str.isupper, words))
         return [
             float(min(hits, 20)), 100.0 * hits / n, float(len({form for _, form in bad} | set(spelt))),
+            100.0 * sum(weight for *_, weight in marked) / n, float(min(len(weighted), 50)), float(len(set(weighted))),
             100.0 * (disguised + len(spelt)) / n, 100.0 * near / n, 100.0 * len(address) / n,
             capitals / letters if letters else 0.0, shouted / n, marks / len(text), text.count("!") / n,
             float(n).__pow__(0.25),
@@ -143,8 +158,8 @@ _NO_CAPITALS = {c: None for c in range(65, 91)}
 
 
 @lru_cache(maxsize=2)
-def _reader(lexicon: frozenset[str]) -> Reader:
-    return Reader(lexicon)
+def _reader(forms: tuple[tuple[str, float], ...]) -> Reader:
+    return Reader(forms)
 
 
 def sample(labels: DataFrame, id_col: str, label_col: str, training: Column, max_rows: int) -> DataFrame:
@@ -155,8 +170,8 @@ def sample(labels: DataFrame, id_col: str, label_col: str, training: Column, max
     return written(usable.orderBy(F.xxhash64("sample_id"), "sample_id", "label").limit(max_rows), "sample")
 
 
-def learn_lexicon(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str) -> frozenset[str]:
-    """The insults and the words that the sampled texts mark as toxic."""
+def learn_forms(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str) -> tuple[tuple[str, float], ...]:
+    """Words, and word beginnings with a ``*``, that the sampled texts mark as toxic, with weights."""
     texts = docs.select(docs[id_col].alias("sample_id"), docs[text_col].alias("text")).join(
         F.broadcast(chosen), "sample_id"
     )
@@ -164,28 +179,36 @@ def learn_lexicon(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str
     totals = {r["label"]: r["n"] for r in texts.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     toxic, clean = totals.get(1.0, 0), totals.get(0.0, 0)
     if not toxic or not clean:
-        return frozenset(INSULTS)
-    word = F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}]{3,30})"), F.lit(1))))
-    bad = F.sum("label")
-    counts = texts.select(word.alias("word"), "label").groupBy("word").agg(
-        bad.alias("bad"), (F.count(F.lit(1)) - bad).alias("good")
+        return ()
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}]{3,30})"), F.lit(1)))
+    stems = [
+        F.transform(F.filter("words", lambda w, n=n: F.length(w) >= n), lambda w, n=n: F.concat(F.substring(w, 1, n), F.lit("*")))
+        for n in STEMS
+    ]
+    forms = texts.select("label", words.alias("words")).select(
+        "label", F.explode(F.array_distinct(F.concat("words", *stems))).alias("form")
     )
-    share, other = F.col("bad") / toxic, (F.col("good") + 0.5) / clean
+    counts = forms.groupBy("form").agg(F.sum("label").alias("bad"), F.sum(1 - F.col("label")).alias("good"))
+    share, other = F.col("bad") / toxic, F.col("good") / clean
+    pooled = (F.col("bad") + F.col("good")) / (toxic + clean)
+    score = (share - other) / F.sqrt(pooled * (1 - pooled) * (1 / toxic + 1 / clean))
+    lift = share / ((F.col("good") + 0.5) / clean)
     best = (
-        counts.where((F.col("bad") >= MIN_TEXTS) & (share >= MIN_SHARE) & (share >= MIN_LIFT * other))
-        .orderBy(F.desc("bad"), "word").limit(MAX_WORDS)
+        counts.where((F.col("bad") >= MIN_TEXTS) & (lift >= MIN_LIFT) & (pooled < 1) & (score >= MIN_SCORE))
+        .select("form", F.least(F.log(lift), F.lit(TOP_WEIGHT)).alias("weight"), score.alias("score"))
+        .orderBy(F.desc("score"), "form").limit(MAX_FORMS)
     )
-    return frozenset(INSULTS) | {r["word"] for r in best.select("word").collect()}
+    return tuple(sorted((r["form"], r["weight"]) for r in best.select("form", "weight", "score").collect()))
 
 
-def with_features(docs: DataFrame, lexicon: frozenset[str], text_col: str, name: str) -> DataFrame:
+def with_features(docs: DataFrame, forms: tuple[tuple[str, float], ...], text_col: str, name: str) -> DataFrame:
     """``docs`` with one more column, the array of :data:`FEATURES`."""
     import pyarrow as pa
 
     place = docs.columns.index(text_col)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = _reader(lexicon).features
+        features = _reader(forms).features
         for batch in batches:
             found = pa.array([features(text.as_py()) for text in batch.column(place)], pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*batch.schema.names, name])
@@ -208,9 +231,9 @@ def scored(
     columns = columns or docs.columns
     if len(kinds) < 2:
         return docs.select(*columns).withColumn(score_col, F.lit(float(next(iter(kinds), 0.0))))
-    lexicon = learn_lexicon(docs, chosen, id_col, text_col)
+    forms = learn_forms(docs, chosen, id_col, text_col)
     labelled = docs.select(docs[id_col].alias("sample_id"), docs[text_col].alias("text")).join(F.broadcast(chosen), "sample_id")
-    rows = with_features(labelled, lexicon, "text", "features").select(
+    rows = with_features(labelled, forms, "text", "features").select(
         "sample_id", "label", array_to_vector("features").alias("features")
     )
     rows = written(rows.repartition(6, "sample_id"), "features")
@@ -222,7 +245,7 @@ def scored(
         chance(rows.where(held), "features")
     )
     name = free_name(docs.columns, "features")
-    found = with_features(docs.select(*dict.fromkeys([*columns, text_col])), lexicon, text_col, name)
+    found = with_features(docs.select(*dict.fromkeys([*columns, text_col])), forms, text_col, name)
     found = found.select(*columns, array_to_vector(name).alias(name))
     # The model's function gives the same step for the same input on every row.
     calibrated = steps.transform(chance(found, name))
