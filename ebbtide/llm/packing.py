@@ -105,8 +105,8 @@ def cut(
         seen = [0] * (capacity + 1)
         for batch in batches:
             ids, rows, size = batch.column(0), ([], [], [], [], [], []), 0
-            for at, text in enumerate(batch.column(1)):
-                tokens = encode(text.as_py()) + end
+            for at, tokens in enumerate(encode(text.as_py() for text in batch.column(1))):
+                tokens += end
                 total = len(tokens) // 4
                 for start in range(0, total, capacity):
                     piece = tokens[4 * start : 4 * (start + capacity)]

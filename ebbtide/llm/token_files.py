@@ -156,8 +156,8 @@ def write_token_files(
         encode, end, task = encoder(file).encode, end_id.to_bytes(4, "little"), TaskContext.get().partitionId()
         ids, lengths, parts, total, number = [], [], [], 0, 0
         for batch in batches:
-            for doc, text in zip(batch.column(0), batch.column(1)):
-                tokens = encode(text.as_py()) + end
+            for doc, tokens in zip(batch.column(0), encode(text.as_py() for text in batch.column(1))):
+                tokens += end
                 ids.append(doc.as_py())
                 lengths.append(len(tokens) // 4)
                 parts.append(tokens)

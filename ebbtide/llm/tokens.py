@@ -1,67 +1,85 @@
 """Exact token ids of a byte-level BPE with a word cache.
 
 Byte-level BPE starts a new piece at every blank that follows a visible character, so a text can
-be cut there and each chunk encoded alone. Chunks repeat, so their ids are cached; pieces that
-the library's own pre-tokeniser finds inside a new chunk are cached too. Both caches are dropped
-when they are full, so a worker's memory is bounded. The ids are those of
+be cut there and each word, with the blank before it, encoded alone. Words repeat, so their ids
+are cached and only new words go to the tokenizers library, many in one call. A text with blanks
+in a row goes there whole. The cache has two generations: a full one becomes the old one, so
+frequent words survive and a worker's memory is bounded. The ids are those of
 ``encode(text, add_special_tokens=False)`` with special strings read as ordinary text.
 """
 
 from __future__ import annotations
 
-import re
-import struct
+import os
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
-CACHE_ENTRIES = 400_000
-LONG_CHUNK = 64
+import numpy as np
+
+CACHE_ENTRIES = 600_000  # of one generation
+LONG_WORD = 64
+GROUP_CHARS = 2_000_000
 
 
 class WordCachedEncoder:
     def __init__(self, path: str, entries: int = CACHE_ENTRIES):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task per core
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
-        self._model, self._cut = tokenizer.model, tokenizer.pre_tokenizer.pre_tokenize_str
-        self._chunks: dict[str, bytes] = {}
-        self._pieces: dict[str, bytes] = {}
+        self._tokenizer = Tokenizer.from_file(path)
+        self._tokenizer.encode_special_tokens = True
+        self._young: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
         self._entries = entries
-        self._risky = re.compile(r"\s |^ ")
-        self._edges = re.compile(r"(?<=\S)(?= )")
-
-    def _piece(self, piece: str) -> bytes:
-        ids = self._pieces.get(piece)
-        if ids is None:
-            found = [token.id for token in self._model.tokenize(piece)]
-            ids = struct.pack(f"<{len(found)}I", *found)
-            if len(piece) <= LONG_CHUNK:
-                if len(self._pieces) >= self._entries:
-                    self._pieces.clear()
-                self._pieces[piece] = ids
-        return ids
-
-    def _chunk(self, chunk: str) -> bytes:
-        ids = self._chunks.get(chunk)
-        if ids is None:
-            ids = b"".join([self._piece(piece) for piece, _ in self._cut(chunk)])
-            if len(chunk) <= LONG_CHUNK:
-                if len(self._chunks) >= self._entries:
-                    self._chunks.clear()
-                self._chunks[chunk] = ids
-        return ids
-
-    def encode(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
-        if not text:
-            return b""
-        if self._risky.search(text):  # blanks in a run belong together
-            return b"".join([self._chunk(chunk) for chunk in self._edges.split(text)])
-        first, *rest = text.split(" ")
-        known = self._chunks
-        return self._chunk(first) + b"".join(
-            [known.get(chunk) or self._chunk(chunk) for chunk in [f" {word}" for word in rest]]
-        )
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(one.ids, "<u4").tobytes() for one in found]
+
+    def _learn(self, words: set[str]) -> None:
+        """Puts ``words`` into the young generation."""
+        if len(self._young) >= self._entries:
+            self._old, self._young = self._young, {}
+        new = []
+        for word in words.difference(self._young):
+            ids = self._old.get(word)
+            if ids is None:
+                new.append(word)
+            else:
+                self._young[word] = ids
+        self._young.update(zip(new, self._ids([f" {word}" for word in new])))
+
+    def _group(self, texts: list[str]) -> list[bytes]:
+        split = [text.split(" ") for text in texts]
+        words = set().union(*[parts[1:] for parts in split])
+        # A word that ends in white space, or none, means that blanks belong together there.
+        risky = {word for word in words if not word or word[-1].isspace()}
+        long = {word for word in words if len(word) > LONG_WORD}
+        first = self._ids([parts[0] for parts in split])
+        self._learn(words - risky - long)
+        known, out = self._young, []
+        for text, start, parts in zip(texts, first, split):
+            rest = parts[1:]
+            if (risky and not risky.isdisjoint(rest)) or (rest and (not parts[0] or parts[0][-1].isspace())):
+                out.append(self._ids([text])[0])
+            else:
+                ids = list(map(known.get, rest))
+                if long:  # kept out of the cache
+                    ids = [self._ids([f" {word}"])[0] if one is None else one for one, word in zip(ids, rest)]
+                out.append(start + b"".join(ids))
+        return out
+
+    def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers."""
+        group, chars = [], 0
+        for text in texts:
+            group.append(text)
+            chars += len(text)
+            if chars > GROUP_CHARS:
+                yield from self._group(group)
+                group, chars = [], 0
+        if group:
+            yield from self._group(group)
 
 
 @lru_cache(maxsize=2)
