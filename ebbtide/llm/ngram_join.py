@@ -39,6 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ebbtide.llm.bloom import maybe_in
 from ebbtide.llm.common import arrow_map, id_and_text, type_name, written
 from ebbtide.llm.graph import components
 from ebbtide.llm.words import WordHashes, mixed
@@ -48,8 +49,6 @@ PERCENT = 80
 CELL_BITS = 20
 CELLS_A_ROW = 4096
 LEVELS = 4  # an octave
-FILTER_BITS = 32_768
-FILTER_BLOCKS = 4_096
 BATCH_BYTES = 8_000_000
 
 
@@ -184,31 +183,6 @@ def _node(tokens: np.ndarray) -> int | None:
     return value - (1 << 64) if value >> 63 else value
 
 
-def _bits_of(keys: DataFrame, key: str) -> DataFrame:
-    """A bitmap filter of bounded size (16 MB) over a key column: block, bits."""
-    block, position = _filter_place(F.col(key))
-    return written(
-        keys.select(block.alias("block"), position.cast("long").alias("position")).distinct()
-        .groupBy("block").agg(F.bitmap_construct_agg("position").alias("bits")),
-        "filter",
-    )
-
-
-def _filter_place(key):
-    mix = F.xxhash64(key)
-    return F.pmod(mix, F.lit(FILTER_BLOCKS)).cast("int"), F.pmod(F.shiftright(mix, 20), F.lit(FILTER_BITS)).cast("int")
-
-
-def _maybe_in(rows: DataFrame, key: str, bits: DataFrame) -> DataFrame:
-    """Rows whose key may be in the filter; the others certainly are not."""
-    block, position = _filter_place(F.col(key))
-    byte = F.conv(F.hex(F.substring("bits", position.bitwiseAND(~7) / 8 + 1, 1)), 16, 10).cast("int")
-    return (
-        rows.withColumn("block", block).join(F.broadcast(bits), "block")
-        .where(F.call_function("getbit", byte, position.bitwiseAND(7)) == 1).drop("block", "bits")
-    )
-
-
 def _token_sets(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """node, tokens of the wanted nodes: recomputed from the texts of the rows that may hold them."""
     import pyarrow as pa
@@ -234,7 +208,7 @@ def _token_sets(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
             names=["node", "tokens"],
         )
 
-    near = _maybe_in(texts, "id", _bits_of(wanted, "id")).select("text")
+    near = maybe_in(texts, "id", wanted).select("text")
     sets = arrow_map(near, tokens, "node long, tokens array<long>")
     return sets.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
@@ -250,7 +224,7 @@ def _shared(sets: DataFrame) -> DataFrame:
         .where("low < high").select("signature"),
         "shared-signatures",
     )
-    near = _maybe_in(exploded, "signature", _bits_of(several, "signature"))
+    near = maybe_in(exploded, "signature", several, hashed=True)
     members = written(near.join(several, "signature", "left_semi").distinct(), "members")
     weights = members.groupBy("node").agg((F.count(F.lit(1)) / F.max("n")).alias("weight"))
     return written(members.join(weights, "node"), "weighted-members")
