@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import decontaminate, exact_dedup, ngram_join, packing, substring_dedup, token_files, toxicity, url_filter, warc
+from ebbtide.llm import decontaminate, exact_dedup, ngram_join, packing, substring_dedup, suffix_dedup, token_files, toxicity, url_filter, warc
 from ebbtide.llm.common import table
 from ebbtide.session import scratch_path
 
@@ -27,6 +27,14 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_sets(table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.removal(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup.removal(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -88,6 +96,7 @@ def operator_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_packing": op1_packing,
         "op2_decontamination": op2_decontamination,
         "op3_ngram_join": op3_ngram_join,
+        "op4_suffix_dedup": op4_suffix_dedup,
         "op5_substring_dedup": op5_substring_dedup,
         "op6_toxicity": op6_toxicity,
         "op7_url_filter": op7_url_filter,
