@@ -10,9 +10,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ebbtide.llm import exact_dedup, packing
-from ebbtide.llm.common import table, written
+from ebbtide.llm import decontaminate, exact_dedup, ngram_join, packing, toxicity
+from ebbtide.llm.common import free_name, table, written
+
+
+def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go. It learns from every labelled document."""
+    name = free_name(docs.columns, "score")
+    scored = toxicity.scored(docs, table(spark, sf_dir, "labels"), F.lit(True), score_col=name)
+    return scored.where(F.col(name) < toxicity.THRESHOLD).select(*docs.columns)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,13 +28,26 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return exact_dedup.drop_exact_copies(docs)
 
 
+def similar_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by a Jaccard similarity of 0.8 or more, the one with the smallest id stays."""
+    return ngram_join.drop_similar(docs)
+
+
+def leaked_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with ids, sequence and offset."""
     return packing.pack(docs).withColumnRenamed("id", "doc_id")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", toxic_documents),
     ("exact_dedup", exact_copies),
+    ("ngram_join", similar_documents),
+    ("decontamination", leaked_benchmarks),
     ("packing", packed),
 ]
 

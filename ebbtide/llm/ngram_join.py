@@ -39,8 +39,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbtide.llm.bloom import maybe_in
-from ebbtide.llm.common import arrow_map, id_and_text, type_name, written
+from ebbtide.llm.bloom import marked, maybe_in
+from ebbtide.llm.common import arrow_map, free_name, id_and_text, type_name, written
 from ebbtide.llm.graph import components
 from ebbtide.llm.words import WordHashes, mixed
 
@@ -330,10 +330,14 @@ def similar_sets(
 
 
 def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` with the smallest id of their component, one each, all columns.
+    """The rows of ``docs`` whose id is the smallest of their component, all columns.
 
-    Rows without words stay. The rows to drop, not the kept ones, are looked up by id.
+    Rows without words stay, rows of one id stay or go together. Only rows whose id may be among
+    those that go are shuffled.
     """
     found = written(similar_sets(docs, id_col, text_col, **options), "similar")
-    gone = found.where(F.col(id_col) != F.col("component_id")).select(id_col)
-    return docs.join(gone, id_col, "left_anti")
+    gone = found.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
+    flag = free_name(docs.columns, "maybe")
+    near = marked(docs, id_col, gone, flag)
+    stay = near.where(F.col(flag)).join(gone, id_col, "left_anti").select(*docs.columns)
+    return near.where(~F.col(flag)).select(*docs.columns).unionByName(stay)
