@@ -7,6 +7,7 @@ exactly by the caller.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -14,10 +15,12 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.llm.common import free_name, written
+from ebbtide.llm.common import arrow_map, free_name, written
 
 BLOCK_BITS = 13
 POSITION_BITS = 15
+BUCKET_BITS = 10
+FLUSH_ROWS = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -47,13 +50,66 @@ def filter_blocks(hashes: DataFrame, hashed: Column) -> DataFrame:
     return written(bits, "filter")
 
 
-def bits_of_hashes(hashes: DataFrame, column: str) -> Broadcast:
-    """The filter over a column of hashes, broadcast as :class:`FilterBits`."""
-    size = 1 << (POSITION_BITS - 3)
-    data = np.zeros((1 << BLOCK_BITS) * size, np.uint8)
-    for row in filter_blocks(hashes, F.col(column)).toLocalIterator():
-        data[row["block"] * size : (row["block"] + 1) * size] = np.frombuffer(row["bits"], np.uint8)
-    return hashes.sparkSession.sparkContext.broadcast(FilterBits(data))
+def hash_filter(rows: DataFrame, hashes_of: Callable[[Iterator], Iterable[np.ndarray]], least: int = 1) -> Broadcast:
+    """A filter over the hashes that ``hashes_of`` gives for the batches of a task.
+
+    ``least``: 1 for all hashes, 2 for those that occur at least twice. Tasks send 32 bits of each
+    distinct hash, in buckets; a bucket is made up in one task, which holds no more than its share.
+    """
+    import pyarrow as pa
+
+    rest_bits, bits_a_bucket = 64 - BUCKET_BITS - 32, BLOCK_BITS + POSITION_BITS - BUCKET_BITS
+
+    def distinct(batches):
+        held, size = [], 0
+        for found in hashes_of(batches):
+            held.append(found)
+            size += len(found)
+            if size > FLUSH_ROWS:
+                yield _buckets(np.concatenate(held))
+                held, size = [], 0
+        if size:
+            yield _buckets(np.concatenate(held))
+
+    def _buckets(keys):
+        keys, counts = np.unique(keys, return_counts=True)
+        rest = ((keys >> np.uint64(rest_bits)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        edges = np.searchsorted((keys >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), np.arange((1 << BUCKET_BITS) + 1))
+        number, once, again = zip(
+            *[
+                (k, rest[a:b].tobytes(), rest[a:b][counts[a:b] > 1].tobytes())
+                for k, (a, b) in enumerate(zip(edges[:-1], edges[1:])) if b > a
+            ]
+        )
+        return pa.RecordBatch.from_arrays(
+            [pa.array(number, pa.int64()), pa.array(once, pa.binary()), pa.array(again, pa.binary())],
+            names=["bucket", "once", "again"],
+        )
+
+    def bits(batches):
+        once, again = {}, {}
+        for batch in batches:
+            for bucket, a, b in zip(*[column.to_pylist() for column in batch.columns]):
+                once.setdefault(bucket, []).append(np.frombuffer(a, np.uint32))
+                again.setdefault(bucket, []).append(np.frombuffer(b, np.uint32))
+        for bucket in sorted(once):
+            found = np.concatenate(once.pop(bucket))
+            if least > 1:
+                found.sort()
+                found = np.concatenate([found[1:][found[1:] == found[:-1]], *again.pop(bucket)])
+            flags = np.zeros(1 << bits_a_bucket, np.uint8)
+            flags[found >> np.uint32(32 - bits_a_bucket)] = 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([bucket], pa.int64()), pa.array([np.packbits(flags, bitorder="little").tobytes()], pa.binary())],
+                names=["bucket", "bits"],
+            )
+
+    sent = arrow_map(rows, distinct, "bucket long, once binary, again binary").repartition("bucket")
+    size = 1 << (bits_a_bucket - 3)
+    data = np.zeros(size << BUCKET_BITS, np.uint8)
+    for row in written(arrow_map(sent, bits, "bucket long, bits binary"), "filter").toLocalIterator():
+        data[row["bucket"] * size : (row["bucket"] + 1) * size] = np.frombuffer(row["bits"], np.uint8)
+    return rows.sparkSession.sparkContext.broadcast(FilterBits(data))
 
 
 def marked(rows: DataFrame, key: str, keys: DataFrame, flag: str = "maybe", hashed: bool = False) -> DataFrame:

@@ -27,14 +27,14 @@ and loses nothing; null ids are kept; an empty table gives no rows; extra column
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.llm.bloom import FilterBits, bits_of_hashes, marked, maybe_in
+from ebbtide.llm.bloom import FilterBits, hash_filter, marked, maybe_in
 from ebbtide.llm.common import arrow_map, id_and_text, type_name, written
 from ebbtide.llm.words import WordHashes, mixed
 
@@ -71,30 +71,9 @@ def stretches(words: np.ndarray, size: int, step: int = 1) -> np.ndarray:
     return out[::step]
 
 
-def _columns(names: list[str], *columns: np.ndarray):
-    import pyarrow as pa
-
-    return pa.RecordBatch.from_arrays([pa.array(column.view(np.int64)) for column in columns], names=names)
-
-
-def _hash_rows(texts: DataFrame, hashes_of) -> DataFrame:
-    """One row a hash that ``hashes_of`` gives for a text's word hashes."""
-    import pyarrow as pa
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in batches:
-            for text in batch.column(0):
-                found = hashes_of(word_hashes(text.as_py()))
-                held.append(found)
-                size += len(found)
-                if size > FLUSH_ROWS:
-                    yield _columns(["hash"], np.concatenate(held))
-                    held, size = [], 0
-        if size:
-            yield _columns(["hash"], np.concatenate(held))
-
-    return arrow_map(texts.select("text"), rows, "hash long")
+def _hashes(texts_to: Callable[[np.ndarray], np.ndarray]) -> Callable[[Iterator], Iterator[np.ndarray]]:
+    """Hashes of the texts in batches, from their word hashes."""
+    return lambda batches: (texts_to(word_hashes(text.as_py())) for batch in batches for text in batch.column(0))
 
 
 def candidate_windows(words: np.ndarray, anchors: FilterBits, block: int, window: int) -> np.ndarray:
@@ -114,7 +93,7 @@ def repeated_windows(texts: DataFrame, window: int = WINDOW, block: int = BLOCK)
 
     if window < 2 * block - 1:
         raise ValueError("a window must hold a whole block wherever it lies")
-    index = bits_of_hashes(_hash_rows(texts, lambda words: stretches(words, block, block)), "hash")
+    index = hash_filter(texts.select("text"), _hashes(lambda words: stretches(words, block, block)))
 
     def probes(words: np.ndarray) -> np.ndarray:
         found = stretches(words, block)
@@ -122,8 +101,7 @@ def repeated_windows(texts: DataFrame, window: int = WINDOW, block: int = BLOCK)
         keep[::block] = True
         return found[keep]
 
-    several = _hash_rows(texts, probes).groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    anchors = bits_of_hashes(several.select("hash"), "hash")
+    anchors = hash_filter(texts.select("text"), _hashes(probes), least=2)
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -35,15 +35,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.llm.bloom import BLOCK_BITS, POSITION_BITS, FilterBits, marked
+from ebbtide.llm.bloom import hash_filter, marked
 from ebbtide.llm.common import arrow_map, id_and_text, type_name, written
 from ebbtide.llm.words import mixed
 
 LENGTH = 50
 ANCHOR = 26
 STRETCH_BYTES = 2_000_000
-FLUSH_ROWS = 2_000_000
-BUCKET_BITS = 10
+FLUSH_ROWS = 500_000
 SORT_BYTES = 8_000_000
 LAST = np.iinfo(np.int64).max
 MULTIPLIER = 0x9E3779B97F4A7C15
@@ -269,60 +268,7 @@ def _stretches(batches, length: int, anchor: int) -> Iterator[tuple[Stretch, np.
 
 def _shared_anchors(texts: DataFrame, length: int, anchor: int):
     """A broadcast filter of the anchors that occur at least twice."""
-    import pyarrow as pa
-
-    rest_bits = 64 - BUCKET_BITS - 32
-
-    def distinct(batches):
-        held, size = [], 0
-        for stretch, _, _ in _stretches(batches, length, anchor):
-            held.append(stretch.keys)
-            size += len(stretch.keys)
-            if size > FLUSH_ROWS:
-                yield _buckets(np.concatenate(held))
-                held, size = [], 0
-        if size:
-            yield _buckets(np.concatenate(held))
-
-    def _buckets(keys):
-        keys, counts = np.unique(keys, return_counts=True)
-        rest = ((keys >> np.uint64(rest_bits)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-        bucket = (keys >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
-        edges = np.searchsorted(bucket, np.arange((1 << BUCKET_BITS) + 1))
-        parts = [
-            (k, rest[a:b].tobytes(), rest[a:b][counts[a:b] > 1].tobytes())
-            for k, (a, b) in enumerate(zip(edges[:-1], edges[1:])) if b > a
-        ]
-        number, once, again = zip(*parts)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(number, pa.int64()), pa.array(once, pa.binary()), pa.array(again, pa.binary())],
-            names=["bucket", "once", "again"],
-        )
-
-    def repeated(batches):
-        once, again = {}, {}
-        for batch in batches:
-            for bucket, a, b in zip(*[column.to_pylist() for column in batch.columns]):
-                once.setdefault(bucket, []).append(np.frombuffer(a, np.uint32))
-                again.setdefault(bucket, []).append(np.frombuffer(b, np.uint32))
-        shift = np.uint32(32 - (BLOCK_BITS + POSITION_BITS - BUCKET_BITS))
-        for bucket in sorted(once):
-            values = np.sort(np.concatenate(once.pop(bucket)))
-            found = np.concatenate([values[1:][values[1:] == values[:-1]], *again.pop(bucket)])
-            bits = np.zeros(1 << (BLOCK_BITS + POSITION_BITS - BUCKET_BITS), np.uint8)
-            bits[found >> shift] = 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([bucket], pa.int64()), pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())],
-                names=["bucket", "bits"],
-            )
-
-    sent = arrow_map(texts, distinct, "bucket long, once binary, again binary").repartition("bucket")
-    size = 1 << (BLOCK_BITS + POSITION_BITS - BUCKET_BITS - 3)
-    data = np.zeros(size << BUCKET_BITS, np.uint8)
-    slices = written(arrow_map(sent, repeated, "bucket long, bits binary"), "anchors")
-    for row in slices.toLocalIterator():  # 32 MB in all, whatever the input
-        data[row["bucket"] * size : (row["bucket"] + 1) * size] = np.frombuffer(row["bits"], np.uint8)
-    return texts.sparkSession.sparkContext.broadcast(FilterBits(data))
+    return hash_filter(texts, lambda batches: (s.keys for s, _, _ in _stretches(batches, length, anchor)), least=2)
 
 
 SPAN_BITS = 8  # a span is its first byte and its size, in one number
@@ -360,7 +306,7 @@ def _context_rows(texts: DataFrame, shared, length: int, anchor: int) -> DataFra
             doc = stretch.doc[at]
             held.append((stretch.keys[at].view(np.int64), hashes.view(np.int64), owners[doc], keys[doc], _span(first, last)))
             size += len(at)
-            if size > FLUSH_ROWS // 4:
+            if size > FLUSH_ROWS:
                 yield _solve(held)
                 held, size = [], 0
         if size:

@@ -11,30 +11,29 @@ import xxhash
 CACHE_ENTRIES = 1_000_000
 
 
-class WordHashes:
+class WordHashes(dict):
     """Maps words to hashes of their normal form; words without one are dropped.
 
     ``normal`` gets a word (text or bytes) and returns the bytes of its normal form (b"" drops it).
     """
 
     def __init__(self, normal: Callable[[str | bytes], bytes], entries: int = CACHE_ENTRIES):
+        super().__init__()
         self._normal, self._entries = normal, entries
-        self._known: dict[str | bytes, int] = {}
 
-    def _new(self, word: str | bytes) -> int:
-        if len(self._known) >= self._entries:
-            self._known.clear()
+    def __missing__(self, word: str | bytes) -> int:
+        if len(self) >= self._entries:
+            self.clear()
         form = self._normal(word)
         # 0 marks a dropped word; a hash is never 0.
         value = (xxhash.xxh3_64_intdigest(form) or 1) if form else 0
         if len(word) <= 64:
-            self._known[word] = value
+            self[word] = value
         return value
 
     def hashes(self, words: list) -> np.ndarray:
         """One uint64 a word, 0 for dropped words."""
-        get, new = self._known.get, self._new
-        return np.array([get(word) or new(word) for word in words], np.uint64)
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
 _NOT_WORD = re.compile(r"[\W_]+")
