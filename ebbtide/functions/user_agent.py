@@ -23,7 +23,7 @@ def quoted(text: str) -> str:
 class Family:
     """One family: the user agent holds any of ``any_of`` and all of ``all_of``.
 
-    The version is what follows the last ``marker``; systems also tell the device kind.
+    The version is what follows the first ``marker``; systems also tell the device kind.
     """
 
     name: str
@@ -60,6 +60,13 @@ DEFAULT_RULES = Rules(
     browsers=(
         Family("IE", ("MSIE",), marker="MSIE "),
         Family("IE", ("Trident",), marker="rv:"),
+        Family("Edge", ("Edg/",), marker="Edg/"),
+        Family("Edge", ("Edge/",), marker="Edge/"),
+        Family("Edge Mobile", ("EdgA/",), marker="EdgA/"),
+        Family("Edge Mobile", ("EdgiOS/",), marker="EdgiOS/"),
+        Family("Opera", ("OPR/",), marker="OPR/"),
+        Family("Opera", ("Opera/",), ("Version/",), marker="Version/"),
+        Family("Opera", ("Opera/",), marker="Opera/"),
         Family("Firefox", ("Firefox/",), marker="Firefox/"),
         Family("Chrome Mobile iOS", ("CriOS/",), marker="CriOS/"),
         Family("Chrome Mobile", ("Chrome/",), ("Mobile",), marker="Chrome/"),
@@ -74,6 +81,7 @@ DEFAULT_RULES = Rules(
         Family("Android", ("Android",), marker="Android ", device="tablet"),
         Family("Windows", ("Windows",), marker="Windows NT ", device="pc"),
         Family("Mac OS X", ("Mac OS X",), marker="Mac OS X ", device="pc"),
+        Family("Chrome OS", ("CrOS",), device="pc"),
         Family("Linux", ("Linux",), device="pc"),
     ),
 )
@@ -86,9 +94,11 @@ def _first_match(agent: str, families: tuple[Family, ...]) -> Column:
 
 
 def _version(agent: Column, rule: Column) -> Column:
-    """Digits right after the marker; empty when there are none."""
-    tail = F.call_function("substring_index", agent, rule["marker"], F.lit(-1))
-    return F.regexp_extract(tail, "^[0-9._]+", 0)
+    """Digits right after the first marker; empty when there are none or no marker is there."""
+    start = F.call_function("locate", rule["marker"], agent)
+    tail = F.call_function("substring", agent, start + F.length(rule["marker"]), F.lit(32))
+    found = (start > 0) & (F.length(rule["marker"]) > 0)
+    return F.when(found, F.regexp_extract(tail, "^[0-9._]+", 0)).when(start.isNotNull(), F.lit(""))
 
 
 def with_user_agent(df: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:

@@ -7,12 +7,13 @@ all rows reaches the shuffle as one partial row per task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbtide.functions.filters import LogFilter
-from ebbtide.functions.timestamps import time_bucket
+from ebbtide.functions.timestamps import time_bucket, utc_day
 
 # Panel dimensions and the log columns behind them.
 DIMENSIONS = {
@@ -111,17 +112,21 @@ def free_vs_paid(df: DataFrame, interval: str = "1d", filters: LogFilter = LogFi
 
 
 def downgrades_vs_upgrades(
-    df: DataFrame, interval: str = "1d", pages: Sequence[str] = SERIES_PAGES
+    df: DataFrame,
+    interval: str = "1d",
+    pages: Sequence[str] = SERIES_PAGES,
+    filters: LogFilter = LogFilter(),
 ) -> DataFrame:
-    return time_counts(df, "page", interval, LogFilter(page=list(pages)))
+    """Series of ``pages``; the panel's own page selection narrows them further."""
+    chosen = [page for page in pages if filters.page is None or page in filters.page]
+    return time_counts(df, "page", interval, replace(filters, page=chosen))
 
 
 def weekday_counts(df: DataFrame, filters: LogFilter = LogFilter()) -> DataFrame:
-    """``(weekday, value)``, 1 is Sunday; buckets are UTC days."""
-    day = time_bucket(F.col("timestamp"), "1d")
+    """``(weekday, value)``, 1 is Sunday; days are UTC in any session zone."""
     return (
         filters.apply(df)
-        .groupBy(F.dayofweek(day).alias("weekday"))
+        .groupBy(F.dayofweek(utc_day(F.col("timestamp"))).alias("weekday"))
         .agg(F.count(F.lit(1)).alias("value"))
     )
 
@@ -145,9 +150,21 @@ def _panels(counts: DataFrame, *extra: str) -> DataFrame:
     )
 
 
-def value_distribution(df: DataFrame, filters: LogFilter = LogFilter()) -> DataFrame:
-    """All eight value-count panels from one scan: ``(panel, metric, value, percent)``."""
-    return _with_share(_panels(_combinations(filters.apply(df))), "panel")
+def value_distribution(
+    df: DataFrame, filters: LogFilter = LogFilter(), limits: dict[str, int] | None = None
+) -> DataFrame:
+    """All eight value-count panels from one scan: ``(panel, metric, value, percent)``.
+
+    ``limits`` keeps the largest slices of a panel (ties by name), such as
+    ``{"page": 50, "level": 50}``; shares stay shares of all rows.
+    """
+    shares = _with_share(_panels(_combinations(filters.apply(df))), "panel")
+    if not limits:
+        return shares
+    order = Window.partitionBy("panel").orderBy(F.desc("value"), F.col("metric").asc_nulls_last())
+    limit = F.coalesce(*[F.when(F.col("panel") == name, n) for name, n in limits.items()])
+    ranked = shares.withColumn("rank", F.row_number().over(order)).withColumn("limit", limit)
+    return ranked.where("limit IS NULL OR rank <= limit").drop("rank", "limit")
 
 
 def time_distribution(

@@ -33,8 +33,18 @@ OS_PATTERNS = {
 DEVICES = ("mobile", "pc", "tablet")
 
 MAX_PAGES = 10_000
-# Above this many pages a counter per page and row costs more than counting by key.
-WIDE_PAGES = 50
+
+# Columns of the feature frame beside the page counts.
+FRAME_COLUMNS = (
+    USER,
+    "churn",
+    "avg_songs_per_session",
+    "avg_session_duration_days",
+    "avg_num_artists_per_session",
+    *BROWSER_PATTERNS,
+    *OS_PATTERNS,
+    *[name for device in DEVICES for name in (f"uses_{device}", f"uses_non_{device}")],
+)
 
 
 def churn_event() -> Column:
@@ -82,36 +92,72 @@ def churn_labels(df: DataFrame) -> DataFrame:
     return df.groupBy(USER).agg(F.max(churn_event()).alias("churn"))
 
 
-def discover_pages(df: DataFrame) -> list[str | None]:
-    """Distinct pages, sorted; the vocabulary is checked to be small."""
-    rows = df.select("page").distinct().limit(MAX_PAGES + 1).collect()
-    if len(rows) > MAX_PAGES:
-        raise ValueError(f"more than {MAX_PAGES} distinct pages; pass the pages to count")
-    return sorted((row.page for row in rows), key=lambda page: (page is not None, page or ""))
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
-def feature_pages(pages: Sequence[str | None]) -> dict[str, str | None]:
-    """Output column to page, without the pages that give the label away."""
-    return {"null" if p is None else p: p for p in pages if p not in LEAKAGE_PAGES}
+def discover_pages(df: DataFrame, max_pages: int = MAX_PAGES) -> list[str | None]:
+    """Distinct pages, sorted, NULL first.
 
+    A log with more than ``max_pages`` pages raises an error; nothing is ever left out. Pages
+    that a caller passes are not bounded.
+    """
+    rows = df.select("page").distinct().limit(max_pages + 1).collect()
+    if len(rows) > max_pages:
+        raise ValueError(f"more than {max_pages} distinct pages; pass the pages or raise max_pages")
+    return sorted((row.page for row in rows), key=lambda page: (page is not None, page or ""))
 
-def page_counts(pages: Sequence[str | None]) -> dict[str, Column]:
-    page = F.col("page")
-    return {
-        name: F.count_if(page.isNull() if value is None else page == value)
-        for name, value in feature_pages(pages).items()
-    }
 
+def feature_pages(pages: Sequence[str | None]) -> dict[str, str | None]:
+    """Output column to page, without the pages that give the label away.
 
-def page_views(df: DataFrame, pages: Sequence[str | None] | None = None) -> DataFrame:
-    """Views per user and page; ``pages`` spares the discovery pass over the log."""
-    pages = discover_pages(df) if pages is None else pages
-    named = feature_pages(pages)
+    A column is called like its page, ``null`` for NULL. Names that differ from another column in
+    case only, or not at all, get a number, so every page keeps its own count.
+    """
+    taken = {name.lower() for name in FRAME_COLUMNS}
+    named: dict[str, str | None] = {}
+    for page in dict.fromkeys(pages):
+        if page in LEAKAGE_PAGES:
+            continue
+        base = name = "null" if page is None else page
+        number = 2
+        while name.lower() in taken:
+            name, number = f"{base} ({number})", number + 1
+        taken.add(name.lower())
+        named[name] = page
+    return named
+
+
+def page_column(column: Column, name: str, page: str | None) -> Column:
+    """``column`` under ``name``; the page itself travels as metadata, also through Parquet."""
+    return column.alias(name, metadata={"page": page, "is_page": True})
+
+
+def page_views(
+    df: DataFrame, pages: Sequence[str | None] | None = None, max_pages: int = MAX_PAGES
+) -> DataFrame:
+    """Views per user and page; ``pages`` spares the discovery pass over the log.
+
+    Counted by user and page and turned round afterwards: one plan for any number of pages. The
+    broadcast list holds the wanted pages only.
+    """
+    named = feature_pages(discover_pages(df, max_pages) if pages is None else pages)
     if not named:
         return df.select(USER).distinct()
-    if len(named) > WIDE_PAGES:
-        return df.groupBy(USER).pivot("page", list(named.values())).count().fillna(0)
-    return df.groupBy(USER).agg(*[count.alias(name) for name, count in page_counts(pages).items()])
+    wanted = df.sparkSession.createDataFrame(
+        list(zip(range(len(named)), named.values())), "place int, wanted string"
+    )
+    known = df.select(USER, "page").join(
+        F.broadcast(wanted), F.col("page").eqNullSafe(F.col("wanted")), "left"
+    )
+    counts = known.groupBy(USER).pivot("place", list(range(len(named)))).agg(F.count(F.lit(1)))
+    return counts.select(
+        USER,
+        *[
+            page_column(F.coalesce(quoted(str(place)), F.lit(0)), name, page)
+            for place, (name, page) in enumerate(named.items())
+        ],
+    )
 
 
 def avg_songs_per_session(df: DataFrame) -> DataFrame:

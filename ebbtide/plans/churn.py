@@ -13,10 +13,6 @@ from ebbtide.operators.features import SESSION, USER
 from ebbtide.schema import SONG_PAGE
 
 
-def quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 FLAG_NAMES = (
     *ft.BROWSER_PATTERNS,
     *ft.OS_PATTERNS,
@@ -29,26 +25,22 @@ def churn_features(
     pages: Sequence[str | None] | None = None,
     ios_pattern: str = ft.IOS_PATTERN,
     drop_blank: bool = False,
+    max_pages: int = ft.MAX_PAGES,
 ) -> DataFrame:
     """Label and features fused into two aggregation levels.
 
     Sessions are summed up first, next to the distinct artists of each session, and both
     meet in one aggregation per user. The wide aggregates thus shuffle one row per session;
-    only the three narrow columns of the artist count shuffle at song grain. A very wide
-    page vocabulary is counted by key on its own and joined, one row per user.
+    only the three narrow columns of the artist count shuffle at song grain. Pages are counted
+    by key and joined, one row per user on both sides, whatever their number.
     """
     df = with_user(df, drop_blank)
-    pages = ft.discover_pages(df) if pages is None else pages
-    named = ft.feature_pages(pages)
-    wide = len(named) > ft.WIDE_PAGES
-    counts = {} if wide else ft.page_counts(pages)
     flags = ft.browser_flags() | ft.os_flags(ios_pattern)
     for device in ft.DEVICES:
         flags |= ft.device_flags(device)
 
     sessions = df.groupBy(USER, SESSION).agg(
         F.max(ft.churn_event()).alias("churn"),
-        *[count.alias(f"p{i}") for i, count in enumerate(counts.values())],
         F.count_if(F.col("page") == SONG_PAGE).alias("songs"),
         ft.session_span().alias("span"),
         F.max(F.col("artist").isNotNull().cast("int")).alias("with_artist"),
@@ -63,7 +55,6 @@ def churn_features(
     both = sessions.drop(SESSION).unionByName(artists, allowMissingColumns=True)
     fused = both.groupBy(USER).agg(
         F.max("churn").alias("churn"),
-        *[F.coalesce(F.sum(f"p{i}"), F.lit(0)).alias(name) for i, name in enumerate(counts)],
         F.coalesce(F.avg(F.nullif("songs", F.lit(0))), F.lit(0.0)).alias("avg_songs_per_session"),
         F.coalesce(ft.days(F.avg("span")), F.lit(0.0)).alias("avg_session_duration_days"),
         F.coalesce(
@@ -71,10 +62,14 @@ def churn_features(
         ).alias("avg_num_artists_per_session"),
         *[F.coalesce(F.max(name), F.lit(0)).alias(name) for name in FLAG_NAMES],
     )
-    if not wide:
-        return fused
-    rest = fused.drop(USER, "churn").columns
-    return fused.join(ft.page_views(df, pages), USER).select(USER, "churn", *map(quoted, named), *rest)
+    return with_pages(fused, ft.page_views(df, pages, max_pages))
+
+
+def with_pages(frame: DataFrame, views: DataFrame) -> DataFrame:
+    """``frame`` with the page counts of the same users after its first two columns."""
+    first, rest = frame.columns[:2], frame.columns[2:]
+    pages = [F.col(ft.quoted(name)) for name in views.drop(USER).columns]
+    return frame.join(views, USER).select(*first, *pages, *rest)
 
 
 def join_families(labels: DataFrame, families: Sequence[DataFrame]) -> DataFrame:
@@ -94,13 +89,13 @@ def churn_features_joined(
     pages: Sequence[str | None] | None = None,
     ios_pattern: str = ft.IOS_PATTERN,
     drop_blank: bool = False,
+    max_pages: int = ft.MAX_PAGES,
 ) -> DataFrame:
     """The same frame put together from the single families."""
     df = with_user(df, drop_blank)
-    return join_families(
+    families = join_families(
         ft.churn_labels(df),
         [
-            ft.page_views(df, pages),
             ft.avg_songs_per_session(df),
             ft.avg_session_duration(df),
             ft.avg_artists_per_session(df),
@@ -109,3 +104,4 @@ def churn_features_joined(
             *[ft.device_usage(df, device) for device in ft.DEVICES],
         ],
     )
+    return with_pages(families, ft.page_views(df, pages, max_pages))

@@ -2,10 +2,43 @@
 
 from __future__ import annotations
 
-from ebbtide.operators import explore
-from ebbtide.plans.registry import LAKE_END, LAKE_START
-from ebbtide.schema import LEAKAGE_PAGES, LOG_SCHEMA, RAW_SCHEMA
-from ebbtide.sources.event_log import PAGES, USER_AGENTS
+# The statements state their own values, apart from the engine's, so that a wrong one shows.
+USER_AGENTS = (
+    "Mozilla/5.0 (Windows NT 6.1; WOW64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/36.0.1985.143 Safari/537.36",
+    "Mozilla/5.0 (Macintosh; Intel Mac OS X 10_9_4) AppleWebKit/537.77.4 (KHTML, like Gecko) Version/7.0.5 Safari/537.77.4",
+    "Mozilla/5.0 (Windows NT 6.1; WOW64; rv:31.0) Gecko/20100101 Firefox/31.0",
+    "Mozilla/5.0 (Windows NT 6.1; WOW64; Trident/7.0; rv:11.0) like Gecko",
+    "Mozilla/5.0 (iPhone; CPU iPhone OS 7_1_2 like Mac OS X) AppleWebKit/537.51.2 (KHTML, like Gecko) Version/7.0 Mobile/11D257 Safari/9537.53",
+    "Mozilla/5.0 (iPad; CPU OS 7_1_2 like Mac OS X) AppleWebKit/537.51.2 (KHTML, like Gecko) Version/7.0 Mobile/11D257 Safari/9537.53",
+    "Mozilla/5.0 (X11; Linux x86_64) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/36.0.1985.125 Safari/537.36",
+    "Mozilla/5.0 (Linux; Android 4.4.2; Nexus 5) AppleWebKit/537.36 (KHTML, like Gecko) Chrome/36.0.1985.131 Mobile Safari/537.36",
+)
+DIMENSIONS = {
+    "method": "method", "auth": "auth", "page": "page", "status": "status", "gender": "gender",
+    "level": "level", "browser": "userAgent_browser_family", "os": "userAgent_os_family",
+}
+OVERVIEW = {
+    "method": "method", "user_agent": "userAgent", "os": "userAgent_os_family", "page": "page",
+    "status": "status", "auth": "auth", "browser": "userAgent_browser_family", "gender": "gender",
+}
+VARIABLES = ("method", "status", "level", "auth", "page")
+FEATURE_PAGES = (
+    "Add Friend", "Add to Playlist", "Error", "Help", "Home", "NextSong", "Submit Upgrade", "Thumbs Up", "Upgrade",
+)
+RAW = (
+    "artist, sessionId, userId, location, status, userAgent, lastName, method, registration, song, level, "
+    "itemInSession, ts, firstName, length, auth, gender, page"
+)
+LAKE = (
+    "artist, sessionId, userId, location, status, userAgent, userAgent_browser_family, userAgent_browser_version, "
+    "userAgent_os_family, userAgent_os_version, userAgent_is_mobile, userAgent_is_pc, userAgent_is_tablet, lastName, "
+    "method, registration, registration_timestamp, song, level, itemInSession, ts, timestamp, firstName, length, "
+    "auth, gender, page"
+)
+FACETS = (
+    "userAgent_browser_family, userAgent_browser_version, userAgent_os_family, userAgent_os_version, "
+    "userAgent_is_mobile, userAgent_is_pc, userAgent_is_tablet"
+)
 
 AGENT_CASES = "\n".join(f"    WHEN {i} THEN '{a}'" for i, a in enumerate(USER_AGENTS))
 
@@ -99,15 +132,36 @@ logs AS (
 u AS (SELECT * FROM logs WHERE userId IS NOT NULL)
 """
 
+# The panels' log has NULLs in the five columns that panels select by.
+PANEL_LOGS = f"""{LOGS}, panel AS (
+  SELECT * REPLACE (
+    CASE WHEN event_id % 41 <> 0 THEN method END AS method,
+    CASE WHEN event_id % 43 <> 0 THEN status END AS status,
+    CASE WHEN event_id % 47 <> 0 THEN level END AS level,
+    CASE WHEN event_id % 53 <> 0 THEN auth END AS auth,
+    CASE WHEN event_id % 59 <> 0 THEN page END AS page)
+  FROM logs)
+"""
+
 SELECTIONS = (
     "method IS NOT NULL AND status IS NOT NULL AND level IS NOT NULL "
     "AND auth IS NOT NULL AND page IS NOT NULL"
 )
 PANEL = (
-    "timestamp BETWEEN TIMESTAMP '2024-01-01 00:00:00' AND TIMESTAMP '2024-12-31 23:59:59' "
+    "timestamp BETWEEN TIMESTAMP '2024-01-05 06:00:00' AND TIMESTAMP '2024-01-25 18:00:00' "
     f"AND {SELECTIONS}"
 )
-INTERVAL_MS = {"5m": 300_000, "1d": 86_400_000, "7d": 7 * 86_400_000, "30d": 30 * 86_400_000}
+INTERVAL_MS = {
+    "5m": 300_000, "10m": 600_000, "30m": 1_800_000, "1h": 3_600_000, "6h": 21_600_000, "12h": 43_200_000,
+    "1d": 86_400_000, "7d": 604_800_000, "14d": 1_209_600_000, "30d": 2_592_000_000,
+}
+CHOSEN = {
+    "method": "method IN ('GET')",
+    "status": "status IN (200, 307)",
+    "level": "level IN ('paid')",
+    "auth": "auth IN ('Guest', 'Logged Out')",
+    "page": "page IN ('Home', 'Help', 'NextSong', 'Submit Upgrade')",
+}
 
 
 def _bucket(interval: str) -> str:
@@ -116,30 +170,30 @@ def _bucket(interval: str) -> str:
 
 
 def _metric(dim: str) -> str:
-    return f"CAST({explore.DIMENSIONS[dim]} AS VARCHAR)"
+    return f"CAST({DIMENSIONS[dim]} AS VARCHAR)"
 
 
 def _counts(dim: str, where: str = PANEL, tail: str = "") -> str:
-    return f"""{LOGS}, c AS (
-      SELECT {_metric(dim)} AS metric, count(*) AS value FROM logs WHERE {where} GROUP BY 1)
+    return f"""{PANEL_LOGS}, c AS (
+      SELECT {_metric(dim)} AS metric, count(*) AS value FROM panel WHERE {where} GROUP BY 1)
     SELECT metric, value,
            CAST(value AS DOUBLE) * 100 / CAST(sum(value) OVER () AS BIGINT) AS percent
     FROM c {tail}"""
 
 
 def _series(dim: str, interval: str, where: str = PANEL) -> str:
-    return f"""{LOGS}
+    return f"""{PANEL_LOGS}
     SELECT {_bucket(interval)} AS time, {_metric(dim)} AS metric, count(*) AS value
-    FROM logs WHERE {where} GROUP BY 1, 2 ORDER BY 1"""
+    FROM panel WHERE {where} GROUP BY 1, 2 ORDER BY 1"""
 
 
 def _panels(where: str) -> str:
     parts = " UNION ALL ".join(
         f"SELECT '{dim}' AS panel, {_metric(dim)} AS metric, count(*) AS value "
-        f"FROM logs WHERE {where} GROUP BY 2"
-        for dim in explore.DIMENSIONS
+        f"FROM panel WHERE {where} GROUP BY 2"
+        for dim in DIMENSIONS
     )
-    return f"""{LOGS}, c AS ({parts})
+    return f"""{PANEL_LOGS}, c AS ({parts})
     SELECT panel, metric, value,
            CAST(value AS DOUBLE) * 100 / CAST(sum(value) OVER (PARTITION BY panel) AS BIGINT) AS percent
     FROM c"""
@@ -148,10 +202,10 @@ def _panels(where: str) -> str:
 def _time_panels() -> str:
     parts = " UNION ALL ".join(
         f"SELECT {_bucket('1d')} AS time, '{dim}' AS panel, {_metric(dim)} AS metric, "
-        f"count(*) AS value FROM logs WHERE {PANEL} GROUP BY 1, 3"
-        for dim in explore.DIMENSIONS
+        f"count(*) AS value FROM panel WHERE {PANEL} GROUP BY 1, 3"
+        for dim in DIMENSIONS
     )
-    return f"{LOGS} {parts}"
+    return f"{PANEL_LOGS} {parts}"
 
 
 def _flag(column: str, condition: str) -> str:
@@ -176,7 +230,6 @@ def _device(name: str) -> str:
 
 
 LABEL = "max(CASE WHEN page IN ('Submit Downgrade', 'Cancellation Confirmation') THEN 1 ELSE 0 END) AS churn"
-FEATURE_PAGES = [page for page in PAGES if page not in LEAKAGE_PAGES]
 VIEWS = ", ".join(f"count(*) FILTER (WHERE page = '{page}') AS \"{page}\"" for page in FEATURE_PAGES)
 
 SONGS = """SELECT userId, avg(n) AS avg_songs_per_session FROM (
@@ -192,17 +245,41 @@ FLAG_NAMES = [
     "uses_mobile", "uses_non_mobile", "uses_pc", "uses_non_pc", "uses_tablet", "uses_non_tablet",
 ]
 
-FEATURES = f"""{LOGS},
-flat AS (SELECT userId, {LABEL}, {VIEWS}, {BROWSER}, {OS}, {_device('mobile')}, {_device('pc')}, {_device('tablet')}
+NULL_VIEWS = f"""{VIEWS}, count(*) FILTER (WHERE page IS NULL) AS "null\""""
+
+# The log with NULL pages.
+NULL_PAGES = LOGS.replace(
+    "u AS (SELECT * FROM logs WHERE",
+    "u AS (SELECT * REPLACE (CASE WHEN event_id % 59 <> 0 THEN page END AS page) FROM logs WHERE",
+)
+
+
+def _features(logs: str, views: str, pages: tuple[str, ...]) -> str:
+    return f"""{logs},
+flat AS (SELECT userId, {LABEL}, {views}, {BROWSER}, {OS}, {_device('mobile')}, {_device('pc')}, {_device('tablet')}
          FROM u GROUP BY userId),
 songs AS ({SONGS}), spans AS ({DURATION}), artists AS ({ARTISTS})
-SELECT flat.userId, churn, {', '.join(f'"{page}"' for page in FEATURE_PAGES)},
+SELECT flat.userId, churn, {', '.join(f'"{page}"' for page in pages)},
   coalesce(avg_songs_per_session, 0) AS avg_songs_per_session,
   coalesce(avg_session_duration_days, 0) AS avg_session_duration_days,
   coalesce(avg_num_artists_per_session, 0) AS avg_num_artists_per_session,
   {', '.join(f'coalesce({name}, 0) AS {name}' for name in FLAG_NAMES)}
 FROM flat LEFT JOIN songs USING (userId) LEFT JOIN spans USING (userId) LEFT JOIN artists USING (userId)"""
 
+
+FEATURES = _features(LOGS, VIEWS, FEATURE_PAGES)
+FEATURES_DISCOVERED = _features(NULL_PAGES, NULL_VIEWS, (*FEATURE_PAGES, "null"))
+
+BROKEN = " OR ".join(f"event_id % {n} = 0" for n in (101, 103, 107, 109, 113))
+QUARANTINE = f"""{LOGS}
+SELECT CASE WHEN event_id % 101 = 0 THEN 'malformed' WHEN event_id % 103 = 0 THEN 'empty'
+            WHEN event_id % 107 = 0 THEN 'missing ts' WHEN event_id % 109 = 0 THEN 'malformed'
+            ELSE 'unusable ts' END AS reason, count(*) AS lines
+FROM logs WHERE {BROKEN} GROUP BY 1"""
+
+IN_TRAIN = "CAST('0x' || substr(md5(userId), 1, 7) AS BIGINT) % 10000 < 8000"
+TEST_USERS = f"{LOGS}, t AS (SELECT userId, {LABEL} FROM u WHERE NOT ({IN_TRAIN}) GROUP BY 1)"
+
 METRICS = """
 WITH c AS (
   SELECT count(*) FILTER (WHERE quality = 0 AND toxic = 0) AS tn,
@@ -235,41 +312,42 @@ SELECT (SELECT count(*) FROM logs) AS messages, (SELECT count(*) FROM u) AS mess
        (SELECT count(*) FROM c WHERE churn > 0) AS churned_users,
        (SELECT count(*) FROM c WHERE churn = 0) AS loyal_users"""
 
-STREAM_SERIES = f"""{LOGS}, top AS (SELECT max(ms) AS latest FROM logs)
+STREAM_SERIES = f"""{LOGS}
 SELECT {_bucket('1d')} AS time, level AS metric, count(*) AS value
-FROM logs, top WHERE {SELECTIONS}
-  AND (floor(ms / 86400000) + 1) * 86400000 <= latest - 3600000
-GROUP BY 1, 2"""
+FROM logs WHERE {SELECTIONS} GROUP BY 1, 2"""
 
 
 def oracle_statements() -> dict[str, str]:
-    raw = ", ".join(RAW_SCHEMA.names)
-    lake = ", ".join(LOG_SCHEMA.names)
-    facets = ", ".join(name for name in LOG_SCHEMA.names if name.startswith("userAgent_"))
     sql = {
         f"distinct_{name}": f"{LOGS} SELECT DISTINCT {column} FROM logs"
-        for name, column in explore.OVERVIEW.items()
+        for name, column in OVERVIEW.items()
     }
     sql |= {
         f"var_{name}": f"{LOGS} SELECT DISTINCT {name} FROM logs ORDER BY 1 NULLS LAST"
-        for name in explore.VARIABLES
+        for name in VARIABLES
     }
-    sql |= {f"counts_{dim}": _counts(dim) for dim in explore.DIMENSIONS}
-    sql["top_pages"] = _counts("page", tail="ORDER BY value DESC, metric LIMIT 50")
-    sql |= {f"series_{dim}": _series(dim, "1d") for dim in explore.DIMENSIONS}
+    sql |= {f"counts_{dim}": _counts(dim) for dim in DIMENSIONS}
+    sql |= {f"counts_page_by_{name}": _counts("page", f"{PANEL} AND {chosen}") for name, chosen in CHOSEN.items()}
+    sql["top_pages"] = _counts("page", tail="ORDER BY value DESC, metric LIMIT 5")
+    sql |= {f"series_auth_{width}": _series("auth", width) for width in ("10m", "30m", "1h", "6h", "12h", "14d")}
+    sql |= {f"series_{dim}": _series(dim, "1d") for dim in DIMENSIONS}
     sql |= {
         "series_page_7d": _series("page", "7d"),
         "series_level_30d": _series("level", "30d"),
         "series_method_5m": _series("method", "5m"),
         "value_distribution": _panels(PANEL),
+        "value_distribution_top": f"""SELECT panel, metric, value, percent FROM (
+            SELECT *, row_number() OVER (PARTITION BY panel ORDER BY value DESC, metric) AS place
+            FROM ({_panels(PANEL)}))
+            WHERE NOT (panel = 'page' AND place > 4 OR panel = 'level' AND place > 1)""",
         "time_distribution": _time_panels(),
         "drill_404": _panels(f"status = 404 AND {PANEL}"),
         "free_vs_paid": _series("level", "1d"),
         "down_vs_upgrades": _series(
-            "page", "1d", f"{SELECTIONS} AND page IN ('Submit Downgrade', 'Submit Upgrade')"
+            "page", "1d", f"{PANEL} AND level IN ('paid') AND page IN ('Submit Downgrade', 'Submit Upgrade')"
         ),
-        "weekday": f"""{LOGS} SELECT CAST(dayofweek(timestamp) + 1 AS INT) AS weekday,
-            count(*) AS value FROM logs WHERE {PANEL} GROUP BY 1""",
+        "weekday": f"""{PANEL_LOGS} SELECT CAST(dayofweek(timestamp) + 1 AS INT) AS weekday,
+            count(*) AS value FROM panel WHERE {PANEL} GROUP BY 1""",
         "sql_view": f"""{LOGS} SELECT level, gender, count(*) AS value FROM logs
             WHERE status = 404 GROUP BY level, gender""",
         "dataset_summary": SUMMARY,
@@ -284,19 +362,30 @@ def oracle_statements() -> dict[str, str]:
             f"{device}_usage": f"{LOGS} SELECT userId, {_device(device)} FROM u GROUP BY 1"
             for device in ("mobile", "pc", "tablet")
         },
+        "page_views_discovered": f"{NULL_PAGES} SELECT userId, {NULL_VIEWS} FROM u GROUP BY 1",
+        "churn_features_discovered": FEATURES_DISCOVERED,
         "churn_features": FEATURES,
         "churn_features_joined": FEATURES,
-        "user_agent_facets": f"{LOGS} SELECT event_id, userAgent, {facets} FROM logs",
+        "user_agent_facets": f"{LOGS} SELECT event_id, userAgent, {FACETS} FROM logs",
         "log_timestamps": f"{LOGS} SELECT event_id, timestamp, registration_timestamp, date FROM logs",
-        "lake_roundtrip": f"""{LOGS} SELECT {lake}, date FROM logs
-            WHERE date >= DATE '{LAKE_START}' AND date < DATE '{LAKE_END}'""",
-        "json_roundtrip": f"{LOGS} SELECT {raw} FROM logs",
+        "lake_roundtrip": f"""{LOGS} SELECT {LAKE}, date FROM logs
+            WHERE date >= DATE '2024-01-01' AND date < DATE '2024-01-30'""",
+        "json_roundtrip": f"{LOGS} SELECT {RAW} FROM logs",
         "hash_split": f"""{LOGS} SELECT userId,
             CAST(CAST('0x' || substr(md5(userId), 1, 7) AS BIGINT) % 10000 < 8000 AS INT) AS train
             FROM (SELECT DISTINCT userId FROM u)""",
+        "ingest_batch": f"{LOGS} SELECT {LAKE}, date FROM logs WHERE NOT ({BROKEN})",
+        "ingest_quarantine": QUARANTINE,
+        "ingest_replaces_days": f"""{LOGS} SELECT * REPLACE (
+            CASE WHEN date < DATE '2024-01-10' THEN 'paid' ELSE level END AS level)
+            FROM (SELECT {LAKE}, date FROM logs)""",
+        "compare_totals": f"""{TEST_USERS}
+            SELECT classifier, count(*) AS test_rows, CAST(sum(churn) AS BIGINT) AS churned
+            FROM t, (VALUES ('dt'), ('lr')) c(classifier) GROUP BY 1""",
+        "score_coverage": f"{TEST_USERS} SELECT count(*) AS users, count(*) AS scored FROM t",
         "metrics": METRICS,
         "confusion": CONFUSION,
-        "stream_ingest": f"{LOGS} SELECT {lake}, date FROM logs",
+        "stream_ingest": f"{LOGS} SELECT {LAKE}, date FROM logs",
         "stream_series": STREAM_SERIES,
     }
     return sql

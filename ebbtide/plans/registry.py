@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,19 +12,28 @@ from ebbtide.functions.filters import LogFilter, with_user
 from ebbtide.operators import explore, features
 from ebbtide.operators.evaluation import confusion, evaluate
 from ebbtide.plans import churn, training
-from ebbtide.plans.ingest import enrich
+from ebbtide.plans.ingest import enrich, ingest
 from ebbtide.schema import LOG_SCHEMA, PARTITION_COLUMN, RAW_SCHEMA
-from ebbtide.session import scratch_path
+from ebbtide.session import materialize, scratch_path
 from ebbtide.sources.event_log import PAGES, event_log, raw_log, read_events, with_item_position
 from ebbtide.sources.json_log import read_log_json, split_bad_records
 from ebbtide.sources.lake import read_lake, register_views, write_lake
 from ebbtide.streaming.ingest import ingest_stream
-from ebbtide.streaming.series import stream_time_counts
+from ebbtide.streaming.series import stream_time_counts, write_time_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# The panels always carry a time range; this one spans the whole tables.
-RANGE = LogFilter(start="2024-01-01T00:00:00Z", end="2024-12-31T23:59:59Z")
+# The panels always carry a time range; this one cuts the tables at both ends.
+RANGE = LogFilter(start="2024-01-05T06:00:00Z", end="2024-01-25T18:00:00Z")
+SELECTIONS = {
+    "method": ["GET"],
+    "status": [200, 307],
+    "level": ["paid"],
+    "auth": ["Guest", "Logged Out"],
+    "page": ["Home", "Help", "NextSong", "Submit Upgrade"],
+}
+# One row in so many has no value, so that the selections have NULLs to leave out.
+PANEL_NULLS = {"method": 41, "status": 43, "level": 47, "auth": 53, "page": 59}
 LAKE_START, LAKE_END = "2024-01-01", "2024-01-30"
 
 
@@ -32,6 +42,18 @@ def serving_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_log(spark, sf_dir).drop(PARTITION_COLUMN)
 
 
+def panel_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log with NULLs in the five columns that panels select by."""
+    log = serving_log(spark, sf_dir)
+    return log.withColumns(
+        {name: F.when(F.col("event_id") % step != 0, F.col(name)) for name, step in PANEL_NULLS.items()}
+    )
+
+
+def on_panel(operator: Callable[..., DataFrame], *args, **kwargs) -> Query:
+    return lambda spark, sf_dir: operator(panel_log(spark, sf_dir), *args, **kwargs)
+
+
 def on_log(operator: Callable[..., DataFrame], *args, **kwargs) -> Query:
     return lambda spark, sf_dir: operator(serving_log(spark, sf_dir), *args, **kwargs)
 
@@ -84,21 +106,57 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = scratch_path(spark, "series")
-    schema = read_events(spark, sf_dir).schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-    log = enrich(raw_log(events.parquet(sf_dir)))
-    (
-        stream_time_counts(log, "level", "1d", "1 hour")
-        .writeStream.format("parquet")
-        .option("checkpointLocation", f"{base}/checkpoint")
-        .trigger(availableNow=True)
-        .start(f"{base}/out")
-        .awaitTermination()
-    )
+    # The pattern matches a single file and a folder of part files alike.
+    base, path = scratch_path(spark, "series"), f"{sf_dir}/events.parquet*"
+    events = spark.readStream.schema(read_events(spark, sf_dir).schema).parquet(path)
+    counts = stream_time_counts(enrich(raw_log(events)), "level", "1d")
+    write_time_counts(counts, f"{base}/out", f"{base}/checkpoint").awaitTermination()
     return spark.read.schema("time timestamp, metric string, value bigint").parquet(f"{base}/out")
 
 
+LINE = f"to_json(struct({', '.join(RAW_SCHEMA.names)}))"
+NO_TS = f"to_json(struct({', '.join(name for name in RAW_SCHEMA.names if name != 'ts')}))"
+BROKEN_LINES = f"""
+CASE WHEN event_id % 101 = 0 THEN '{{"page": "Home", "ts": '
+     WHEN event_id % 103 = 0 THEN '{{}}'
+     WHEN event_id % 107 = 0 THEN {NO_TS}
+     WHEN event_id % 109 = 0 THEN replace({LINE}, '"ts":', '"ts":"soon","x":')
+     WHEN event_id % 113 = 0 THEN replace({LINE}, '"ts":', '"ts":1e300,"x":')
+     ELSE {LINE} END AS value"""
+
+
+def lines_with_faults(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with the log as JSON lines, some of them broken in one of five ways."""
+    path = scratch_path(spark, "lines")
+    raw_log(with_item_position(read_events(spark, sf_dir))).selectExpr(BROKEN_LINES).write.text(path)
+    return path
+
+
+def ingest_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake = scratch_path(spark, "lake")
+    ingest(spark, lines_with_faults(spark, sf_dir), lake)
+    return read_lake(spark, lake)
+
+
+def ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = scratch_path(spark, "ingest")
+    ingest(spark, lines_with_faults(spark, sf_dir), f"{base}/lake", f"{base}/bad")
+    bad = spark.read.schema("line string, reason string").json(f"{base}/bad")
+    return bad.groupBy("reason").agg(F.count("line").alias("lines"))
+
+
+def ingest_replaces_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs into one lake: the second has the first days only, with every row paid."""
+    base = scratch_path(spark, "days")
+    raw = raw_lines(spark, sf_dir)
+    raw.write.json(f"{base}/all")
+    early = raw.where(F.col("ts") < 1_704_844_800_000).withColumn("level", F.lit("paid"))
+    early.write.json(f"{base}/early")
+    ingest(spark, f"{base}/all", f"{base}/lake")
+    ingest(spark, f"{base}/early", f"{base}/lake")
+    return read_lake(spark, f"{base}/lake")
+
+
 def hash_split(df: DataFrame) -> DataFrame:
     users = df.select("userId").distinct()
     return users.select("userId", training.in_train().cast("int").alias("train"))
@@ -116,10 +174,27 @@ def fused_features(df: DataFrame) -> DataFrame:
     return churn.churn_features(df, PAGES)
 
 
+def with_null_pages(df: DataFrame) -> DataFrame:
+    return df.withColumn("page", F.when(F.col("event_id") % PANEL_NULLS["page"] != 0, F.col("page")))
+
+
 def score(df: DataFrame) -> DataFrame:
-    frame = training.materialize(fused_features(df), "features")
-    model = training.train(frame, "dt")
-    return training.score_users(model, frame)
+    """Predictions for the users that the model has not seen."""
+    train_rows, test_rows = training.hash_split(materialize(fused_features(df), "features"))
+    return training.score_users(training.train(train_rows, "dt"), test_rows)
+
+
+def score_coverage(df: DataFrame) -> DataFrame:
+    known = F.col("prediction").isin(0.0, 1.0)
+    return score(df).agg(F.count(F.lit(1)).alias("users"), F.count_if(known).alias("scored"))
+
+
+def compare_totals(df: DataFrame) -> DataFrame:
+    found = training.compare(fused_features(df), ("dt", "lr"))
+    return found.select(
+        "classifier", (F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")).alias("test_rows"),
+        (F.col("fn") + F.col("tp")).alias("churned"),
+    )
 
 
 def all_queries() -> dict[str, Query]:
@@ -129,24 +204,34 @@ def all_queries() -> dict[str, Query]:
     for name in explore.VARIABLES:
         queries[f"var_{name}"] = on_log(explore.distinct_values, name, ordered=True)
     for dim in explore.DIMENSIONS:
-        queries[f"counts_{dim}"] = on_log(explore.value_counts, dim, RANGE)
-    queries["top_pages"] = on_log(explore.top_pages, RANGE)
+        queries[f"counts_{dim}"] = on_panel(explore.value_counts, dim, RANGE)
+    for name, chosen in SELECTIONS.items():
+        selected = replace(RANGE, **{name: chosen})
+        queries[f"counts_page_by_{name}"] = on_panel(explore.value_counts, "page", selected)
+    queries["top_pages"] = on_panel(explore.top_pages, RANGE, 5)
     for dim in explore.DIMENSIONS:
-        queries[f"series_{dim}"] = on_log(explore.time_counts, dim, "1d", RANGE)
+        queries[f"series_{dim}"] = on_panel(explore.time_counts, dim, "1d", RANGE)
+    for width in ("10m", "30m", "1h", "6h", "12h", "14d"):
+        queries[f"series_auth_{width}"] = on_panel(explore.time_counts, "auth", width, RANGE)
     queries |= {
-        "series_page_7d": on_log(explore.time_counts, "page", "7d", RANGE),
-        "series_level_30d": on_log(explore.time_counts, "level", "30d", RANGE),
-        "series_method_5m": on_log(explore.time_counts, "method", "5m", RANGE),
-        "value_distribution": on_log(explore.value_distribution, RANGE),
-        "time_distribution": on_log(explore.time_distribution, "1d", RANGE),
-        "drill_404": on_log(explore.status_drilldown, 404, RANGE),
-        "free_vs_paid": on_log(explore.free_vs_paid, "1d", RANGE),
-        "down_vs_upgrades": on_log(explore.downgrades_vs_upgrades),
-        "weekday": on_log(explore.weekday_counts, RANGE),
+        "series_page_7d": on_panel(explore.time_counts, "page", "7d", RANGE),
+        "series_level_30d": on_panel(explore.time_counts, "level", "30d", RANGE),
+        "series_method_5m": on_panel(explore.time_counts, "method", "5m", RANGE),
+        "value_distribution": on_panel(explore.value_distribution, RANGE),
+        "value_distribution_top": on_panel(
+            explore.value_distribution, RANGE, {"page": 4, "level": 1}
+        ),
+        "time_distribution": on_panel(explore.time_distribution, "1d", RANGE),
+        "drill_404": on_panel(explore.status_drilldown, 404, RANGE),
+        "free_vs_paid": on_panel(explore.free_vs_paid, "1d", RANGE),
+        "down_vs_upgrades": on_panel(
+            explore.downgrades_vs_upgrades, filters=replace(RANGE, level=["paid"])
+        ),
+        "weekday": on_panel(explore.weekday_counts, RANGE),
         "sql_view": sql_view,
         "dataset_summary": on_log(features.dataset_summary),
         "churn_labels": on_users(features.churn_labels),
-        "page_views": on_users(features.page_views),
+        "page_views": on_users(features.page_views, PAGES),
         "avg_songs_per_session": on_users(features.avg_songs_per_session),
         "avg_session_duration": on_users(features.avg_session_duration),
         "avg_artists_per_session": on_users(features.avg_artists_per_session),
@@ -156,18 +241,25 @@ def all_queries() -> dict[str, Query]:
     for device in features.DEVICES:
         queries[f"{device}_usage"] = on_users(features.device_usage, device)
     queries |= {
+        "page_views_discovered": on_users(lambda df: features.page_views(with_null_pages(df))),
+        "churn_features_discovered": on_log(lambda df: churn.churn_features(with_null_pages(df))),
         "churn_features": on_log(fused_features),
         "churn_features_joined": on_log(churn.churn_features_joined, PAGES),
         "user_agent_facets": on_log(user_agent_facets),
         "log_timestamps": timestamps,
         "lake_roundtrip": lake_roundtrip,
         "json_roundtrip": json_roundtrip,
+        "ingest_batch": ingest_batch,
+        "ingest_quarantine": ingest_quarantine,
+        "ingest_replaces_days": ingest_replaces_days,
         "hash_split": on_users(hash_split),
         "metrics": lambda spark, sf_dir: evaluate(label_predictions(spark, sf_dir)),
         "confusion": lambda spark, sf_dir: confusion(label_predictions(spark, sf_dir)),
         "compare_classifiers": on_log(lambda df: training.compare(fused_features(df))),
         "compare_mlp": on_log(lambda df: training.compare(fused_features(df), ("mlp",))),
+        "compare_totals": on_log(compare_totals),
         "score_users": on_log(score),
+        "score_coverage": on_log(score_coverage),
         "stream_ingest": stream_ingest,
         "stream_series": stream_series,
     }

@@ -8,8 +8,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(app_name: str = "ebbtide", master: str | None = None, **conf) -> SparkSession:
-    """A session in UTC with adaptive execution; ``conf`` keys use ``__`` for dots."""
+def build_session(
+    app_name: str = "ebbtide", master: str | None = None, partitions: int | None = None, **conf
+) -> SparkSession:
+    """A session in UTC with adaptive execution; ``conf`` keys use ``__`` for dots.
+
+    ``partitions`` is the number that shuffles start with, before adaptive execution merges small
+    ones; about one per 100 to 200 MB of the largest shuffle (20,000 for 100 TB is a fair start).
+    """
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
@@ -20,6 +26,10 @@ def build_session(app_name: str = "ebbtide", master: str | None = None, **conf)
         # Recording a call site per column costs more than planning the query.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
+    if partitions:
+        builder = builder.config(
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum", partitions
+        )
     if master:
         builder = builder.master(master)
         if master.startswith("local"):
@@ -32,12 +42,6 @@ def build_session(app_name: str = "ebbtide", master: str | None = None, **conf)
     return builder.getOrCreate()
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark
-
-
 def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``; a temporary folder only where it is unset in local mode."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -61,3 +65,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_table(stored: DataFrame) -> None:
+    """Delete the files of a table made by :func:`materialize` that nothing reads any more."""
+    context = stored.sparkSession.sparkContext
+    for file in stored.inputFiles()[:1]:
+        path = context._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

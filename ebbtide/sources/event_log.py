@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ebbtide.plans.ingest import enrich
-from ebbtide.session import use_utc
 
 SESSION_MS = 3 * 24 * 3600 * 1000
-SLICE_MS = 5 * 60 * 1000
+SLICE_MS = 1000
 
 # User agents by user_id % 8.
 USER_AGENTS = (
@@ -56,6 +55,16 @@ CASE event_type
 END"""
 
 
+def epoch_ms(events: DataFrame) -> str:
+    """Milliseconds of an event; a time without zone is UTC, whatever the session's zone."""
+    if events.schema["ts"].dataType.simpleString() == "timestamp":
+        return "unix_millis(ts)"
+    return (
+        "unix_date(CAST(ts AS DATE)) * 86400000L + hour(ts) * 3600000L + minute(ts) * 60000L "
+        "+ CAST(floor(extract(SECOND FROM ts) * 1000) AS BIGINT)"
+    )
+
+
 def raw_log(events: DataFrame) -> DataFrame:
     """``event_id`` and the raw fields, row by row; ``itemInSession`` if it was added."""
     items = [name for name in ("itemInSession",) if name in events.columns]
@@ -63,7 +72,7 @@ def raw_log(events: DataFrame) -> DataFrame:
     base = events.selectExpr(
         "*",
         "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k",
-        "unix_millis(CAST(ts AS TIMESTAMP)) AS ms",
+        f"{epoch_ms(events)} AS ms",
     ).withColumn("page", F.expr(PAGE))
     return base.selectExpr(
         "event_id",
@@ -91,10 +100,10 @@ def raw_log(events: DataFrame) -> DataFrame:
 def with_item_position(events: DataFrame) -> DataFrame:
     """Add ``itemInSession``: position by time within a user's session.
 
-    A session is ranked in five-minute slices and each slice is shifted by the rows before
+    A session is ranked in slices of a second and each slice is shifted by the rows before
     it, so a user with a large share of all rows spreads over many tasks.
     """
-    ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    ms = F.expr(epoch_ms(events))
     rows = events.withColumns(
         {"sid": F.floor(ms / SESSION_MS), "slice": F.floor(ms / SLICE_MS)}
     )
@@ -119,7 +128,7 @@ def with_item_position(events: DataFrame) -> DataFrame:
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return use_utc(spark).read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
 def event_log(spark: SparkSession, sf_dir: str, items: bool = False) -> DataFrame:

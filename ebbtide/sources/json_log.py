@@ -9,16 +9,25 @@ from pyspark.sql import types as T
 from ebbtide.functions.timestamps import timestamp_from_ms
 from ebbtide.schema import CORRUPT_COLUMN, RAW_SCHEMA
 
+LINE_COLUMN = "_line"
 JSON_SCHEMA = T.StructType(RAW_SCHEMA.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())])
 JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
 
 
-def read_log_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """One JSON object per line. Absent fields are NULL, extra keys are ignored.
+def parse_lines(lines: DataFrame) -> DataFrame:
+    """Text lines (``value``) as the raw fields, ``_corrupt_record`` and the line itself.
 
-    The schema is never inferred, which would cost a pass over the whole input.
+    Absent fields are NULL, extra keys are ignored. The schema is never inferred, which would
+    cost a pass over the whole input. Blank lines are skipped.
     """
-    return spark.read.schema(JSON_SCHEMA).options(**JSON_OPTIONS).json(path)
+    parsed = F.from_json("value", JSON_SCHEMA, JSON_OPTIONS)
+    kept = lines.where(F.trim("value") != "")
+    return kept.select(parsed.alias("r"), F.col("value").alias(LINE_COLUMN)).select("r.*", LINE_COLUMN)
+
+
+def read_log_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """One JSON object per line."""
+    return parse_lines(spark.read.text(path))
 
 
 def any_field() -> Column:
@@ -47,18 +56,15 @@ def bad_reason(df: DataFrame) -> Column:
 
 
 def good_records(df: DataFrame) -> DataFrame:
-    return df.where(bad_reason(df).isNull()).drop(CORRUPT_COLUMN)
+    return df.where(bad_reason(df).isNull()).drop(CORRUPT_COLUMN, LINE_COLUMN)
 
 
 def bad_records(df: DataFrame) -> DataFrame:
-    return df.withColumn("reason", bad_reason(df)).where(F.col("reason").isNotNull())
+    """``(line, reason)``: the line as it was read, so that it can be mended and replayed."""
+    bad = df.withColumn("reason", bad_reason(df)).where(F.col("reason").isNotNull())
+    return bad.select(F.col(LINE_COLUMN).alias("line"), "reason")
 
 
 def split_bad_records(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good, bad): malformed lines and lines without a usable time go to bad."""
     return good_records(df), bad_records(df)
-
-
-def require_ts(df: DataFrame) -> DataFrame:
-    """Only rows that have a usable log time."""
-    return df.where(timestamp_from_ms(F.col("ts")).isNotNull())

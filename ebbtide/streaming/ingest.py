@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ebbtide.plans.ingest import enrich
 from ebbtide.schema import LAKE_SCHEMA, PARTITION_COLUMN
-from ebbtide.sources.json_log import JSON_OPTIONS, JSON_SCHEMA, bad_records, good_records
+from ebbtide.sources.json_log import bad_records, good_records, parse_lines
 
 
 def ingest_stream(
@@ -17,22 +18,28 @@ def ingest_stream(
     checkpoint: str,
     quarantine: str | None = None,
     max_files: int | None = None,
+    spread: int = 4,
 ) -> list[StreamingQuery]:
     """Take in the files that are new since the last run, then stop.
 
     ``max_files`` bounds a micro-batch, for a first run over a large backlog.
 
+    Rows of a day are brought together before they are written, in at most ``spread`` tasks, so a
+    batch adds at most ``spread`` files to a day, however many tasks read; raise it where one day
+    of a batch is too much for that many tasks.
+
     Each sink has its own checkpoint and is written exactly once per file. A lake fed by a
     stream must be written by that stream alone: its file log hides files from batch writers.
     """
-    reader = spark.readStream.schema(JSON_SCHEMA).options(**JSON_OPTIONS)
+    reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    lines = reader.json(source_dir)
+    lines = parse_lines(reader.text(source_dir))
     log = enrich(good_records(lines))
     columns = [c for c in LAKE_SCHEMA.names if c in log.columns]
     queries = [
         log.select(*columns)
+        .repartition(PARTITION_COLUMN, F.pmod(F.xxhash64("userId", "ts", "page"), F.lit(spread)))
         .writeStream.format("orc")
         .partitionBy(PARTITION_COLUMN)
         .option("checkpointLocation", f"{checkpoint}/lake")

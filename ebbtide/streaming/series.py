@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import functions as F
 
 from ebbtide.functions.filters import LogFilter
@@ -11,20 +12,16 @@ from ebbtide.operators.explore import dimension
 
 
 def stream_time_counts(
-    log: DataFrame,
-    dim: str,
-    interval: str = "1d",
-    delay: str = "1 hour",
-    filters: LogFilter = LogFilter(),
+    log: DataFrame, dim: str, interval: str = "1d", filters: LogFilter = LogFilter()
 ) -> DataFrame:
-    """``(time, metric, value)`` of closed buckets, for append mode.
+    """``(time, metric, value)`` of every bucket so far, for complete mode.
 
-    State is one counter per open bucket and value; ``delay`` bounds how late a row may be.
+    State is one counter per bucket and value. No row is ever too late.
     """
     if interval not in INTERVALS:
         raise ValueError(f"interval must be one of {list(INTERVALS)}, not {interval!r}")
     return (
-        filters.apply(log.withWatermark("timestamp", delay))
+        filters.apply(log)
         .groupBy(
             F.window("timestamp", INTERVALS[interval]).alias("bucket"),
             dimension(dim).alias("metric"),
@@ -32,3 +29,19 @@ def stream_time_counts(
         .agg(F.count(F.lit(1)).alias("value"))
         .select(F.col("bucket.start").alias("time"), "metric", "value")
     )
+
+
+def write_time_counts(counts: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """Take in what is new and replace the table at ``out`` with all buckets; a repeated batch
+    writes the same table again."""
+
+    def replace(batch: DataFrame, _: int) -> None:
+        batch.write.mode("overwrite").parquet(out)
+
+    return (
+        counts.writeStream.outputMode("complete")
+        .foreachBatch(replace)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )

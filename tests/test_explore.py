@@ -4,6 +4,7 @@ import pytest
 
 from ebbtide.functions.filters import LogFilter
 from ebbtide.operators import explore
+from ebbtide.plans.registry import all_queries
 from ebbtide.sources.event_log import event_log
 from tests.helpers import DAY_MS, START_MS, log
 
@@ -75,3 +76,25 @@ def test_presets(spark):
 def test_unknown_dimension():
     with pytest.raises(ValueError):
         explore.dimension("song")
+
+
+def test_results_do_not_depend_on_the_session_zone(spark, sf_dir):
+    queries = all_queries()
+    names = ["weekday", "series_level", "series_page_7d", "time_distribution", "counts_page", "log_timestamps"]
+    run = lambda name: sorted(map(str, queries[name](spark, sf_dir).selectExpr("to_json(struct(*), map('timeZone', 'UTC'))").collect()))
+    expected = {name: run(name) for name in names}
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert {name: run(name) for name in names} == expected
+        assert spark.conf.get("spark.sql.session.timeZone") == "America/New_York"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_identity_filter_would_show(spark, sf_dir, monkeypatch):
+    queries = all_queries()
+    names = ["counts_gender", "series_os", "top_pages", "weekday", "value_distribution", *[n for n in queries if "_by_" in n]]
+    run = lambda name: sorted(map(tuple, queries[name](spark, sf_dir).collect()), key=repr)
+    expected = {name: run(name) for name in names}
+    monkeypatch.setattr(LogFilter, "apply", lambda self, df: df)
+    assert all(run(name) != expected[name] for name in names)

@@ -105,18 +105,26 @@ def test_odd_page_names(spark):
     assert row["a.b`c"] == row["song's"] == row["p0"] == 1
 
 
-def test_wide_vocabulary_is_counted_by_key(spark, sf_dir, monkeypatch):
-    df = event_log(spark, sf_dir)
-    odd = F.when(F.col("event_id") % 50 == 0, None).when(F.col("event_id") % 50 == 1, "a.b")
-    df = df.withColumn("page", odd.otherwise(F.col("page")))
-    narrow = churn_features(df)
-    expected = sorted(narrow.collect(), key=repr)
-    monkeypatch.setattr(ft, "WIDE_PAGES", 3)
-    wide = churn_features(df)
-    assert "null" in wide.columns and "a.b" in wide.columns
-    assert wide.columns == narrow.columns
-    assert sorted(wide.collect(), key=repr) == expected
-    same(churn_features(df, PAGES), churn_features_joined(df, PAGES))
+ODD_PAGES = [None, "null", "NULL", "a.b", "a`b", "Home", "home", "churn", "userId", "uses_pc", "Help"]
+
+
+def test_pages_with_clashing_names_keep_their_counts(spark):
+    rows = [{"userId": u, "page": p} for u in ("1", "2") for n, p in enumerate(ODD_PAGES) for _ in range(n + 1)]
+    df = log(spark, rows)
+    for frame in (churn_features(df), churn_features_joined(df), ft.page_views(df)):
+        names = [name.lower() for name in frame.columns]
+        assert len(names) == len(set(names))
+        pages = {f.name: f.metadata["page"] for f in frame.schema.fields if f.metadata.get("is_page")}
+        assert sorted(pages.values(), key=str) == sorted(ODD_PAGES, key=str)
+        for row in frame.collect():
+            for name, page in pages.items():
+                assert row[name] == ODD_PAGES.index(page) + 1
+
+
+def test_many_pages_take_the_same_plan(spark):
+    df = log(spark, [{"page": f"page {n % 300}"} for n in range(600)])
+    row = one(churn_features(df))
+    assert all(row[f"page {n}"] == 2 for n in range(300))
 
 
 def test_no_feature_pages(spark):
@@ -155,10 +163,13 @@ def test_hot_user_gives_the_same_result(spark, sf_dir):
     assert row["avg_num_artists_per_session"] == songs == row["NextSong"]
 
 
-def test_too_many_pages(spark, monkeypatch):
-    monkeypatch.setattr(ft, "MAX_PAGES", 1)
-    with pytest.raises(ValueError):
-        ft.discover_pages(log(spark, [{"page": "A"}, {"page": "B"}]))
+def test_too_many_pages(spark):
+    df = log(spark, [{"page": "A"}, {"page": "B"}])
+    for discover in (ft.discover_pages, lambda d, max_pages: churn_features(d, max_pages=max_pages)):
+        with pytest.raises(ValueError):
+            discover(df, max_pages=1)
+    # Pages that are passed are not bounded.
+    assert churn_features(df, ["A", "B"], max_pages=1).count() == 1
 
 
 def test_unknown_device():

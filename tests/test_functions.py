@@ -71,6 +71,14 @@ def test_literals_are_utc(spark):
          "Chrome", "36.0.1985.143", "Windows", "6.1", "pc"),
         ("Mozilla/5.0 (Macintosh; Intel Mac OS X 10_9_4) AppleWebKit/537.77.4 Version/7.0.5 Safari/537.77.4",
          "Safari", "7.0.5", "Mac OS X", "10.9.4", "pc"),
+        ("Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 Chrome/120.0.0.0 Safari/537.36 Edg/120.0.2210.91",
+         "Edge", "120.0.2210.91", "Windows", "10.0", "pc"),
+        ("Mozilla/5.0 (Windows NT 10.0) AppleWebKit/537.36 Chrome/119.0.0.0 Safari/537.36 OPR/105.0.0.0",
+         "Opera", "105.0.0.0", "Windows", "10.0", "pc"),
+        ("Opera/9.80 (Windows NT 6.1; U; en) Presto/2.8.131 Version/11.11", "Opera", "11.11", "Windows", "6.1", "pc"),
+        ("Mozilla/5.0 (X11; CrOS x86_64 14541.0.0) AppleWebKit/537.36 Chrome/120.0.0.0 Safari/537.36",
+         "Chrome", "120.0.0.0", "Chrome OS", "", "pc"),
+        ("4.5 Trident/7.0", "IE", "", "Other", "", None),
         ("Mozilla/5.0 (Windows NT 6.1; rv:31.0) Gecko/20100101 Firefox/31.0",
          "Firefox", "31.0", "Windows", "6.1", "pc"),
         ("Mozilla/5.0 (Windows NT 6.1; WOW64; Trident/7.0; rv:11.0) like Gecko",

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
@@ -90,8 +89,9 @@ def test_perceptron_fits_two_labels(features):
 
 def test_saved_model_scores_other_pages(spark, features, tmp_path):
     model = training.train(features, "dt")
-    model.write().overwrite().save(str(tmp_path / "model"))
-    loaded = PipelineModel.load(str(tmp_path / "model"))
+    model.save(str(tmp_path / "model"))
+    loaded = training.ChurnModel.load(spark, str(tmp_path / "model"))
+    assert loaded.features == model.features
     other = features.drop("Help").withColumn("New page", F.lit(3))
     scored = training.score_users(loaded, other)
     assert scored.columns == ["userId", "prediction"]
@@ -100,6 +100,28 @@ def test_saved_model_scores_other_pages(spark, features, tmp_path):
     assert sorted(scored.collect()) == sorted(expected.collect())
 
 
+def test_odd_pages_train_compare_save_and_score(spark, sf_dir, tmp_path):
+    odd = [None, "null", "a.b", "a`b", "Home", "home", "churn"]
+    place = F.array(*[F.lit(page) for page in odd])[(F.col("event_id") % len(odd)).cast("int")]
+    df = event_log(spark, sf_dir).withColumn("page", F.when(F.col("event_id") % 3 == 0, place).otherwise(F.col("page")))
+    frame = training.materialize(churn_features(df), "test")
+    assert {None, *odd} <= {feature.page for feature in training.feature_list(frame) if feature.is_page}
+    assert training.compare(frame, ["dt"]).count() == 1
+    model = training.train(frame, "dt")
+    model.save(str(tmp_path / "model"))
+    loaded = training.ChurnModel.load(spark, str(tmp_path / "model"))
+    # Without "Home", the page "home" gets another column name, yet it is the same page.
+    later = churn_features(df.where(~F.col("page").eqNullSafe("Home")))
+    assert training.score_users(loaded, later).count() == later.count()
+    homes = {f.name: f.page for f in training.feature_list(later) if f.page == "home"}
+    assert list(homes) == ["home"]
+
+
+def test_compare_takes_a_random_split(features):
+    found = training.compare(features, ["dt"], split=lambda df: training.random_split(df, seed=3)).first()
+    assert found.tn + found.fp + found.fn + found.tp == training.random_split(training.assemble(features), seed=3)[1].count()
+
+
 def test_unknown_classifier():
     with pytest.raises(ValueError):
         training.classifier("knn", 3)
