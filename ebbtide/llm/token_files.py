@@ -38,9 +38,10 @@ from ebbtide.llm.tokens import default_tokenizer, encoder
 
 MAGIC = b"EBTOK01\n"
 HEADER = struct.Struct("<8sIIIIIQqQQ")
-BLOCK_TOKENS = 8_000_000
+BLOCK_TOKENS = 4_000_000
 SAMPLE = 256  # one directory entry for so many values
 FLUSH_BYTES = 8_000_000
+CACHE_ENTRIES = 350_000  # less than in packing: sorting and writing share the executor's memory
 
 
 class EliasFano:
@@ -153,7 +154,7 @@ def write_token_files(
     texts = id_and_text(docs, id_col, text_col).withColumn("id", F.col("id").cast("long"))
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end, task = encoder(file).encode, end_id.to_bytes(4, "little"), TaskContext.get().partitionId()
+        encode, end, task = encoder(file, CACHE_ENTRIES).encode, end_id.to_bytes(4, "little"), TaskContext.get().partitionId()
         ids, lengths, parts, total, number = [], [], [], 0, 0
         for batch in batches:
             for doc, tokens in zip(batch.column(0), encode(text.as_py() for text in batch.column(1))):

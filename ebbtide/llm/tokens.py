@@ -2,25 +2,51 @@
 
 Byte-level BPE starts a new piece at every blank that follows a visible character, so a text can
 be cut there and each word, with the blank before it, encoded alone. Words repeat, so their ids
-are cached and only new words go to the tokenizers library, many in one call. A text with blanks
-in a row goes there whole. The cache has two generations: a full one becomes the old one, so
-frequent words survive and a worker's memory is bounded. The ids are those of
+are cached and only new words go to the tokenizers library, many in one call. Words that differ
+only in a full stop, comma or line break share their letters, which are a piece by themselves. A
+text with blanks in a row goes there whole. Caches have two generations: a full one becomes the
+old one, so frequent words survive and a worker's memory is bounded. The ids are those of
 ``encode(text, add_special_tokens=False)`` with special strings read as ordinary text.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 
-CACHE_ENTRIES = 600_000  # of one generation
+CACHE_ENTRIES = 400_000  # of one generation
+#: Letters, a mark, a line break, letters, a mark: each a piece of its own.
+_PARTS = re.compile(r"([^\W\d_]+)([.,]?)(?:(\n)([^\W\d_]+)([.,]?))?").fullmatch
 LONG_WORD = 64
 GROUP_CHARS = 2_000_000
 
 
+class _Generations:
+    """A bounded cache of ids that keeps what is used again."""
+
+    def __init__(self, entries: int):
+        self.young: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
+        self._entries = entries
+
+    def missing(self, keys: set[str]) -> list[str]:
+        """Makes the known ones of ``keys`` young; the others."""
+        if len(self.young) >= self._entries:
+            self._old, self.young = self.young, {}
+        out = []
+        for key in keys.difference(self.young):
+            ids = self._old.get(key)
+            if ids is None:
+                out.append(key)
+            else:
+                self.young[key] = ids
+        return out
+
+
 class WordCachedEncoder:
     def __init__(self, path: str, entries: int = CACHE_ENTRIES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark runs a task per core
@@ -28,26 +54,25 @@ class WordCachedEncoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
-        self._young: dict[str, bytes] = {}
-        self._old: dict[str, bytes] = {}
-        self._entries = entries
+        self._words, self._pieces = _Generations(entries), _Generations(entries)
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(one.ids, "<u4").tobytes() for one in found]
 
     def _learn(self, words: set[str]) -> None:
-        """Puts ``words`` into the young generation."""
-        if len(self._young) >= self._entries:
-            self._old, self._young = self._young, {}
-        new = []
-        for word in words.difference(self._young):
-            ids = self._old.get(word)
-            if ids is None:
-                new.append(word)
+        """Puts ``words``, each with the blank before it, into the young generation."""
+        new = {}
+        for word in self._words.missing(words):
+            parts = _PARTS(word)
+            if parts and parts[1].isalpha() and (parts[4] is None or parts[4].isalpha()):
+                new[word] = (f" {parts[1]}", *[part for part in parts.groups()[1:] if part])
             else:
-                self._young[word] = ids
-        self._young.update(zip(new, self._ids([f" {word}" for word in new])))
+                new[word] = (f" {word}",)
+        pieces = self._pieces.missing(set().union(*new.values()))
+        self._pieces.young.update(zip(pieces, self._ids(pieces)))
+        known = self._pieces.young.__getitem__
+        self._words.young.update((word, b"".join(map(known, parts))) for word, parts in new.items())
 
     def _group(self, texts: list[str]) -> list[bytes]:
         split = [text.split(" ") for text in texts]
@@ -57,7 +82,7 @@ class WordCachedEncoder:
         long = {word for word in words if len(word) > LONG_WORD}
         first = self._ids([parts[0] for parts in split])
         self._learn(words - risky - long)
-        known, out = self._young, []
+        known, out = self._words.young, []
         for text, start, parts in zip(texts, first, split):
             rest = parts[1:]
             if (risky and not risky.isdisjoint(rest)) or (rest and (not parts[0] or parts[0][-1].isspace())):
@@ -82,10 +107,10 @@ class WordCachedEncoder:
             yield from self._group(group)
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str) -> WordCachedEncoder:
+@lru_cache(maxsize=1)
+def encoder(path: str, entries: int = CACHE_ENTRIES) -> WordCachedEncoder:
     """One encoder per worker process and tokenizer file."""
-    return WordCachedEncoder(path)
+    return WordCachedEncoder(path, entries)
 
 
 def default_tokenizer() -> str:
