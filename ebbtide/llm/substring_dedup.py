@@ -28,15 +28,14 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.llm.bloom import FilterBits, hash_filter, marked, maybe_in
+from ebbtide.llm.bloom import FilterBits, hash_filter, marked
 from ebbtide.llm.common import arrow_map, id_and_text, type_name, written
-from ebbtide.llm.words import WordHashes, mixed
+from ebbtide.llm.words import grouped, mixed, split_hashes
 
 WINDOW = 35
 BLOCK = 18
@@ -44,16 +43,6 @@ FLUSH_ROWS = 400_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
-@lru_cache(maxsize=1)
-def _known() -> WordHashes:
-    return WordHashes(lambda word: word)
-
-
-def word_hashes(text: str) -> np.ndarray:
-    # bytes.split knows exactly the six blanks.
-    return _known().hashes(text.encode("utf-8", "surrogatepass").split())
-
-
 def stretches(words: np.ndarray, size: int, step: int = 1) -> np.ndarray:
     """Hashes of ``size`` words in a row, starting at every ``step``-th word."""
     if len(words) < size:
@@ -73,7 +62,9 @@ def stretches(words: np.ndarray, size: int, step: int = 1) -> np.ndarray:
 
 def _hashes(texts_to: Callable[[np.ndarray], np.ndarray]) -> Callable[[Iterator], Iterator[np.ndarray]]:
     """Hashes of the texts in batches, from their word hashes."""
-    return lambda batches: (texts_to(word_hashes(text.as_py())) for batch in batches for text in batch.column(0))
+    return lambda batches: (
+        texts_to(words) for batch in batches for group in grouped(batch.column(0)) for words in split_hashes(group)
+    )
 
 
 def candidate_windows(words: np.ndarray, anchors: FilterBits, block: int, window: int) -> np.ndarray:
@@ -106,8 +97,7 @@ def repeated_windows(texts: DataFrame, window: int = WINDOW, block: int = BLOCK)
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, starts, hashes, size = [], [], [], 0
-            for k, text in enumerate(batch.column(0)):
-                words = word_hashes(text.as_py())
+            for k, words in enumerate(w for group in grouped(batch.column(0)) for w in split_hashes(group)):
                 found = candidate_windows(words, anchors.value, block, window)
                 if not len(found):
                     continue
@@ -134,8 +124,7 @@ def repeated_windows(texts: DataFrame, window: int = WINDOW, block: int = BLOCK)
     windows = arrow_map(texts.select("text", "text_key"), candidates, "text_key long, start int, hash long")
     repeated = windows.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash")
     repeated = written(repeated, "repeated-windows")
-    near = maybe_in(windows, "hash", repeated, hashed=True)
-    return near.join(repeated, "hash", "left_semi").select("text_key", "start")
+    return windows.join(repeated, "hash", "left_semi").select("text_key", "start")
 
 
 def _runs(starts: list[int], size: int) -> list[tuple[int, int]]:

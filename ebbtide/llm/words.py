@@ -1,14 +1,14 @@
-"""Words as 64-bit hashes, with a bounded cache per worker process."""
+"""Words as 64-bit hashes: straight from the bytes of many texts, or by normal form with a cache."""
 
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import xxhash
 
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 200_000
 
 
 class WordHashes(dict):
@@ -49,3 +49,56 @@ def mixed(keys: np.ndarray) -> np.ndarray:
     keys = (keys ^ (keys >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     keys = (keys ^ (keys >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return keys ^ (keys >> np.uint64(31))
+
+
+BLANKS = np.zeros(256, bool)
+BLANKS[[0x20, *range(0x09, 0x0E)]] = True
+#: A number for each byte and the base of the polynomial (fixed values of a seeded generator).
+_OF_BYTE = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_OF_LOWER = _OF_BYTE.copy()
+_OF_LOWER[0x41:0x5B] = _OF_BYTE[0x61:0x7B]
+_BASE = 0xD6E8FEB86659FD93
+_INVERSE = pow(_BASE, -1, 1 << 64)
+GROUP_BYTES = 500_000
+_powers: dict[int, np.ndarray] = {}
+
+
+def _powers_of(base: int, size: int) -> np.ndarray:
+    known = _powers.get(base)
+    if known is None or len(known) < size:
+        steps = np.full(max(size, GROUP_BYTES + 1), np.uint64(base))
+        steps[0] = 1
+        known = _powers[base] = np.multiply.accumulate(steps)
+    return known
+
+
+def split_hashes(texts: list[bytes], lower: bool = False) -> list[np.ndarray]:
+    """For each text the hashes of its words, which end at blanks; ``lower`` takes A-Z as a-z.
+
+    A word's hash is a polynomial over its bytes, cut out of the running sums over all texts.
+    """
+    data = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
+    ends_of_texts = np.cumsum([len(text) + 1 for text in texts])
+    blank = BLANKS[data]
+    sums = np.cumsum((_OF_LOWER if lower else _OF_BYTE)[data] * _powers_of(_BASE, len(data))[: len(data)])
+    edges = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    if len(data) and not blank[0]:
+        edges = np.concatenate([[0], edges])
+    starts, ends = edges[::2], edges[1::2]  # the data end in a blank
+    before = np.where(starts > 0, sums[starts - 1], np.uint64(0))
+    found = (sums[ends - 1] - before) * _powers_of(_INVERSE, len(data))[starts]
+    found = mixed(found + (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return np.split(found, np.searchsorted(starts, ends_of_texts[:-1])) if texts else []
+
+
+def grouped(column) -> Iterator[list[bytes]]:
+    """The texts of an Arrow column as bytes, some hundred kilobytes at a time."""
+    group, size = [], 0
+    for value in column.cast("binary"):
+        group.append(value.as_py())
+        size += len(group[-1])
+        if size > GROUP_BYTES:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
