@@ -43,7 +43,7 @@ LENGTH = 50
 ANCHOR = 26
 STRETCH_BYTES = 2_000_000
 FLUSH_ROWS = 500_000
-SORT_BYTES = 8_000_000
+SORT_BYTES = 1_500_000
 LAST = np.iinfo(np.int64).max
 MULTIPLIER = 0x9E3779B97F4A7C15
 
@@ -153,7 +153,7 @@ def _words_at(padded: np.ndarray, starts: np.ndarray, offset: int) -> np.ndarray
 def _direct_order(data: np.ndarray, starts: np.ndarray, limit: int) -> np.ndarray:
     """The order of ``starts`` by their first ``limit`` bytes, eight at a time, ties only."""
     padded = np.concatenate([data, np.zeros(limit + 16, np.uint8)])
-    order = np.argsort(_words_at(padded, starts, 0), kind="stable")
+    order = np.argsort(_words_at(padded, starts, 0))
     group = np.zeros(len(starts), np.int64)
     keys = _words_at(padded, starts[order], 0)
     group[1:] = np.cumsum(keys[1:] != keys[:-1])
@@ -163,7 +163,10 @@ def _direct_order(data: np.ndarray, starts: np.ndarray, limit: int) -> np.ndarra
         if not len(open_):
             break
         keys = _words_at(padded, starts[order[open_]], offset)
-        inner = np.lexsort((keys, group[open_]))
+        by_key = np.argsort(keys)
+        rank = np.empty(len(keys), np.int64)
+        rank[by_key] = np.concatenate([[0], np.cumsum(keys[by_key][1:] != keys[by_key][:-1])])
+        inner = np.argsort(group[open_] * len(keys) + rank)
         order[open_] = order[open_][inner]
         keys, labels = keys[inner], group[open_][inner]
         new = np.zeros(len(order), bool)
