@@ -16,7 +16,13 @@ enough when rare tokens + sum over sub-classes (c - 1) > t. The number of sub-cl
 two that grows with n, and pairs are emitted for the coarser classes of the smallest partner, so
 both sides emit every pair that the argument needs.
 
-Verification. The nodes of a signature that only one node has are done. For the others, each
+Positions. A rare token also says where it stands in the order of its set. The first token that two
+sets share is such a signature, or there is none; no shared token stands before it, so the sets
+share at most the tokens from there on. Pairs for which that is too little are not looked at, and
+a node leaves a signature when no member is small enough for it.
+
+Verification. Sketches of the sets rule out most pairs that share little; the others are compared
+as whole sets, recomputed from the texts. The nodes of a signature that only one node has are done. For the others, each
 round compares some pivots of every signature with the members of other components, links those
 that verify and contracts; a pivot compared with all members leaves. Signatures whose members are
 one component are done, which for groups of near copies is after a round or two: the first pivot
@@ -31,36 +37,29 @@ repeated rows among them, are linked; an empty table gives no rows; extra column
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbtide.llm.bloom import marked, maybe_in
+from ebbtide.llm.bloom import hash_filter, marked, maybe_in
 from ebbtide.llm.common import arrow_map, free_name, id_and_text, type_name, written
 from ebbtide.llm.graph import components
-from ebbtide.llm.words import WordHashes, mixed
+from ebbtide.llm.words import grouped, mixed, split_hashes
 
 SHINGLE = 5
 PERCENT = 80
 CELL_BITS = 20
 CELLS_A_ROW = 4096
 LEVELS = 4  # an octave
+SKETCH_BITS = 2048
 BATCH_BYTES = 8_000_000
 
 
-@lru_cache(maxsize=1)
-def _known() -> WordHashes:
-    return WordHashes(lambda word: word)
-
-
-def shingles(text: str, size: int = SHINGLE) -> np.ndarray:
+def shingles(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
     """Sorted distinct hashes of the word shingles; of the whole sequence if it is shorter."""
-    # bytes.lower and bytes.split know exactly A-Z and the six blanks.
-    words = _known().hashes(text.encode("utf-8", "surrogatepass").lower().split())
     if not len(words):
         return np.empty(0, np.uint64)
     size, n = min(size, len(words)), max(1, len(words) - size + 1)
@@ -70,6 +69,11 @@ def shingles(text: str, size: int = SHINGLE) -> np.ndarray:
     return np.unique(mixed(key))
 
 
+def _sets_of(column, size: int) -> Iterator[np.ndarray]:
+    """The shingle sets of the texts of an Arrow column."""
+    return (shingles(words, size) for group in grouped(column) for words in split_hashes(group, lower=True))
+
+
 def least_overlap(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
@@ -79,16 +83,19 @@ def classes(n: int) -> int:
     return 1 << max(0, (n // 8).bit_length() - 1)
 
 
-def signatures(tokens: np.ndarray, levels: np.ndarray, frequent: int, percent: int) -> np.ndarray:
-    """The signatures of a set: single rare tokens, pairs of frequent ones of a sub-class."""
+def signatures(
+    tokens: np.ndarray, levels: np.ndarray, frequent: int, percent: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """The signatures of a set (single rare tokens, pairs of frequent ones of a sub-class) and how
+    many tokens two sets can share whose first common signature this is: for a pair, all of them."""
     n = len(tokens)
     if n < 2:  # only an equal set can be linked to a single token
-        return np.empty(0, np.uint64)
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
     ordered = tokens[np.lexsort((tokens, levels))]
     rare = int((levels < frequent).sum())
     need = n - least_overlap(n, percent) + 1
     if rare >= need:
-        return ordered[:need]
+        return ordered[:need], n - np.arange(need)
     common = ordered[rare:]
     _, first = np.unique(common & np.uint64(classes(n) - 1), return_index=True)
     counts = np.ones(len(common), np.int64)
@@ -100,10 +107,9 @@ def signatures(tokens: np.ndarray, levels: np.ndarray, frequent: int, percent: i
     for token in taken.tolist():
         groups.setdefault(token & coarse, []).append(token)
     pairs = [pair for group in groups.values() for pair in combinations(sorted(group), 2)]
-    if not pairs:
-        return ordered[:rare]
-    low, high = np.array(pairs, np.uint64).T
-    return np.concatenate([ordered[:rare], mixed(low * np.uint64(0x9E3779B97F4A7C15) + high * np.uint64(5))])
+    low, high = np.array(pairs, np.uint64).reshape(-1, 2).T
+    both = mixed(low * np.uint64(0x9E3779B97F4A7C15) + high * np.uint64(5))
+    return np.concatenate([ordered[:rare], both]), np.concatenate([n - np.arange(rare), np.full(len(both), n)])
 
 
 def _counters(texts: DataFrame, size: int) -> np.ndarray:
@@ -111,10 +117,16 @@ def _counters(texts: DataFrame, size: int) -> np.ndarray:
     import pyarrow as pa
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(1 << CELL_BITS, np.int64)
+        cells, held, waiting = np.zeros(1 << CELL_BITS, np.int64), [], 0
         for batch in batches:
-            for text in batch.column(1):
-                np.add.at(cells, (shingles(text.as_py(), size) >> np.uint64(64 - CELL_BITS)).astype(np.int64), 1)
+            for tokens in _sets_of(batch.column(1), size):
+                held.append((tokens >> np.uint64(64 - CELL_BITS)).astype(np.int32))
+                waiting += len(held[-1])
+                if waiting > 1 << CELL_BITS:
+                    cells += np.bincount(np.concatenate(held), minlength=len(cells))
+                    held, waiting = [], 0
+        if held:
+            cells += np.bincount(np.concatenate(held), minlength=len(cells))
         yield _cell_rows({k: row for k, row in enumerate(cells.reshape(-1, CELLS_A_ROW)) if row.any()})
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,7 +152,7 @@ def _counters(texts: DataFrame, size: int) -> np.ndarray:
 
 
 def _sets(texts: DataFrame, levels, frequent: int, size: int, percent: int) -> DataFrame:
-    """id, node, n, signatures of every document; node is a hash of the whole set, null if it is empty."""
+    """id, node, n, sketch, signatures, rest of every document; node hashes the whole set, null if it is empty."""
     import pyarrow as pa
 
     shared = texts.sparkSession.sparkContext.broadcast(levels)
@@ -148,13 +160,12 @@ def _sets(texts: DataFrame, levels, frequent: int, size: int, percent: int) -> D
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, at, rows, held = batch.column(0), [], [], 0
-            for k, text in enumerate(batch.column(1)):
-                tokens = shingles(text.as_py(), size)
+            for k, tokens in enumerate(_sets_of(batch.column(1), size)):
                 level = shared.value[(tokens >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
-                found = signatures(tokens, level, frequent, percent)
+                found, rest = signatures(tokens, level, frequent, percent)
                 at.append(k)
-                rows.append((_node(tokens), len(tokens), found.view(np.int64)))
-                held += found.nbytes
+                rows.append((_node(tokens), len(tokens), _sketch(tokens), found.view(np.int64), rest.astype(np.int32)))
+                held += found.nbytes + SKETCH_BITS // 8
                 if held > BATCH_BYTES:
                     yield _rows(ids, at, rows)
                     at, rows, held = [], [], 0
@@ -162,17 +173,19 @@ def _sets(texts: DataFrame, levels, frequent: int, size: int, percent: int) -> D
                 yield _rows(ids, at, rows)
 
     def _rows(ids, at, rows):
-        node, n, found = zip(*rows)
+        node, n, sketch, found, rest = zip(*rows)
         ends = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
         return pa.RecordBatch.from_arrays(
             [
                 ids.take(pa.array(at, pa.int64())), pa.array(node, pa.int64()), pa.array(n, pa.int64()),
+                pa.array(sketch, pa.list_(pa.int64())),
                 pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found), pa.int64())),
+                pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rest), pa.int32())),
             ],
-            names=["id", "node", "n", "signatures"],
+            names=["id", "node", "n", "sketch", "signatures", "rest"],
         )
 
-    schema = f"id {type_name(texts, 'id')}, node long, n long, signatures array<long>"
+    schema = f"id {type_name(texts, 'id')}, node long, n long, sketch array<long>, signatures array<long>, rest array<int>"
     return written(arrow_map(texts, sets, schema), "shingle-sets", "lz4")
 
 
@@ -183,6 +196,13 @@ def _node(tokens: np.ndarray) -> int | None:
     return value - (1 << 64) if value >> 63 else value
 
 
+def _sketch(tokens: np.ndarray) -> np.ndarray:
+    """A bitmap of the hashed tokens: bits of one set that another lacks count tokens that it lacks."""
+    bits = np.zeros(SKETCH_BITS, np.uint8)
+    bits[(tokens & np.uint64(SKETCH_BITS - 1)).astype(np.int64)] = 1
+    return np.packbits(bits).view(np.int64)
+
+
 def _token_sets(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """node, tokens of the wanted nodes: recomputed from the texts of the rows that may hold them."""
     import pyarrow as pa
@@ -190,8 +210,7 @@ def _token_sets(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes, found, held = [], [], 0
-            for text in batch.column(0):
-                got = shingles(text.as_py(), size)
+            for got in _sets_of(batch.column(0), size):
                 nodes.append(_node(got))
                 found.append(got.view(np.int64))
                 held += got.nbytes
@@ -214,18 +233,36 @@ def _token_sets(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
 
 def _shared(sets: DataFrame) -> DataFrame:
-    """signature, node, n, weight for signatures of two nodes or more.
+    """signature, node, n, rest, weight for signatures of two nodes or more.
 
     ``weight`` is the number of these signatures that a node has per token: most for an original.
     """
-    exploded = sets.where("node is not null").select("node", "n", F.explode("signatures").alias("signature"))
-    several = written(
-        exploded.groupBy("signature").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-        .where("low < high").select("signature"),
-        "shared-signatures",
+    import pyarrow as pa
+
+    found = sets.where("node is not null").select("node", "n", "signatures", "rest")
+    flat = lambda batch: batch.column(2).flatten().to_numpy().view(np.uint64)
+    shared = hash_filter(found, lambda batches: (flat(batch) for batch in batches), least=2)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = flat(batch)
+            sizes = np.diff(batch.column(2).offsets.to_numpy())
+            keep = np.flatnonzero(shared.value.may_hold(keys))
+            row = pa.array(np.repeat(np.arange(len(sizes)), sizes)[keep])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(keys[keep].view(np.int64)), batch.column(0).take(row), batch.column(1).take(row),
+                    batch.column(3).flatten().take(pa.array(keep)),
+                ],
+                names=["signature", "node", "n", "rest"],
+            )
+
+    members = written(arrow_map(found, rows, "signature long, node long, n long, rest int").distinct(), "maybe-members")
+    several = (
+        members.groupBy("signature").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+        .where("low < high").select("signature")
     )
-    near = maybe_in(exploded, "signature", several, hashed=True)
-    members = written(near.join(several, "signature", "left_semi").distinct(), "members")
+    members = written(members.join(written(several, "shared-signatures"), "signature", "left_semi"), "members")
     weights = members.groupBy("node").agg((F.count(F.lit(1)) / F.max("n")).alias("weight"))
     return written(members.join(weights, "node"), "weighted-members")
 
@@ -233,19 +270,40 @@ def _shared(sets: DataFrame) -> DataFrame:
 def _first_pivots(members: DataFrame, percent: int) -> DataFrame:
     """(a, b): the heaviest node of every signature with each of the others."""
     heaviest = written(
-        members.groupBy("signature").agg(F.max(F.struct("weight", "node", "n")).alias("top"))
-        .select("signature", F.col("top.node").alias("pivot"), F.col("top.n").alias("pivot_n")),
+        members.groupBy("signature").agg(F.max(F.struct("weight", "node", "n", "rest")).alias("top"))
+        .select(
+            "signature", F.col("top.node").alias("pivot"), F.col("top.n").alias("pivot_n"),
+            F.col("top.rest").alias("pivot_rest"),
+        ),
         "pivots",
     )
-    return _pairs(members.join(heaviest, "signature"), percent)
+    return _pairs(members, heaviest, F.lit(True), percent)
+
 
+def _pairs(members: DataFrame, pivots: DataFrame, facing: Column, percent: int) -> DataFrame:
+    """Distinct pairs of a member and a pivot whose sizes and positions allow a link.
 
-def _pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs whose sizes allow a link."""
+    J >= p % means that both sizes are within p % and that p / (100 + p) of their sum is shared.
+    """
     small, large = F.least("n", "pivot_n"), F.greatest("n", "pivot_n")
-    return rows.where((F.col("node") != F.col("pivot")) & (100 * small >= percent * large)).select(
-        F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")
-    ).distinct()
+    enough = (100 + percent) * F.least("rest", "pivot_rest") >= percent * (F.col("n") + F.col("pivot_n"))
+    rows = members.alias("m").join(
+        pivots.alias("p"),
+        (F.col("m.signature") == F.col("p.signature")) & (F.col("node") != F.col("pivot"))
+        & (100 * small >= percent * large) & enough & facing,
+    )
+    return rows.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+
+
+def _plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sketches leave a link possible: neither set lacks too many of the other's bits."""
+    side = lambda c: nodes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
+    joined = pairs.join(side("a"), "a").join(side("b"), "b")
+    lacking = lambda x, y: F.aggregate(
+        F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q)))), F.lit(0), lambda total, one: total + one
+    )
+    near = lambda x, y: 100 * lacking(f"sketch_{x}", f"sketch_{y}") <= (100 - percent) * F.col(f"n_{x}")
+    return joined.where(near("a", "b") & near("b", "a")).select("a", "b")
 
 
 def _verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
@@ -258,32 +316,46 @@ def _verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     return joined.where(100 * common >= percent * union).select("a", "b")
 
 
-def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """``members`` with their component, of signatures that still have several components."""
+def _links_of(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs that link; sets are recomputed for the nodes of plausible pairs only."""
+    plausible = written(_plausible(pairs, nodes, percent), "plausible")
+    ends = plausible.select(F.col("a").alias("node")).unionByName(plausible.select(F.col("b").alias("node"))).distinct()
+    wanted = written(nodes.select("node", "id").join(ends, "node", "left_semi"), "wanted")
+    tokens = written(_token_sets(texts, wanted, size), "token-sets", "lz4")
+    return written(_verified(plausible, tokens, percent), "links")
+
+
+def _open(members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """``members`` with their component, of signatures that still have several components.
+
+    A member leaves when even the smallest one is too large for what it can share here.
+    """
     roots = labels.select("node", "root")
     labelled = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     several = (
-        labelled.groupBy("signature").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-        .where("low < high").select("signature")
+        labelled.groupBy("signature")
+        .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("n").alias("least_n"))
+        .where("low < high").select("signature", "least_n")
     )
-    return labelled.join(written(several, "open-signatures"), "signature", "left_semi")
+    can_link = (100 + percent) * F.col("rest") >= percent * (F.col("n") + F.col("least_n"))
+    return labelled.join(written(several, "open-signatures"), "signature").where(can_link).drop("least_n")
 
 
 def links(texts: DataFrame, sets: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame | None]:
     """Verified links (a, b) between nodes that give the components, and these (node, root)."""
     spark = texts.sparkSession
     members = _shared(sets)
-    wanted = written(
-        sets.join(members.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min("id").alias("id")),
-        "wanted",
+    nodes = written(
+        sets.join(members.select("node").distinct(), "node", "left_semi")
+        .groupBy("node").agg(F.min("id").alias("id"), F.max("n").alias("n"), F.max("sketch").alias("sketch")),
+        "nodes",
     )
-    tokens = written(_token_sets(texts, wanted, size), "token-sets")
     pairs = written(_first_pivots(members, percent), "pairs")
-    found = written(_verified(pairs, tokens, percent), "links")
+    found = _links_of(pairs, nodes, texts, size, percent)
     labels = components(found) if found.take(1) else spark.createDataFrame([], "node long, root long")
     pivots = 4
     while True:
-        left = written(_open(members, labels).drop("root"), "open")
+        left = written(_open(members, labels, percent).drop("root"), "open")
         if not left.take(1):
             return found, labels
         order = Window.partitionBy("signature").orderBy(F.desc("weight"), F.desc("node"))
@@ -294,15 +366,15 @@ def links(texts: DataFrame, sets: DataFrame, size: int, percent: int) -> tuple[D
             "ranked",
         )
         heads = ranked.where(F.col("rank") <= pivots).select(
-            "signature", F.col("node").alias("pivot"), F.col("n").alias("pivot_n"),
+            "signature", F.col("node").alias("pivot"), F.col("n").alias("pivot_n"), F.col("rest").alias("pivot_rest"),
             F.col("root").alias("pivot_root"), F.col("rank").alias("pivot_rank"),
         )
-        facing = ranked.join(heads, "signature").where("rank > pivot_rank and root <> pivot_root")
-        fresh = written(_pairs(facing, percent).join(pairs, ["a", "b"], "left_anti"), "pairs")
+        facing = (F.col("rank") > F.col("pivot_rank")) & (F.col("root") != F.col("pivot_root"))
+        fresh = written(_pairs(ranked, heads, facing, percent).join(pairs, ["a", "b"], "left_anti"), "pairs")
         # A pivot has met every other member of its signature.
-        members = ranked.where(F.col("rank") > pivots).select("signature", "node", "n", "weight")
+        members = ranked.where(F.col("rank") > pivots).select("signature", "node", "n", "rest", "weight")
         pairs = pairs.unionByName(fresh)
-        new = written(_verified(fresh, tokens, percent), "links")
+        new = _links_of(fresh, nodes, texts, size, percent)
         if new.take(1):
             found = found.unionByName(new)
             labels = components(found)
@@ -316,8 +388,9 @@ def similar_sets(
     texts = id_and_text(docs, id_col, text_col)
     counters = _counters(texts, size)
     levels = np.round(LEVELS * np.log2(np.maximum(counters, 1))).astype(np.uint8)
-    # Frequent: well above what the tokens that share a counter add up to.
-    frequent = int(np.ceil(LEVELS * np.log2(256 + 4 * counters.mean())))
+    # Frequent: in an eighth of all documents or more, and well above what shares a counter.
+    floor = max(256 + 4 * counters.mean(), texts.count() / 8)
+    frequent = int(np.ceil(LEVELS * np.log2(floor)))
     sets = _sets(texts, levels, frequent, size, percent)
     _, labels = links(texts, sets, size, percent)
     rooted = sets.select("id", "n", "node").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -92,8 +92,9 @@ def test_signatures_are_shared_by_all_similar_sets():
         levels = {t: int(rng.integers(0, 20)) for t in np.union1d(x, y).tolist()}
         of = lambda s: np.array([levels[t] for t in s.tolist()], np.uint8)
         for frequent in (0, 5, 10, 30):
-            a, b = (ngram_join.signatures(s, of(s), frequent, 80) for s in (x, y))
-            assert len(np.intersect1d(a, b))
+            (a, rest_a), (b, rest_b) = (ngram_join.signatures(s, of(s), frequent, 80) for s in (x, y))
+            shared, at_a, at_b = np.intersect1d(a, b, return_indices=True)
+            assert len(shared) and np.minimum(rest_a[at_a], rest_b[at_b]).max() >= common
 
 
 def test_drop_similar(odd_docs, no_docs):
