@@ -4,9 +4,10 @@ Byte-level BPE starts a new piece at every blank that follows a visible characte
 be cut there and each word, with the blank before it, encoded alone. Words repeat, so their ids
 are cached and only new words go to the tokenizers library, many in one call. Words that differ
 only in a full stop, comma or line break share their letters, which are a piece by themselves. A
-text with blanks in a row goes there whole. Caches have two generations: a full one becomes the
-old one, so frequent words survive and a worker's memory is bounded. The ids are those of
-``encode(text, add_special_tokens=False)`` with special strings read as ordinary text.
+text with blanks in a row, or with the string of an added token, goes there whole. Caches have two
+generations: a full one becomes the old one, so frequent words survive and a worker's memory is
+bounded. The ids are those of ``encode(text, add_special_tokens=False)`` of the tokenizer as its
+file has it: the string of an added token, such as ``<|endoftext|>``, gets that token's id.
 """
 
 from __future__ import annotations
@@ -53,7 +54,7 @@ class WordCachedEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        self._added = [token.content for token in self._tokenizer.get_added_tokens_decoder().values()]
         self._words, self._pieces = _Generations(entries), _Generations(entries)
 
     def _ids(self, texts: list[str]) -> list[bytes]:
@@ -75,7 +76,7 @@ class WordCachedEncoder:
         self._words.young.update((word, b"".join(map(known, parts))) for word, parts in new.items())
 
     def _group(self, texts: list[str]) -> list[bytes]:
-        split = [text.split(" ") for text in texts]
+        split = [[text] if any(map(text.__contains__, self._added)) else text.split(" ") for text in texts]
         words = set().union(*[parts[1:] for parts in split])
         # A word that ends in white space, or none, means that blanks belong together there.
         risky = {word for word in words if not word or word[-1].isspace()}

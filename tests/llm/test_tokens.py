@@ -72,6 +72,21 @@ def test_cached_ids_are_the_library_s():
         assert found == brute.token_ids(odd)
 
 
+def test_added_tokens_get_their_ids():
+    from tokenizers import Tokenizer
+
+    texts = [
+        "x<|endoftext|>y", "plain words first", "a <|endoftext|> b", "<|endoftext|>", "a  b<|endoftext|> ",
+        "y<|endoftext|><|endoftext|>.\n z", "<|endoftext |> plain words", "w" * 100 + " <|endoftext|>",
+    ]
+    library = Tokenizer.from_file(tokens.default_tokenizer())
+    encoder = tokens.WordCachedEncoder(tokens.default_tokenizer())
+    for _ in range(2):
+        found = [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode(texts)]
+        assert found == [library.encode(text, add_special_tokens=False).ids for text in texts]
+    assert found[0] == [87, 50256, 88]
+
+
 @pytest.mark.parametrize("name", ["documents", "odd_docs"])
 def test_token_files(spark, request, tmp_path, name):
     docs = request.getfixturevalue(name)
