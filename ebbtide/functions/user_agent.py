@@ -96,7 +96,7 @@ def _first_match(agent: str, families: tuple[Family, ...]) -> Column:
 def _version(agent: Column, rule: Column) -> Column:
     """Digits right after the first marker; empty when there are none or no marker is there."""
     start = F.call_function("locate", rule["marker"], agent)
-    tail = F.call_function("substring", agent, start + F.length(rule["marker"]), F.lit(32))
+    tail = F.call_function("substring", agent, start + F.length(rule["marker"]))
     found = (start > 0) & (F.length(rule["marker"]) > 0)
     return F.when(found, F.regexp_extract(tail, "^[0-9._]+", 0)).when(start.isNotNull(), F.lit(""))
 

@@ -110,6 +110,13 @@ def test_unknown_user_agent_is_null(spark):
         assert list(row)[1:] == [None] * 7
 
 
+def test_long_versions_are_whole(spark):
+    version, system = ".".join(["1234"] * 12), "_".join(["7"] * 40)
+    agent = f"Mozilla/5.0 (Macintosh; Intel Mac OS X {system}) Chrome/{version} Safari/537.36"
+    row = with_user_agent(agents(spark, agent)).first()
+    assert (row.userAgent_browser_version, row.userAgent_os_version) == (version, system.replace("_", "."))
+
+
 def test_own_rules(spark):
     rules = Rules((Family("Curl", ("curl/",), marker="curl/"),), DEFAULT_RULES.systems)
     row = with_user_agent(agents(spark, "curl/7.88"), rules).first()
