@@ -17,9 +17,12 @@ from ebbtide.llm.common import free_name, table, written
 
 
 def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go. It learns from every labelled document."""
+    """Documents that the classifier rejects go. It learns from every labelled document.
+
+    Without labels of both kinds nothing is rejected.
+    """
     name = free_name(docs.columns, "score")
-    scored = toxicity.scored(docs, table(spark, sf_dir, "labels"), F.lit(True), score_col=name)
+    scored = toxicity.scored(docs, table(spark, sf_dir, "labels"), F.lit(True), score_col=name, without_model=0.0)
     return scored.where(F.col(name) < toxicity.THRESHOLD).select(*docs.columns)
 
 

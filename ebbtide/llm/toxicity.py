@@ -15,8 +15,9 @@ regression. Features, trees and calibration are Spark jobs; only the lexicon, th
 calibration steps (all bounded) travel to the executors.
 
 Defined results: null and empty texts have zero densities and get the score of such texts; without
-labels of both kinds the score is the share of toxic labels, or 0 without any; unlabelled rows and null labels
-train nothing; repeated rows count as often as they occur; extra columns are kept by ``scored``.
+labels of both kinds, of documents at hand and both for trees and for calibration, there is no model: the
+score is the share of toxic labels (0 without any), or what the caller gives for that case (the pipeline
+gives 0 and so rejects nothing); unlabelled rows and null labels train nothing; repeated rows count as often as they occur; extra columns are kept by ``scored``.
 """
 
 from __future__ import annotations
@@ -220,17 +221,23 @@ def with_features(docs: DataFrame, forms: tuple[tuple[str, float], ...], text_co
 def scored(
     docs: DataFrame, labels: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text",
     label_col: str = "toxic", score_col: str = "score", max_rows: int = MAX_ROWS, columns: list[str] | None = None,
+    without_model: float | None = None,
 ) -> DataFrame:
     """``docs`` (or only ``columns`` of it) with ``score``, the calibrated probability of being toxic.
 
     ``training``: a condition on ``labels`` that says which rows may be learned from. ``max_rows``
-    bounds the sample that trees and calibration are fitted on.
+    bounds the sample that trees and calibration are fitted on. ``without_model``: the score of all
+    rows where labels of both kinds are not there to learn from; the share of toxic labels by default.
     """
     chosen = sample(labels, id_col, label_col, training, max_rows)
-    kinds = {r["label"]: r["n"] for r in chosen.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     columns = columns or docs.columns
-    if len(kinds) < 2:
-        return docs.select(*columns).withColumn(score_col, F.lit(float(next(iter(kinds), 0.0))))
+
+    def unlearned(rows: DataFrame) -> DataFrame:
+        share = rows.agg(F.avg("label")).first()[0] if without_model is None else without_model
+        return docs.select(*columns).withColumn(score_col, F.lit(float(share or 0.0)))
+
+    if chosen.select("label").distinct().count() < 2:
+        return unlearned(chosen)
     forms = learn_forms(docs, chosen, id_col, text_col)
     labelled = docs.select(docs[id_col].alias("sample_id"), docs[text_col].alias("text")).join(F.broadcast(chosen), "sample_id")
     rows = with_features(labelled, forms, "text", "features").select(
@@ -238,6 +245,8 @@ def scored(
     )
     rows = written(rows.repartition(6, "sample_id"), "features")
     held = F.pmod(F.xxhash64("sample_id", F.lit("calibration")), F.lit(5)) == 0
+    if rows.select("label", held).distinct().count() < 4:
+        return unlearned(rows)
     trees = GBTClassifier(maxIter=15, maxDepth=3, stepSize=0.3, seed=7, minInstancesPerNode=10).fit(rows.where(~held))
     raw = lambda df, c: trees.setFeaturesCol(c).setPredictionCol("").setProbabilityCol("__chance").setRawPredictionCol("").transform(df)
     chance = lambda df, c: raw(df, c).withColumn("__chance", vector_to_array("__chance")[1])

@@ -123,6 +123,17 @@ def test_toxicity_without_usable_labels(spark, odd_docs, no_docs):
     assert toxicity.scored(no_docs, none, yes).count() == 0
 
 
+@pytest.mark.parametrize("kind", [0, 1])
+def test_labels_of_one_kind_reject_nothing(spark, odd_docs, tmp_path, kind):
+    usable = [(k, kind) for k in range(4, 18)] + [(1, None), (999, 1 - kind)]  # no document has the id 999
+    for n, labels in enumerate((usable, usable[:-1])):
+        sf_dir = str(tmp_path / str(n))
+        spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(f"{sf_dir}/labels.parquet")
+        assert corpus_pipeline.toxic_documents(spark, odd_docs, sf_dir).count() == odd_docs.count()
+        scores = toxicity.scored(odd_docs, spark.createDataFrame(labels, "doc_id long, toxic int"), F.lit(True))
+        assert {r["score"] for r in scores.collect()} == {float(kind)}
+
+
 def test_toxicity_with_odd_rows(spark, odd_docs):
     bad = [(100 + k, "you idiot moron scum " * (k % 3 + 1), "x", k, True, "d", 0) for k in range(20)]
     good = [(200 + k, f"a calm sentence number {k} about gardens", "x", k, True, "d", 0) for k in range(60)]
