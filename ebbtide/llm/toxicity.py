@@ -3,7 +3,7 @@
 Lexicon. A short list of insults, and what the labelled texts mark: words and word beginnings of 4
 to 7 letters whose share among toxic texts exceeds that among clean ones ``MIN_LIFT`` times and by
 ``MIN_SCORE`` standard errors, each distinct text counted once. Their weight is the logarithm of
-that ratio; at most ``MAX_FORMS`` are kept. Inflected words of any language are met by beginnings.
+that ratio; every form that passes is kept, so the sample bounds their number. Inflected words of any language are met by beginnings.
 
 Features of a text, all computed over the whole of it (``FEATURES``): densities of insults and of
 learned weights, distinct hits, hits near a second-person word and of disguised ones (swapped characters,
@@ -53,7 +53,6 @@ FEATURES = (
 )
 NEAR = 3  # words between an insult and a second-person word
 STEMS = (4, 5, 6, 7)  # letters of a word beginning
-MAX_FORMS = 500
 MAX_ROWS = 20_000
 MIN_LIFT, MIN_SCORE, MIN_TEXTS = 4, 5, 5
 TOP_WEIGHT = 6.0
@@ -196,10 +195,9 @@ def learn_forms(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str)
     lift = share / ((F.col("good") + 0.5) / clean)
     best = (
         counts.where((F.col("bad") >= MIN_TEXTS) & (lift >= MIN_LIFT) & (pooled < 1) & (score >= MIN_SCORE))
-        .select("form", F.least(F.log(lift), F.lit(TOP_WEIGHT)).alias("weight"), score.alias("score"))
-        .orderBy(F.desc("score"), "form").limit(MAX_FORMS)
+        .select("form", F.least(F.log(lift), F.lit(TOP_WEIGHT)).alias("weight"))
     )
-    return tuple(sorted((r["form"], r["weight"]) for r in best.select("form", "weight", "score").collect()))
+    return tuple(sorted((r["form"], r["weight"]) for r in best.collect()))
 
 
 def with_features(docs: DataFrame, forms: tuple[tuple[str, float], ...], text_col: str, name: str) -> DataFrame:

@@ -115,6 +115,16 @@ def test_toxicity_features():
     assert of("a calm sentence")["hits"] == 0
 
 
+def test_every_learned_form_is_kept(spark):
+    letters = "abcdefghij"
+    vocabulary = [f"{a}{b}{c}" for a in letters for b in letters for c in letters][:600]
+    rows = [(k, " ".join([*vocabulary, f"n{k}"]), 1.0) for k in range(20)] + [(k, f"calm text {k}", 0.0) for k in range(20, 60)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    chosen = spark.createDataFrame([(r[0], r[2]) for r in rows], "sample_id long, label double")
+    forms = dict(toxicity.learn_forms(docs, chosen, "doc_id", "text"))
+    assert set(vocabulary) <= set(forms)
+
+
 def test_toxicity_without_usable_labels(spark, odd_docs, no_docs):
     none = spark.createDataFrame([(1, None), (None, 1)], "doc_id long, toxic int")
     yes = F.lit(True)
