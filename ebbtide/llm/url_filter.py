@@ -5,8 +5,8 @@ The other urls are judged by multinomial naive Bayes, trained on the urls that t
 tokens are the words of the host and of the path.
 
 Hosts run words together. A unigram model splits them: words and counts come from the visible
-text of all pages, each distinct host part is cut at every place (up to ``MAX_WORD`` letters), the
-pieces meet their counts in a join, and the Viterbi path over the pieces is the segmentation. All
+text of all pages, each distinct host part is cut at every place into pieces of every length that a
+counted word has, the pieces meet their counts in a join, and the Viterbi path over the pieces is the segmentation. All
 of it is keyed by host part, of which there are far fewer than pages; no vocabulary is broadcast.
 Scores are computed once per pair of host and path words and joined back to the pages.
 
@@ -28,7 +28,6 @@ from pyspark.sql import functions as F
 
 from ebbtide.llm.common import LOWER, UPPER, arrow_map, written
 
-MAX_WORD = 20
 _TAG = re.compile(r"<(script|style)\b.*?</\1\s*>|<[^>]*>", re.S | re.I)
 _WORDS = re.compile(r"[^\W\d_]+")
 
@@ -75,8 +74,7 @@ def word_counts(pages: DataFrame, html_col: str) -> DataFrame:
             found: Counter[str] = Counter()
             for html in batch.column(0):
                 found.update(_WORDS.findall(_TAG.sub(" ", html.as_py() or "").lower()))
-            words = {word: n for word, n in found.items() if len(word) <= MAX_WORD}
-            yield pa.RecordBatch.from_arrays([pa.array(words.keys(), pa.string()), pa.array(words.values(), pa.int64())], names=["word", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.string()), pa.array(found.values(), pa.int64())], names=["word", "n"])
 
     counted = arrow_map(pages.select(pages[html_col].cast("string").alias("html")), count, "word string, n long")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
@@ -89,14 +87,17 @@ def segmented(parts_: DataFrame, counts: DataFrame) -> DataFrame:
     counts = written(counts, "word-counts")
     total = counts.agg(F.sum("n")).first()[0] or 1
     size = F.length("part")
+    longest = parts_.agg(F.max(size)).first()[0] or 0
+    # Single letters need no count: they carry a part over what no word covers.
+    lengths = counts.select(F.length("word").alias("letters")).where(F.col("letters").between(2, longest)).distinct().collect()
+    of_words = F.array(*[F.lit(n) for n in sorted(r["letters"] for r in lengths)]).cast("array<int>")
     pieces = (
         parts_.select("part").distinct()
         .select("part", F.explode(F.sequence(F.lit(1), size)).alias("start"))
-        .select("part", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(MAX_WORD), size - F.col("start") + 1))).alias("letters"))
+        .select("part", "start", F.explode(F.filter(of_words, lambda n: n <= size - F.col("start") + 1)).alias("letters"))
         .select("part", "start", "letters", F.expr("substring(part, start, letters)").alias("word"))
     )
-    # Single letters need no count: they carry a part over what no word covers.
-    known = pieces.where("letters > 1").join(counts, "word")
+    known = pieces.join(counts, "word")
     graph = known.groupBy("part").agg(F.collect_list(F.struct("start", "letters", "n")).alias("edges"))
     whole = parts_.select("part").distinct().join(graph, "part", "left")
     unknown = -math.log(total) - math.log(10)

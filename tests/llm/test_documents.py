@@ -193,6 +193,16 @@ def test_urls(spark):
     assert {r["part"]: r["words"] for r in words.collect()} == {"cheappills": ["cheap", "pills"], "pillsxcheap": ["pills", "x", "cheap"], "": []}
 
 
+def test_long_compounds_stay_whole(spark):
+    compound = "donaudampfschifffahrtsgesellschaft"
+    pages = spark.createDataFrame([(1, f"<p>{compound} donau dampf schifffahrt</p>")], "page_id long, html string")
+    parts = spark.createDataFrame([(f"x{compound}",), (compound,), ("donaudampf",)], "part string")
+    words = url_filter.segmented(parts, url_filter.word_counts(pages, "html"))
+    assert {r["part"]: r["words"] for r in words.collect()} == {
+        f"x{compound}": ["x", compound], compound: [compound], "donaudampf": ["donau", "dampf"]
+    }
+
+
 def test_viterbi_prefers_the_likelier_split():
     edges = [(0, 2, -1.0), (2, 2, -1.0), (0, 4, -3.0), (1, 3, -0.1)]
     assert url_filter.viterbi("abcd", edges, -5.0) == ["ab", "cd"]
