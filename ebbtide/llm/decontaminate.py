@@ -11,8 +11,10 @@ differ, one of the two masks of ``MASKS`` still fits between them, so no overlap
 tries all cases). Short items use a pair of words. Each hit names an item and a shift; the whole
 overlap at that shift is then compared.
 
-The benchmark is read in blocks of at most ``BLOCK_WORDS`` words, whose hashes are broadcast; each
-block meets all documents in one narrow pass, without a shuffle.
+The benchmark's words are hashed in a Spark job and taken in blocks that close at ``BLOCK_WORDS``
+words. A block's hashes are broadcast, meet all documents in one narrow pass, whose finds are
+written, and are released before the next block. ``drop_leaks`` then drops all leaking texts by one
+anti join over their digests; only rows whose text may be among them are shuffled.
 
 Defined results: null and empty texts, and items of fewer than 5 words, match nothing; equal items
 and repeated rows each give their own rows; null ids are kept; an empty table gives no rows; extra
@@ -21,13 +23,16 @@ columns are ignored by ``find_leaks`` and kept by ``drop_leaks``.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ebbtide.llm.common import arrow_map, id_and_text, type_name, written
+from ebbtide.llm.bloom import marked
+from ebbtide.llm.common import arrow_map, free_name, id_and_text, type_name, written
 from ebbtide.llm.words import WordHashes, letters_and_digits, mixed
 
 WINDOW = 13
@@ -121,9 +126,19 @@ def _words(known: WordHashes, text: str | None) -> np.ndarray:
 
 
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: int) -> Iterator[Block]:
-    known, items, size = _hashes(), [], 0
-    for row in id_and_text(benchmark, id_col, text_col).toLocalIterator():
-        items.append((row["id"], _words(known, row["text"])))
+    import pyarrow as pa
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _hashes()
+        for batch in batches:
+            words = [_words(known, text.as_py()).tobytes() for text in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.binary())], names=["id", "words"])
+
+    texts = id_and_text(benchmark, id_col, text_col)
+    schema = f"id {type_name(texts, 'id')}, words binary"
+    items, size = [], 0
+    for row in written(arrow_map(texts, hashed, schema), "benchmark-words").toLocalIterator():
+        items.append((row["id"], np.frombuffer(row["words"], np.uint64)))
         size += len(items[-1][1])
         if size >= block_words:
             yield Block(items)
@@ -176,20 +191,32 @@ def drop_leaks(
     docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
     item_text_col: str = "text", block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
-    """The rows of ``docs`` that leak no item, all columns, in one narrow pass."""
+    """The rows of ``docs`` that leak no item, all columns."""
     import pyarrow as pa
 
-    place, context = docs.columns.index(text_col), docs.sparkSession.sparkContext
+    digest = free_name(docs.columns, "digest")
+    texts = docs.select(F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
 
-    def clean(block):
-        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def against(block):
+        def leaking(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known, items = _hashes(), block.value
             for batch in batches:
-                mask = [not items.leaks(_words(known, text.as_py())) for text in batch.column(place)]
-                yield batch.filter(pa.array(mask, pa.bool_()))
+                read = (text.as_py() for text in batch.column(0))
+                found = [hashlib.sha256(text.encode()).digest() for text in read if items.leaks(_words(known, text))]
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=[digest])
 
-        return keep
+        return arrow_map(texts, leaking, f"`{digest}` binary")
 
+    found = []
     for block in _blocks(benchmark, item_col, item_text_col, block_words):
-        docs = arrow_map(docs, clean(context.broadcast(block)), docs.schema)
-    return docs
+        shared = docs.sparkSession.sparkContext.broadcast(block)
+        found.append(written(against(shared), "leaking"))
+        shared.unpersist()
+    if not found:
+        return docs
+    gone = written(reduce(DataFrame.unionByName, found).distinct(), "leaking-texts")
+    flag = free_name([*docs.columns, digest], "maybe")
+    keyed = docs.withColumn(digest, F.unhex(F.sha2(docs[text_col].cast("string"), 256)))
+    near = marked(keyed, digest, gone, flag)
+    stay = near.where(F.col(flag)).join(gone, digest, "left_anti").select(*docs.columns)
+    return near.where(~F.col(flag)).select(*docs.columns).unionByName(stay)

@@ -76,6 +76,16 @@ def test_leaks_equal_brute_force(spark):
     assert decontaminate.find_leaks(left.limit(0), right).count() == 0
 
 
+def test_blocks_are_released_one_by_one(spark):
+    docs, items = leak_cases(spark)
+    left = spark.createDataFrame([(i, t, 0) for i, t in docs], "doc_id long, text string, digest int").repartition(4)
+    right = spark.createDataFrame(items, "item_id long, text string")
+    kept = decontaminate.drop_leaks(left, right, block_words=100)
+    assert "MapInArrow" not in kept._jdf.queryExecution().toString()  # no block waits in the plan
+    gone = {d for d, _ in plain_leaks(docs, items)}
+    assert sorted(r["doc_id"] or -1 for r in kept.collect()) == sorted(d or -1 for d, _ in docs if d not in gone)
+
+
 def test_masks_survive_any_two_substitutions():
     for gone in itertools.combinations(range(decontaminate.WINDOW), 2):
         assert any(
