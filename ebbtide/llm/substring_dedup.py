@@ -26,7 +26,6 @@ and loses nothing; null ids are kept; an empty table gives no rows; extra column
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np

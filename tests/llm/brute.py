@@ -17,7 +17,6 @@ def token_ids(texts):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     return [tokenizer.encode(text or "", add_special_tokens=False).ids for text in texts]
 
 

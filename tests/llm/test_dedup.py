@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ebbtide.llm import exact_dedup, ngram_join, substring_dedup, suffix_dedup
 from ebbtide.llm.graph import components
+from ebbtide.llm.words import split_hashes
 from tests.llm import brute
 
 
@@ -160,3 +161,39 @@ def test_substring_removal_of_near_copies(spark, no_docs):
     found = substring_dedup.removal(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("sha"))
     assert rows(found, *found.columns) == sorted(brute.word_repeats(brute.pairs(docs)), key=brute.key)
     assert substring_dedup.removal(no_docs).count() == 0
+
+
+def thue_morse(size, letters=b"ab"):
+    return bytes(letters[k.bit_count() % 2] for k in range(size)).decode()
+
+
+@pytest.mark.parametrize("size", [512, 1024, 2048, 8192])
+def test_periodic_words_that_differ_stay_apart(spark, size):
+    """Polynomials modulo 2^64 give these words one hash, whatever the base."""
+    one, other = thue_morse(size), thue_morse(size, b"ba")
+    assert len({int(split_hashes([w.encode()])[0][0]) for w in (one, other)}) == 2
+    rest = " ".join(f"v{k}" for k in range(34))
+    docs = spark.createDataFrame(
+        [(1, f"{one} {rest}"), (2, f"{other} {rest}"), (3, f"{one} a b c"), (4, f"{other} a b c")], "doc_id long, text string"
+    )
+    found = substring_dedup.removal(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("sha"))
+    assert rows(found, *found.columns) == sorted(brute.word_repeats(brute.pairs(docs)))
+    similar = rows(ngram_join.similar_sets(docs), "doc_id", "n_shingles", "component_id")
+    assert similar == sorted(brute.components(brute.pairs(docs)))
+
+
+def test_word_hashes_follow_the_words():
+    rng = random.Random(8)
+    unit = lambda: bytes(rng.choice(b"abAB") for _ in range(rng.randrange(1, 9)))
+    words = [unit() * rng.choice([1, 2, 64, 128, 512]) + unit() * rng.choice([0, 1, 700]) for _ in range(3000)]
+    texts = [b" \t".join(words[k : k + 7]) for k in range(0, len(words), 7)]
+    for lower in (False, True):
+        plain = [(t.lower() if lower else t).split() for t in texts]
+        found = split_hashes(texts, lower)
+        names, back = {}, {}
+        for text, ws, hs in zip(texts, plain, found):
+            assert len(ws) == len(hs) and (split_hashes([text], lower)[0] == hs).all()
+            for w, h in zip(ws, hs.tolist()):
+                assert names.setdefault(w, h) == h and back.setdefault(h, w) == w
+        whole = split_hashes([b" ".join(texts)], lower)[0]
+        assert whole.tolist() == [names[w] for ws in plain for w in ws]
