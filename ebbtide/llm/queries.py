@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import decontaminate, exact_dedup, ngram_join, packing, substring_dedup, suffix_dedup, token_files, toxicity, url_filter, warc
-from ebbtide.llm.common import table
+from ebbtide.llm import decontaminate, exact_dedup, merkle, ngram_join, packing, substring_dedup, suffix_dedup, token_files, toxicity, url_filter, warc
+from ebbtide.llm.common import lower_ascii, table
 from ebbtide.session import scratch_path
 
 
@@ -91,6 +91,22 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+MANIFEST_CELLS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def _tampered_with(doc_id: Column) -> Column:
+    return F.crc32(doc_id.cast("string").cast("binary")) % 3 == 0
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampering = merkle.Tampering(_tampered_with(docs["doc_id"]), {"text": lower_ascii(docs["text"])})
+    found = merkle.folded(docs, "doc_id", "lang", MANIFEST_CELLS, tampering)
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified"
+    )
+
+
 def operator_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
@@ -103,9 +119,76 @@ def operator_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_files": op8_token_files,
         "op9_warc": op9_warc,
         "op10_exact_dedup": op10_exact_dedup,
+        "op13_merkle_manifest": op13_merkle_manifest,
     }
 
 
+def merkle_statement(levels: int = 9) -> str:
+    """The manifest level by level, for trees of up to 8 ** ``levels`` leaves; crc32 bit by bit is a table here."""
+
+    def up(name: str, first: str) -> str:
+        """Levels ``name``0 to ``name``<levels> of nodes (tree, pos, digest, nodes, before, after)."""
+        out = [f"{name}0 AS ({first})"]
+        for k in range(1, levels + 1):
+            out.append(f"""{name}{k} AS (
+                SELECT tree, pos // 8 AS pos, sha256(string_agg(digest, '' ORDER BY pos)) AS digest
+                FROM {name}{k - 1} JOIN (SELECT tree, count(*) AS nodes FROM {name}{k - 1} GROUP BY tree) USING (tree)
+                WHERE nodes > 1 GROUP BY ALL
+                UNION ALL
+                SELECT tree, pos, digest FROM {name}{k - 1}
+                JOIN (SELECT tree, count(*) AS nodes FROM {name}{k - 1} GROUP BY tree) USING (tree) WHERE nodes = 1)""")
+        for k in range(levels + 1):
+            out.append(f"""{name}w{k} AS (
+                SELECT *, count(*) OVER (PARTITION BY tree) AS nodes,
+                       coalesce(string_agg(digest, '') OVER (PARTITION BY tree, pos // 8 ORDER BY pos
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+                       coalesce(string_agg(digest, '') OVER (PARTITION BY tree, pos // 8 ORDER BY pos
+                           ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+                FROM {name}{k})""")
+        return ", ".join(out)
+
+    def walk(name: str, nodes: str, first: str) -> str:
+        """Rows (n, tree, pos, digest, proof) on their way up the levels of ``nodes``."""
+        out = [f"{name}0 AS ({first})"]
+        for k in range(levels):
+            out.append(f"""{name}{k + 1} AS (
+                SELECT r.n, r.tree, CASE WHEN w.nodes > 1 THEN r.pos // 8 ELSE r.pos END AS pos,
+                       CASE WHEN w.nodes > 1 THEN sha256(w.before || r.digest || w.after) ELSE r.digest END AS digest,
+                       CASE WHEN w.nodes > 1 THEN r.proof || w.before || w.after ELSE r.proof END AS proof
+                FROM {name}{k} r JOIN {nodes}w{k} w ON r.tree = w.tree AND r.pos = w.pos)""")
+        return ", ".join(out)
+
+    cell = lambda c: f"coalesce(octet_length(encode(CAST({c} AS VARCHAR))) || ':' || {c}, '-')"
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    leaf = lambda text: "sha256(" + " || ".join([cell(c) for c in ("doc_id", "source", "lang", "n_chars")] + [cell(text)]) + ")"
+    return f"""
+        WITH RECURSIVE hashed AS (
+            SELECT doc_id, coalesce('=' || lang, '-') AS tree, {leaf('text')} AS leaf, {leaf(lowered)} AS changed,
+                   CAST(doc_id AS VARCHAR) AS name
+            FROM documents),
+        crc(doc_id, name, k, value) AS (
+            SELECT DISTINCT doc_id, name, 0, 4294967295::BIGINT FROM hashed WHERE doc_id IS NOT NULL
+            UNION ALL
+            SELECT doc_id, name, k + 1,
+                   (SELECT list_reduce(list_prepend(xor(value, ascii(substr(name, k + 1, 1))), range(8)),
+                           lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END))
+            FROM crc WHERE k < length(name)),
+        marked AS (
+            SELECT row_number() OVER (ORDER BY tree, h.doc_id NULLS FIRST, leaf) AS n, h.doc_id, tree, leaf,
+                   CASE WHEN xor(value, 4294967295) % 3 = 0 THEN changed ELSE leaf END AS used,
+                   row_number() OVER (PARTITION BY tree ORDER BY h.doc_id NULLS FIRST, leaf) - 1 AS pos
+            FROM hashed h LEFT JOIN crc c ON h.doc_id = c.doc_id AND k = length(c.name)),
+        {up("low", "SELECT tree, pos, leaf AS digest FROM marked")},
+        {up("top", f"SELECT '' AS tree, row_number() OVER (ORDER BY encode(tree)) - 1 AS pos, digest FROM low{levels}")},
+        places AS (SELECT tree, row_number() OVER (ORDER BY encode(tree)) - 1 AS pos, digest FROM low{levels}),
+        {walk("climb", "low", "SELECT n, tree, pos, used AS digest, '' AS proof FROM marked")},
+        {walk("over", "top", f"SELECT n, '' AS tree, p.pos, c.digest, c.proof FROM climb{levels} c JOIN places p USING (tree)")}
+        SELECT m.doc_id, m.leaf, p.digest AS subroot, t.digest AS root, sha256(o.proof) AS proof_sha256,
+               o.digest AS folded_root, o.digest = t.digest AS verified
+        FROM marked m JOIN places p USING (tree) JOIN over{levels} o USING (n) CROSS JOIN top{levels} t
+    """
+
+
 def operator_statements() -> dict[str, str]:
     return {
         "op10_exact_dedup": """
@@ -113,4 +196,5 @@ def operator_statements() -> dict[str, str]:
                    doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
             FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
         """,
+        "op13_merkle_manifest": merkle_statement(),
     }
