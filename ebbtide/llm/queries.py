@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import decontaminate, exact_dedup, merkle, ngram_join, packing, substring_dedup, suffix_dedup, token_files, toxicity, url_filter, warc
+from ebbtide.llm import decontaminate, exact_dedup, merkle, ngram_join, packing, secret_scan, substring_dedup, suffix_dedup, token_files, toxicity, url_filter, warc
 from ebbtide.llm.common import lower_ascii, table
 from ebbtide.session import scratch_path
 
@@ -91,6 +91,15 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    of = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    text = lambda spans: F.concat_ws(",", F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])))
+    return found.select(
+        "doc_id", of("assign"), of("access"), of("hex"), F.sha2(text("base"), 256).alias("base_sha256"), text("found").alias("spans")
+    )
+
+
 MANIFEST_CELLS = ["doc_id", "source", "lang", "n_chars", "text"]
 
 
@@ -119,6 +128,7 @@ def operator_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_files": op8_token_files,
         "op9_warc": op9_warc,
         "op10_exact_dedup": op10_exact_dedup,
+        "op12_secret_scan": op12_secret_scan,
         "op13_merkle_manifest": op13_merkle_manifest,
     }
 
