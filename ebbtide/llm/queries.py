@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import decontaminate, exact_dedup, merkle, ngram_join, packing, secret_scan, substring_dedup, suffix_dedup, token_files, toxicity, url_filter, warc
+from ebbtide.llm import decontaminate, exact_dedup, hard_negatives, merkle, ngram_join, packing, secret_scan, substring_dedup, suffix_dedup, token_files, toxicity, url_filter, warc
 from ebbtide.llm.common import lower_ascii, table
 from ebbtide.session import scratch_path
 
@@ -91,6 +91,12 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(vectors["vec_id"] % 7 == 0, (vectors["label"] + 1) % 10).otherwise(vectors["label"])
+    return hard_negatives.mine(vectors, F.col("id") % 100 == 0, label)
+
+
 def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(table(spark, sf_dir, "documents"))
     of = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -128,6 +134,7 @@ def operator_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_token_files": op8_token_files,
         "op9_warc": op9_warc,
         "op10_exact_dedup": op10_exact_dedup,
+        "op11_hard_negatives": op11_hard_negatives,
         "op12_secret_scan": op12_secret_scan,
         "op13_merkle_manifest": op13_merkle_manifest,
     }
@@ -206,5 +213,26 @@ def operator_statements() -> dict[str, str]:
                    doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
             FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
         """,
+        "op11_hard_negatives": """
+            WITH cells AS (
+                SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                       unnest(embedding) AS x, unnest(range(len(embedding))) AS dim, len(embedding) AS dims
+                FROM embeddings
+                WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                  AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+            whole AS (SELECT vec_id, label, dim, dims, CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) AS x FROM cells),
+            scores AS (
+                SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id AS id, b.label AS label, CAST(sum(a.x * b.x) AS BIGINT) AS score
+                FROM whole a JOIN whole b ON a.dims = b.dims AND a.dim = b.dim WHERE a.vec_id % 100 = 0 GROUP BY ALL),
+            positives AS (
+                SELECT anchor_id, id AS positive_id, score AS positive_score FROM scores WHERE id <> anchor_id AND label = own
+                QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+            SELECT anchor_id, positive_id,
+                   CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank,
+                   id AS negative_id, positive_score, score AS negative_score
+            FROM positives JOIN scores USING (anchor_id)
+            WHERE label <> own AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+            QUALIFY rank <= 10
+        """,
         "op13_merkle_manifest": merkle_statement(),
     }
