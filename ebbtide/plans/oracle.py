@@ -317,6 +317,15 @@ SELECT {_bucket('1d')} AS time, level AS metric, count(*) AS value
 FROM logs WHERE {SELECTIONS} GROUP BY 1, 2"""
 
 
+# All rows but every 50th arrive in order of time; those come last, late where the day ended a day
+# before the latest time of the others.
+STREAM_SERIES_LATE = f"""{LOGS}
+SELECT {_bucket('1d')} AS time, level AS metric, count(*) AS value,
+       count(*) FILTER (WHERE event_id % 50 = 0 AND floor(ms / 86400000) * 86400000 + 86400000
+                        <= (SELECT max(ms) FROM logs WHERE {SELECTIONS} AND event_id % 50 <> 0) - 86400000) AS late
+FROM logs WHERE {SELECTIONS} GROUP BY 1, 2"""
+
+
 def oracle_statements() -> dict[str, str]:
     sql = {
         f"distinct_{name}": f"{LOGS} SELECT DISTINCT {column} FROM logs"
@@ -386,6 +395,9 @@ def oracle_statements() -> dict[str, str]:
         "metrics": METRICS,
         "confusion": CONFUSION,
         "stream_ingest": f"{LOGS} SELECT {LAKE}, date FROM logs",
+        "stream_quarantine": f"""{QUARANTINE}
+            UNION ALL SELECT 'good', count(*) FROM logs WHERE NOT ({BROKEN})""",
         "stream_series": STREAM_SERIES,
+        "stream_series_late": STREAM_SERIES_LATE,
     }
     return sql

@@ -19,7 +19,7 @@ from ebbtide.sources.event_log import PAGES, event_log, raw_log, read_events, wi
 from ebbtide.sources.json_log import read_log_json, split_bad_records
 from ebbtide.sources.lake import read_lake, register_views, write_lake
 from ebbtide.streaming.ingest import ingest_stream
-from ebbtide.streaming.series import stream_time_counts, write_time_counts
+from ebbtide.streaming.series import count_stream, counts_so_far, late_counts, time_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -100,18 +100,44 @@ def sql_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "stream")
     raw_lines(spark, sf_dir).write.json(f"{base}/in")
-    for query in ingest_stream(spark, f"{base}/in", f"{base}/lake", f"{base}/checkpoint"):
-        query.awaitTermination()
+    ingest_stream(spark, f"{base}/in", f"{base}/lake", f"{base}/checkpoint").awaitTermination()
     return read_lake(spark, f"{base}/lake")
 
 
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the lake and bad lines by reason, from one stream over a log with faults."""
+    base = scratch_path(spark, "stream")
+    lines = lines_with_faults(spark, sf_dir)
+    ingest_stream(spark, lines, f"{base}/lake", f"{base}/checkpoint", f"{base}/bad", 2).awaitTermination()
+    bad = spark.read.schema("line string, reason string").json(f"{base}/bad")
+    good = read_lake(spark, f"{base}/lake").select(F.lit("good").alias("reason"))
+    return good.unionByName(bad.select("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("lines"))
+
+
 def stream_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     # The pattern matches a single file and a folder of part files alike.
     base, path = scratch_path(spark, "series"), f"{sf_dir}/events.parquet*"
     events = spark.readStream.schema(read_events(spark, sf_dir).schema).parquet(path)
-    counts = stream_time_counts(enrich(raw_log(events)), "level", "1d")
-    write_time_counts(counts, f"{base}/out", f"{base}/checkpoint").awaitTermination()
-    return spark.read.schema("time timestamp, metric string, value bigint").parquet(f"{base}/out")
+    count_stream(time_rows(enrich(raw_log(events)), "level"), f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return counts_so_far(spark, f"{base}/out")
+
+
+LATE_STEP, SLICE_DAYS = 50, 8
+
+
+def stream_series_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts by day with how many of them came late: the log arrives in slices of some days, one row in
+    fifty only after all others."""
+    base, events = scratch_path(spark, "series"), read_events(spark, sf_dir)
+    number = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / (86_400 * SLICE_DAYS))
+    arrival = events.withColumn("slice", F.when(F.col("event_id") % LATE_STEP != 0, number))
+    slices = sorted((r["slice"] is None, r["slice"]) for r in arrival.select("slice").distinct().collect())
+    for _, wanted in slices:
+        arrival.where(F.col("slice").eqNullSafe(F.lit(wanted))).drop("slice").write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(events.schema).parquet(f"{base}/in")
+        count_stream(time_rows(enrich(raw_log(stream)), "level"), f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    late = late_counts(spark, f"{base}/out").groupBy("time", "metric").agg(F.sum("value").alias("late"))
+    return counts_so_far(spark, f"{base}/out").join(late, ["time", "metric"], "left").fillna(0, "late")
 
 
 LINE = f"to_json(struct({', '.join(RAW_SCHEMA.names)}))"
@@ -261,6 +287,8 @@ def all_queries() -> dict[str, Query]:
         "score_users": on_log(score),
         "score_coverage": on_log(score_coverage),
         "stream_ingest": stream_ingest,
+        "stream_quarantine": stream_quarantine,
         "stream_series": stream_series,
+        "stream_series_late": stream_series_late,
     }
     return queries

@@ -69,7 +69,38 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 def drop_table(stored: DataFrame) -> None:
     """Delete the files of a table made by :func:`materialize` that nothing reads any more."""
-    context = stored.sparkSession.sparkContext
     for file in stored.inputFiles()[:1]:
-        path = context._jvm.org.apache.hadoop.fs.Path(file).getParent()
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        Folder(stored.sparkSession, file.rpartition("/")[0]).delete()
+
+
+class Folder:
+    """A folder in any store that Spark reaches: listing, moving and deleting by Hadoop's own calls."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        context = spark.sparkContext
+        self._spark, self._new = spark, context._jvm.org.apache.hadoop.fs.Path
+        self._path = self._new(path.rstrip("/"))
+        self._store = self._path.getFileSystem(context._jsc.hadoopConfiguration())
+
+    def __truediv__(self, name: str) -> Folder:
+        return Folder(self._spark, f"{self._path.toString()}/{name}")
+
+    def __str__(self) -> str:
+        return self._path.toString()
+
+    def exists(self) -> bool:
+        return self._store.exists(self._path)
+
+    def names(self, pattern: str = "*") -> list[str]:
+        """Names in the folder that match ``pattern``, sorted; none if there is no such folder."""
+        found = self._store.globStatus(self._new(self._path, pattern)) or []
+        return sorted(status.getPath().getName() for status in found)
+
+    def delete(self) -> None:
+        self._store.delete(self._path, True)
+
+    def move(self, to: Folder) -> None:
+        """Rename to ``to``, whose own folder is made if need be; an error if the store refuses."""
+        self._store.mkdirs(to._path.getParent())
+        if not self._store.rename(self._path, to._path):
+            raise OSError(f"could not move {self} to {to}")

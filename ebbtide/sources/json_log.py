@@ -65,6 +65,14 @@ def bad_records(df: DataFrame) -> DataFrame:
     return bad.select(F.col(LINE_COLUMN).alias("line"), "reason")
 
 
+def judged(df: DataFrame) -> DataFrame:
+    """All rows, with ``reason`` (NULL for a good one) and ``line`` (for a bad one only)."""
+    reason = bad_reason(df)
+    return df.withColumns({"reason": reason, "line": F.when(reason.isNotNull(), F.col(LINE_COLUMN))}).drop(
+        CORRUPT_COLUMN, LINE_COLUMN
+    )
+
+
 def split_bad_records(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good, bad): malformed lines and lines without a usable time go to bad."""
     return good_records(df), bad_records(df)

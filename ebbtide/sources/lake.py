@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ebbtide.functions.filters import Moment, in_date_range
 from ebbtide.schema import LAKE_SCHEMA, PARTITION_COLUMN
+from ebbtide.session import Folder
 
 
 def write_lake(
@@ -31,6 +32,30 @@ def write_lake(
     writer.orc(path)
 
 
+def publish_days(staged: Folder, lake: Folder) -> None:
+    """Move each staged day (``date=`` folders) into the lake in place of the one that is there.
+
+    A day is replaced by one delete and one rename; days that were not staged are not touched.
+    """
+    for day in staged.names(f"{PARTITION_COLUMN}=*"):
+        (lake / day).delete()
+        (staged / day).move(lake / day)
+
+
+def publish_batch(staged: Folder, lake: Folder, batch: str) -> None:
+    """Add the staged days' files to the lake under names that begin with ``batch``.
+
+    Files of that batch that are there already, from a run that was cut off, go first: a batch that
+    is published again leaves the lake as it was.
+    """
+    for day in lake.names(f"{PARTITION_COLUMN}=*"):
+        for name in (lake / day).names(f"{batch}-*"):
+            (lake / day / name).delete()
+    for day in staged.names(f"{PARTITION_COLUMN}=*"):
+        for number, name in enumerate((staged / day).names("part-*")):
+            (staged / day / name).move(lake / day / f"{batch}-{number:05}.orc")
+
+
 def read_lake(
     spark: SparkSession, path: str, start: Moment | None = None, end: Moment | None = None
 ) -> DataFrame:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
+import re
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ebbtide.plans.ingest import enrich
-from ebbtide.schema import LAKE_SCHEMA, PARTITION_COLUMN
-from ebbtide.sources.json_log import bad_records, good_records, parse_lines
+from ebbtide.plans.ingest import BAD, stage, staged_bad
+from ebbtide.session import Folder
+from ebbtide.sources.json_log import parse_lines
+from ebbtide.sources.lake import publish_batch
 
 
 def ingest_stream(
@@ -18,40 +20,41 @@ def ingest_stream(
     checkpoint: str,
     quarantine: str | None = None,
     max_files: int | None = None,
-    spread: int = 4,
-) -> list[StreamingQuery]:
+    stream: str = "stream",
+) -> StreamingQuery:
     """Take in the files that are new since the last run, then stop.
 
-    ``max_files`` bounds a micro-batch, for a first run over a large backlog.
-
-    Rows of a day are brought together before they are written, in at most ``spread`` tasks, so a
-    batch adds at most ``spread`` files to a day, however many tasks read; raise it where one day
-    of a batch is too much for that many tasks.
+    ``max_files`` bounds a micro-batch, for a first run over a large backlog. Each file is read and
+    parsed once for both sinks: a batch is staged in one job, good and bad lines apart, and then
+    published. Its files carry the names of the stream and the batch, and its bad lines lie in a
+    ``batch=`` folder of the quarantine, so a batch that Spark runs again after a failure replaces what it
+    wrote before and adds nothing. Every ``stream`` that feeds a lake needs a name of its own.
 
-    Each sink has its own checkpoint and is written exactly once per file. A lake fed by a
-    stream must be written by that stream alone: its file log hides files from batch writers.
+    Rows of a day are brought together before they are written, so a batch adds few files to a day,
+    however many tasks read.
     """
+    if not re.fullmatch(r"\w+", stream):
+        raise ValueError(f"stream must be a word, not {stream!r}")
+
+    def take(lines: DataFrame, number: int) -> None:
+        session, name = lines.sparkSession, f"{stream}-{number:09}"
+        staged = Folder(session, lake) / f"_staged-{name}"
+        stage(parse_lines(lines), str(staged))
+        if quarantine:
+            folder = Folder(session, quarantine) / f"batch={name}"
+            folder.delete()
+            if (staged / f"{BAD}=true").exists():
+                staged_bad(session, str(staged)).write.json(str(folder))
+        publish_batch(staged / f"{BAD}=false", Folder(session, lake), name)
+        staged.delete()
+
     reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    lines = parse_lines(reader.text(source_dir))
-    log = enrich(good_records(lines))
-    columns = [c for c in LAKE_SCHEMA.names if c in log.columns]
-    queries = [
-        log.select(*columns)
-        .repartition(PARTITION_COLUMN, F.pmod(F.xxhash64("userId", "ts", "page"), F.lit(spread)))
-        .writeStream.format("orc")
-        .partitionBy(PARTITION_COLUMN)
-        .option("checkpointLocation", f"{checkpoint}/lake")
+    return (
+        reader.text(source_dir)
+        .writeStream.foreachBatch(take)
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(lake)
-    ]
-    if quarantine:
-        queries.append(
-            bad_records(lines)
-            .writeStream.format("json")
-            .option("checkpointLocation", f"{checkpoint}/quarantine")
-            .trigger(availableNow=True)
-            .start(quarantine)
-        )
-    return queries
+        .start()
+    )
