@@ -54,10 +54,12 @@ def in_time_range(df: DataFrame, start: Moment | None, end: Moment | None) -> Da
     return df
 
 
-def in_date_range(df: DataFrame, start: Moment, end: Moment) -> DataFrame:
-    """Days from ``start`` (included) to ``end`` (excluded)."""
+def in_date_range(df: DataFrame, start: Moment | None, end: Moment | None) -> DataFrame:
+    """Days from ``start`` (included) to ``end`` (excluded); ``None`` leaves a side open."""
     day = F.col(PARTITION_COLUMN)
-    return df.where((day >= F.lit(as_day(start))) & (day < F.lit(as_day(end))))
+    if start is not None:
+        df = df.where(day >= F.lit(as_day(start)))
+    return df if end is None else df.where(day < F.lit(as_day(end)))
 
 
 def with_user(df: DataFrame, drop_blank: bool = False) -> DataFrame:

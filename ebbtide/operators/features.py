@@ -142,15 +142,20 @@ def page_views(
     broadcast list holds the wanted pages only.
     """
     named = feature_pages(discover_pages(df, max_pages) if pages is None else pages)
+    return views_by_page(df, named, F.count(F.lit(1)))
+
+
+def views_by_page(df: DataFrame, named: dict[str, str | None], views: Column) -> DataFrame:
+    """``views`` per user and page of ``named``, turned round to one row per user."""
     if not named:
         return df.select(USER).distinct()
     wanted = df.sparkSession.createDataFrame(
         list(zip(range(len(named)), named.values())), "place int, wanted string"
     )
-    known = df.select(USER, "page").join(
+    known = df.join(
         F.broadcast(wanted), F.col("page").eqNullSafe(F.col("wanted")), "left"
     )
-    counts = known.groupBy(USER).pivot("place", list(range(len(named)))).agg(F.count(F.lit(1)))
+    counts = known.groupBy(USER).pivot("place", list(range(len(named)))).agg(views)
     return counts.select(
         USER,
         *[

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.functions.filters import with_user
@@ -35,25 +35,31 @@ def churn_features(
     by key and joined, one row per user on both sides, whatever their number.
     """
     df = with_user(df, drop_blank)
+    sessions = df.groupBy(USER, SESSION).agg(
+        *[column.alias(name) for name, column in session_measures(ios_pattern).items()]
+    )
+    artists = df.where(F.col("artist").isNotNull()).select(USER, SESSION, "artist").distinct()
+    return with_pages(fused(sessions, artists), ft.page_views(df, pages, max_pages))
+
+
+def session_measures(ios_pattern: str = ft.IOS_PATTERN) -> dict[str, Column]:
+    """The aggregates of a session, by name."""
     flags = ft.browser_flags() | ft.os_flags(ios_pattern)
     for device in ft.DEVICES:
         flags |= ft.device_flags(device)
-
-    sessions = df.groupBy(USER, SESSION).agg(
-        F.max(ft.churn_event()).alias("churn"),
-        F.count_if(F.col("page") == SONG_PAGE).alias("songs"),
-        ft.session_span().alias("span"),
-        F.max(F.col("artist").isNotNull().cast("int")).alias("with_artist"),
-        *ft.any_of(flags),
-    )
-    artists = (
-        df.where(F.col("artist").isNotNull())
-        .select(USER, SESSION, "artist")
-        .distinct()
-        .select(USER, F.lit(1).cast("bigint").alias("artists"))
-    )
-    both = sessions.drop(SESSION).unionByName(artists, allowMissingColumns=True)
-    fused = both.groupBy(USER).agg(
+    return {
+        "churn": F.max(ft.churn_event()),
+        "songs": F.count_if(F.col("page") == SONG_PAGE),
+        "span": ft.session_span(),
+        "with_artist": F.max(F.col("artist").isNotNull().cast("int")),
+    } | {name: F.max(flag).cast("int") for name, flag in flags.items()}
+
+
+def fused(sessions: DataFrame, artists: DataFrame) -> DataFrame:
+    """One row per user from sessions (:func:`session_measures`) and distinct artists of sessions."""
+    heard = artists.select(USER, F.lit(1).cast("bigint").alias("artists"))
+    both = sessions.drop(SESSION).unionByName(heard, allowMissingColumns=True)
+    return both.groupBy(USER).agg(
         F.max("churn").alias("churn"),
         F.coalesce(F.avg(F.nullif("songs", F.lit(0))), F.lit(0.0)).alias("avg_songs_per_session"),
         F.coalesce(ft.days(F.avg("span")), F.lit(0.0)).alias("avg_session_duration_days"),
@@ -62,7 +68,6 @@ def churn_features(
         ).alias("avg_num_artists_per_session"),
         *[F.coalesce(F.max(name), F.lit(0)).alias(name) for name in FLAG_NAMES],
     )
-    return with_pages(fused, ft.page_views(df, pages, max_pages))
 
 
 def with_pages(frame: DataFrame, views: DataFrame) -> DataFrame:

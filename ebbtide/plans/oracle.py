@@ -374,6 +374,7 @@ def oracle_statements() -> dict[str, str]:
         "page_views_discovered": f"{NULL_PAGES} SELECT userId, {NULL_VIEWS} FROM u GROUP BY 1",
         "churn_features_discovered": FEATURES_DISCOVERED,
         "churn_features": FEATURES,
+        "churn_features_by_day": FEATURES,
         "churn_features_joined": FEATURES,
         "user_agent_facets": f"{LOGS} SELECT event_id, userAgent, {FACETS} FROM logs",
         "log_timestamps": f"{LOGS} SELECT event_id, timestamp, registration_timestamp, date FROM logs",

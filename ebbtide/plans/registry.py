@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ebbtide.functions.filters import LogFilter, with_user
 from ebbtide.operators import explore, features
 from ebbtide.operators.evaluation import confusion, evaluate
-from ebbtide.plans import churn, training
+from ebbtide.plans import churn, feature_state, training
 from ebbtide.plans.ingest import enrich, ingest
 from ebbtide.schema import LOG_SCHEMA, PARTITION_COLUMN, RAW_SCHEMA
 from ebbtide.session import materialize, scratch_path
@@ -35,6 +35,7 @@ SELECTIONS = {
 # One row in so many has no value, so that the selections have NULLs to leave out.
 PANEL_NULLS = {"method": 41, "status": 43, "level": 47, "auth": 53, "page": 59}
 LAKE_START, LAKE_END = "2024-01-01", "2024-01-30"
+EARLY_END = "2024-01-10"
 
 
 def serving_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,6 +184,25 @@ def ingest_replaces_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_lake(spark, f"{base}/lake")
 
 
+def churn_features_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features from day states: all days first, early ones with wrong rows, then these replaced, then a last day.
+
+    Sessions of the log last three days, so most of them lie in several day states.
+    """
+    base, log = scratch_path(spark, "state"), event_log(spark, sf_dir)
+    wrong, last = F.col("date") < EARLY_END, F.col("date") >= LAKE_END
+    first = log.where(~last).withColumns(
+        {"page": F.when(wrong, F.lit("Cancellation Confirmation")).otherwise(F.col("page")),
+         "artist": F.when(wrong, F.lit("nobody")).otherwise(F.col("artist"))}
+    )
+    write_lake(first, f"{base}/lake")
+    feature_state.update_state(spark, f"{base}/lake", f"{base}/state", "2000-01-01", LAKE_END)
+    write_lake(log.where(wrong | last), f"{base}/lake")
+    feature_state.update_state(spark, f"{base}/lake", f"{base}/state", "2000-01-01", EARLY_END)
+    feature_state.update_state(spark, f"{base}/lake", f"{base}/state", LAKE_END, "2100-01-01")
+    return feature_state.features_from_state(spark, f"{base}/state", pages=PAGES)
+
+
 def hash_split(df: DataFrame) -> DataFrame:
     users = df.select("userId").distinct()
     return users.select("userId", training.in_train().cast("int").alias("train"))
@@ -270,6 +290,7 @@ def all_queries() -> dict[str, Query]:
         "page_views_discovered": on_users(lambda df: features.page_views(with_null_pages(df))),
         "churn_features_discovered": on_log(lambda df: churn.churn_features(with_null_pages(df))),
         "churn_features": on_log(fused_features),
+        "churn_features_by_day": churn_features_by_day,
         "churn_features_joined": on_log(churn.churn_features_joined, PAGES),
         "user_agent_facets": on_log(user_agent_facets),
         "log_timestamps": timestamps,

@@ -63,10 +63,7 @@ def read_lake(
 
     Absent days are simply not there; an empty range is an empty frame.
     """
-    df = spark.read.schema(LAKE_SCHEMA).orc(path)
-    if start is None and end is None:
-        return df
-    return in_date_range(df, start or "0001-01-01", end or "9999-12-31")
+    return in_date_range(spark.read.schema(LAKE_SCHEMA).orc(path), start, end)
 
 
 def register_views(spark: SparkSession, df: DataFrame, name: str = "api_logs") -> None:

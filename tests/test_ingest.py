@@ -91,6 +91,7 @@ def test_date_ranges(spark, tmp_path):
     # 3 October is absent.
     assert read_lake(spark, lake, "2018-10-02", "2018-10-05").count() == 2
     assert read_lake(spark, lake, start="2018-10-04").count() == 1
+    assert read_lake(spark, lake, end="2018-10-04").count() == 2
 
 
 def test_large_day_is_split_over_files(spark, tmp_path):
