@@ -60,22 +60,14 @@ _LOWER = bytes(range(0x41)) + bytes(range(0x61, 0x7B)) + bytes(range(0x5B, 0x100
 _FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
-def _hashes_of(text: bytes, lower: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and hashes of the words of ``text``."""
-    if lower:
-        text = text.translate(_LOWER)
-    data = np.frombuffer(text + bytes(8), np.uint8)
-    blank = np.concatenate([[True], BLANKS[data[:-8]], [True]])
-    edges = np.flatnonzero(blank[1:] != blank[:-1])
-    starts, sizes = edges[::2], edges[1::2] - edges[::2]
-    eights = np.ndarray((len(text) + 1,), "<u8", data, 0, (1,))  # eight bytes from each byte on
+def hashes_at(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Hashes of the byte strings at ``starts``; ``data`` goes on for eight bytes after the last.
+
+    Length and bytes are mixed, eight at a time, each step one to one.
+    """
+    eights = np.ndarray((len(data) - 7,), "<u8", data, 0, (1,))  # eight bytes from each byte on
     found = mixed(sizes.astype(np.uint64))
-    short = sizes <= LONG_WORD
-    at, left, rows = starts, sizes, None
-    if not short.all():
-        rows = np.flatnonzero(short)
-        at, left = at[rows], left[rows]
-    state = found if rows is None else found[rows]
+    rows, at, left, state = None, starts, sizes, found
     while len(at):
         state = mixed(state ^ (eights[at] & _FIRST_BYTES[np.minimum(left, 8)]))
         if rows is None:
@@ -85,7 +77,24 @@ def _hashes_of(text: bytes, lower: bool) -> tuple[np.ndarray, np.ndarray]:
         more = np.flatnonzero(left > 8)
         rows = more if rows is None else rows[more]
         at, left, state = at[more] + 8, left[more] - 8, state[more]
-    for k in np.flatnonzero(~short):
+    return found
+
+
+def _hashes_of(text: bytes, lower: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and hashes of the words of ``text``."""
+    if lower:
+        text = text.translate(_LOWER)
+    data = np.frombuffer(text + bytes(8), np.uint8)
+    blank = np.concatenate([[True], BLANKS[data[:-8]], [True]])
+    edges = np.flatnonzero(blank[1:] != blank[:-1])
+    starts, sizes = edges[::2], edges[1::2] - edges[::2]
+    long = np.flatnonzero(sizes > LONG_WORD)
+    if not len(long):
+        return starts, hashes_at(data, starts, sizes)
+    short = np.flatnonzero(sizes <= LONG_WORD)
+    found = np.empty(len(starts), np.uint64)
+    found[short] = hashes_at(data, starts[short], sizes[short])
+    for k in long:
         found[k] = xxhash.xxh3_64_intdigest(text[starts[k] : starts[k] + sizes[k]])
     return starts, found
 

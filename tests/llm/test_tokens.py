@@ -66,7 +66,7 @@ def test_cached_ids_are_the_library_s():
         "", " a", "a  b", "a\n b", "a \n b", "\n", " ", "  ", "don't stop 's it's", "x<|endoftext|>y <|endoftext|>",
         "日本 語", "tab\t x", "a\x1c b", "1 22 a1", "\u0085 y", "a b ", "a b  ", "x" * 100 + " " + "y" * 100 + " z",
     ]
-    encoder = tokens.WordCachedEncoder(tokens.default_tokenizer(), entries=3)
+    encoder = tokens.UnitCachedEncoder(tokens.default_tokenizer(), entries=3)
     for _ in range(2):
         found = [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode(odd)]
         assert found == brute.token_ids(odd)
@@ -80,13 +80,33 @@ def test_added_tokens_get_their_ids():
         "y<|endoftext|><|endoftext|>.\n z", "<|endoftext |> plain words", "w" * 100 + " <|endoftext|>",
     ]
     library = Tokenizer.from_file(tokens.default_tokenizer())
-    encoder = tokens.WordCachedEncoder(tokens.default_tokenizer())
+    encoder = tokens.UnitCachedEncoder(tokens.default_tokenizer())
     for _ in range(2):
         found = [np.frombuffer(ids, "<u4").tolist() for ids in encoder.encode(texts)]
         assert found == [library.encode(text, add_special_tokens=False).ids for text in texts]
     assert found[0] == [87, 50256, 88]
 
 
+ATOMS = [
+    "a", "Zz", "word", "it's", "'s", "'", "don't", ".", ",", "...", "!", "1", "42", "\n", "\n\n", " ", "  ", "\t", "\r\n", "\u00a0",
+    "\u3000", "\u2028", "\u0085", "\x1c", "\x00", "\x01", "\x0b", "é", "ñandú", "ß.", "日本", "\U0001f600", "ру", "ق", "\u1680", "-", "_",
+]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_ids_of_random_texts(monkeypatch, seed):
+    rng = random.Random(seed)
+    monkeypatch.setattr(tokens, "GROUP_BYTES", 200)
+    monkeypatch.setattr(tokens, "UNITS_A_TEXT", 3)
+    texts = ["".join(rng.choice(ATOMS) for _ in range(rng.randrange(0, 14))) for _ in range(3000)]
+    texts += [" ".join(rng.choice(ATOMS) for _ in range(200)) for _ in range(20)] + ["x" * 500, ("ab " * 30 + "\n") * 9]
+    encoder = tokens.UnitCachedEncoder(tokens.default_tokenizer(), entries=300)
+    expected = brute.token_ids(texts)
+    for _ in range(2):
+        for text, ids, want in zip(texts, encoder.encode(texts), expected, strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == want, text
+
+
 @pytest.mark.parametrize("name", ["documents", "odd_docs"])
 def test_token_files(spark, request, tmp_path, name):
     docs = request.getfixturevalue(name)
