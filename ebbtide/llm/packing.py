@@ -105,7 +105,7 @@ def cut(
         seen = [0] * (capacity + 1)
         for batch in batches:
             ids, rows, size = batch.column(0), ([], [], [], [], [], []), 0
-            for at, tokens in enumerate(encode(text.as_py() for text in batch.column(1))):
+            for at, tokens in enumerate(encode(text.as_py() for text in batch.column(1).cast("binary"))):
                 tokens += end
                 total = len(tokens) // 4
                 for start in range(0, total, capacity):

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.llm import decontaminate, exact_dedup, hard_negatives, merkle, ngram_join, packing, secret_scan, substring_dedup, suffix_dedup, token_files, toxicity, url_filter, warc
-from ebbtide.llm.common import lower_ascii, table
+from ebbtide.llm.common import lower_ascii, table, written
 from ebbtide.session import scratch_path
 
 
@@ -69,7 +69,7 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), path)
     documents = token_files.read_token_files(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    return token_files.with_start(documents, token_files.read_blocks(spark, path)).select(
+    return token_files.with_start(written(documents, "token-digests")).select(
         "doc_id", "start", "n_tokens", "ids_crc32"
     )
 

@@ -11,15 +11,17 @@ little-endian::
     newline   closes the file (Spark's text writer puts it after each row)
 
 An Elias-Fano code keeps the low bits of each value in a packed array and the high bits in unary:
-about 2 + log2(universe / n) bits a value, against 64 for a table. ``select(i)`` finds the i-th
-value from a sampled directory of the unary part. The start of a document over the whole corpus
-is its boundary plus the tokens of the blocks before, which the headers give.
+about 2 + log2(universe / n) bits a value, against 64 for a table. A directory of every
+``SAMPLE``-th place of the unary part is stored with the code, and ``select`` finds values from there. All
+reading goes through it: a block is never decoded into a table of its boundaries. The start of a document over
+the whole corpus is its boundary plus the tokens of the blocks before.
 
 Files are written and read by Spark's own writers and readers, so any store that Spark reaches
 will do. A block closes at ``block_tokens`` ids, so a file holds at most that and one document.
 
 Defined results: a null or empty text is the end id alone; null ids come first; rows with equal
-ids keep one entry each; an empty table gives no files; extra columns are ignored.
+ids keep one entry each; an empty table gives no files; extra columns are ignored. A very long text is a block
+by itself and costs its ids, four bytes each, a few times over.
 """
 
 from __future__ import annotations
@@ -41,7 +43,7 @@ HEADER = struct.Struct("<8sIIIIIQqQQ")
 BLOCK_TOKENS = 4_000_000
 SAMPLE = 256  # one directory entry for so many values
 FLUSH_BYTES = 8_000_000
-CACHE_ENTRIES = 350_000  # less than in packing: sorting and writing share the executor's memory
+DOCUMENTS = 2_048  # looked up at a time
 
 
 class EliasFano:
@@ -49,11 +51,9 @@ class EliasFano:
 
     HEAD = struct.Struct("<QQB")
 
-    def __init__(self, count: int, universe: int, low_bits: int, low: np.ndarray, high: np.ndarray):
+    def __init__(self, count: int, universe: int, low_bits: int, directory: np.ndarray, low: np.ndarray, high: np.ndarray):
         self.count, self.universe, self.low_bits = count, universe, low_bits
-        self._low, self._high = low, high
-        ones = np.flatnonzero(np.unpackbits(high, bitorder="little")) if count else np.empty(0, np.int64)
-        self._directory = ones[::SAMPLE].astype(np.uint64)
+        self._directory, self._low, self._high = directory, low, high
 
     @classmethod
     def encode(cls, values: np.ndarray) -> EliasFano:
@@ -66,51 +66,55 @@ class EliasFano:
         places = ((values >> np.uint64(bits)) + np.arange(n, dtype=np.uint64)).astype(np.int64)
         high = np.zeros(int(places[-1]) + 1 if n else 0, np.uint8)
         high[places] = 1
-        return cls(n, top, bits, np.packbits(low_bits, bitorder="little"), np.packbits(high, bitorder="little"))
+        packed = [np.packbits(part, bitorder="little") for part in (low_bits, high)]
+        return cls(n, top, bits, places[::SAMPLE].astype("<u8"), *packed)
 
     def to_bytes(self) -> bytes:
-        return self.HEAD.pack(self.count, self.universe, self.low_bits) + self._low.tobytes() + self._high.tobytes()
+        parts = (self._directory, self._low, self._high)
+        return self.HEAD.pack(self.count, self.universe, self.low_bits) + b"".join(part.tobytes() for part in parts)
 
     @classmethod
     def from_bytes(cls, data: bytes) -> EliasFano:
+        """The parts as they lie in ``data``; nothing is decoded."""
         count, universe, bits = cls.HEAD.unpack_from(data)
-        middle = cls.HEAD.size + (count * bits + 7) // 8
-        return cls(count, universe, bits, np.frombuffer(data[cls.HEAD.size : middle], np.uint8), np.frombuffer(data[middle:], np.uint8))
-
-    def select(self, i: int) -> int:
-        """The i-th value, reading the unary part from the nearest directory entry only."""
-        if not 0 <= i < self.count:
-            raise IndexError(i)
-        at, left = int(self._directory[i // SAMPLE]), i % SAMPLE
-        byte = at >> 3
-        bits = np.unpackbits(self._high[byte : byte + 1], bitorder="little")
-        skip = int(bits[: at & 7].sum())
-        left += skip
-        while (found := int(bits.sum())) <= left:
-            left -= found
-            byte += 1
-            bits = np.unpackbits(self._high[byte : byte + 1], bitorder="little")
-        one = (byte << 3) + int(np.flatnonzero(bits)[left])
-        return ((one - i) << self.low_bits) | self._low_part(i)
-
-    def _low_part(self, i: int) -> int:
+        entries = -(-count // SAMPLE)
+        low = cls.HEAD.size + 8 * entries
+        high = low + (count * bits + 7) // 8
+        directory = np.frombuffer(data, "<u8", entries, cls.HEAD.size)
+        return cls(count, universe, bits, directory, np.frombuffer(data[low:high], np.uint8), np.frombuffer(data[high:], np.uint8))
+
+    def select(self, first: int, last: int | None = None) -> np.ndarray | int:
+        """Value ``first``, or the values from there to before ``last``.
+
+        The directory names the place of every ``SAMPLE``-th one of the unary part; from there on only the
+        bytes of the wanted values are looked at.
+        """
+        end = first + 1 if last is None else last
+        if not (0 <= first < self.count and first <= end <= self.count):
+            raise IndexError(first)
+        if first == end:
+            return np.empty(0, np.int64)
+        at, skip = int(self._directory[first // SAMPLE]), first % SAMPLE
+        stop = int(self._directory[(end - 1) // SAMPLE])  # the last wanted one lies here or behind
+        byte, upto = at >> 3, stop >> 3
+        skip += int(np.unpackbits(self._high[byte : byte + 1], count=at & 7, bitorder="little").sum()) if at & 7 else 0
+        while True:
+            upto = min(len(self._high), upto + 1 + (SAMPLE >> 2))
+            ones = np.flatnonzero(np.unpackbits(self._high[byte:upto], bitorder="little"))
+            if len(ones) >= skip + end - first:
+                break
+        number = np.arange(first, end)
+        high = (ones[skip : skip + end - first] + (byte << 3) - number).astype(np.int64) << self.low_bits
+        found = high | self._low_parts(first, end)
+        return int(found[0]) if last is None else found
+
+    def _low_parts(self, first: int, end: int) -> np.ndarray:
         if not self.low_bits:
-            return 0
-        first, last = i * self.low_bits, (i + 1) * self.low_bits
-        word = int.from_bytes(self._low[first >> 3 : (last + 7) >> 3].tobytes(), "little")
-        return (word >> (first & 7)) & ((1 << self.low_bits) - 1)
-
-    def decode(self) -> np.ndarray:
-        ones = np.flatnonzero(np.unpackbits(self._high, bitorder="little"))[: self.count]
-        high = (ones - np.arange(self.count)).astype(np.uint64) << np.uint64(self.low_bits)
-        if not self.low_bits:
-            return high
-        bits = np.unpackbits(self._low, bitorder="little")[: self.count * self.low_bits]
-        weights = np.uint64(1) << np.arange(self.low_bits, dtype=np.uint64)
-        low = np.zeros(self.count, np.uint64)
-        for k, weight in enumerate(weights):
-            low |= bits[k :: self.low_bits].astype(np.uint64) * weight
-        return high | low
+            return np.zeros(end - first, np.int64)
+        a, b = first * self.low_bits, end * self.low_bits
+        bits = np.unpackbits(self._low[a >> 3 : (b + 7) >> 3], bitorder="little")[a & 7 : (a & 7) + b - a]
+        weights = np.int64(1) << np.arange(self.low_bits, dtype=np.int64)
+        return bits.reshape(-1, self.low_bits).astype(np.int64) @ weights
 
 
 def pack_block(task: int, number: int, ids: list[int | None], lengths: list[int], tokens: bytes) -> bytes:
@@ -133,14 +137,29 @@ def read_header(data: bytes) -> tuple:
     return found
 
 
-def unpack_block(data: bytes) -> tuple[int, int, list[int | None], np.ndarray, np.ndarray]:
-    """task, number, document ids, boundaries (n + 1), token ids."""
-    _, width, task, number, _, nulls, total, base, bounds, doc_ids = read_header(data)
-    at = HEADER.size
-    ends = EliasFano.from_bytes(data[at : at + bounds]).decode().astype(np.int64)
-    offsets = EliasFano.from_bytes(data[at + bounds : at + bounds + doc_ids]).decode()
-    tokens = np.frombuffer(data, f"<u{width}", total, at + bounds + doc_ids).astype("<u4")
-    return task, number, [None] * nulls + [base + int(x) for x in offsets], ends, tokens
+class Block:
+    """A block as it was read: documents are found by ``select`` on its boundaries and ids."""
+
+    def __init__(self, data: bytes):
+        _, self._width, self.task, self.number, self.documents, self._nulls, self.tokens, self._base, bounds, doc_ids = read_header(data)
+        at = HEADER.size
+        self._bounds = EliasFano.from_bytes(data[at : at + bounds])
+        self._ids = EliasFano.from_bytes(data[at + bounds : at + bounds + doc_ids])
+        self._data, self._first = data, at + bounds + doc_ids
+
+    def bounds(self, first: int, last: int) -> np.ndarray:
+        """Where documents ``first`` to before ``last`` start, and where the last of them ends."""
+        return self._bounds.select(first, last + 1)
+
+    def ids(self, first: int, last: int) -> list[int | None]:
+        """Their ids; null ids come first."""
+        nulls = max(0, min(last, self._nulls) - first)
+        known = max(first, self._nulls) - self._nulls, last - self._nulls
+        found = self._ids.select(*known).tolist() if known[0] < known[1] else []
+        return [None] * nulls + [self._base + x for x in found]
+
+    def token_ids(self, start: int, end: int) -> np.ndarray:
+        return np.frombuffer(self._data, f"<u{self._width}", end - start, self._first + start * self._width).astype("<u4")
 
 
 def write_token_files(
@@ -154,10 +173,10 @@ def write_token_files(
     texts = id_and_text(docs, id_col, text_col).withColumn("id", F.col("id").cast("long"))
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end, task = encoder(file, CACHE_ENTRIES).encode, end_id.to_bytes(4, "little"), TaskContext.get().partitionId()
+        encode, end, task = encoder(file).encode, end_id.to_bytes(4, "little"), TaskContext.get().partitionId()
         ids, lengths, parts, total, number = [], [], [], 0, 0
         for batch in batches:
-            for doc, tokens in zip(batch.column(0), encode(text.as_py() for text in batch.column(1))):
+            for doc, tokens in zip(batch.column(0), encode(text.as_py() for text in batch.column(1).cast("binary"))):
                 tokens += end
                 ids.append(doc.as_py())
                 lengths.append(len(tokens) // 4)
@@ -169,7 +188,9 @@ def write_token_files(
         if ids:
             yield pa.RecordBatch.from_pydict({"block": [pack_block(task, number, ids, lengths, b"".join(parts))]})
 
-    ordered = texts.repartitionByRange("id").sortWithinPartitions("id")
+    # ``row`` lets a range end among rows of one id, or of none.
+    texts = texts.withColumn("row", F.monotonically_increasing_id())
+    ordered = texts.repartitionByRange("id", "row").sortWithinPartitions("id", "row").drop("row")
     # The text writer puts the bytes of a string out as they are; one block a file.
     arrow_map(ordered, blocks, "block binary").select(F.col("block").cast("string").alias("value")).write.option(
         "maxRecordsPerFile", 1
@@ -180,28 +201,6 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).where("length > 0")
 
 
-def read_blocks(spark: SparkSession, path: str) -> DataFrame:
-    """task, number, start (tokens of all blocks before), tokens: from the headers alone."""
-    import pyarrow as pa
-
-    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [read_header(head.as_py()) for head in batch.column(0)]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "task": pa.array([h[2] for h in found], pa.int64()),
-                    "number": pa.array([h[3] for h in found], pa.int64()),
-                    "tokens": pa.array([h[6] for h in found], pa.int64()),
-                }
-            )
-
-    head = _files(spark, path).select(F.substring("content", 1, HEADER.size).alias("head"))
-    counted = arrow_map(head, heads, "task long, number long, tokens long")
-    # One row a file; the running sum is over these alone.
-    before = Window.orderBy("task", "number").rowsBetween(Window.unboundedPreceding, -1)
-    return counted.withColumn("start", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
-
-
 def read_token_files(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFrame:
     """One row per document: id, task, number, block_start, n_tokens, ids (little-endian uint32)."""
     import pyarrow as pa
@@ -221,20 +220,36 @@ def read_token_files(spark: SparkSession, path: str, id_col: str = "doc_id") ->
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch.column(0):
-                task, number, ids, bounds, tokens = unpack_block(content.as_py())
-                first = 0
-                while first < len(ids):  # some megabytes of ids at a time
-                    last = int(np.searchsorted(bounds, bounds[first] + FLUSH_BYTES // 4, "right")) - 1
-                    last = min(len(ids), max(first + 1, last))
-                    edges = bounds[first : last + 1]
-                    parts = [tokens[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])]
-                    yield rows(ids[first:last], task, number, edges[:-1], np.diff(edges), parts)
-                    first = last
+                block = Block(content.as_py())
+                for some in range(0, block.documents, DOCUMENTS):
+                    bounds = block.bounds(some, min(some + DOCUMENTS, block.documents))
+                    ids = block.ids(some, some + len(bounds) - 1)
+                    first = 0
+                    while first < len(ids):  # some megabytes of ids at a time
+                        last = int(np.searchsorted(bounds, bounds[first] + FLUSH_BYTES // 4, "right")) - 1
+                        last = min(len(ids), max(first + 1, last))
+                        edges = bounds[first : last + 1]
+                        tokens = block.token_ids(edges[0], edges[-1])
+                        parts = [tokens[a:b].tobytes() for a, b in zip(edges[:-1] - edges[0], edges[1:] - edges[0])]
+                        yield rows(ids[first:last], block.task, block.number, edges[:-1], np.diff(edges), parts)
+                        first = last
 
     return arrow_map(_files(spark, path).select("content"), documents, schema)
 
 
-def with_start(documents: DataFrame, blocks: DataFrame) -> DataFrame:
-    """``documents`` of :func:`read_token_files` (any extra columns) with their start over the corpus."""
-    base = blocks.select("task", "number", F.col("start").alias("base"))
+def with_start(documents: DataFrame) -> DataFrame:
+    """``documents`` of :func:`read_token_files`, with or without their ids and with any extra columns,
+    with their start over the corpus.
+
+    The blocks' sizes are summed up from the rows, first within each writing task, then over the tasks,
+    of which there is one row each. ``documents`` should be a written table, as it is read twice.
+    """
+    blocks = documents.groupBy("task", "number").agg(F.sum("n_tokens").alias("tokens"))
+    inside = Window.partitionBy("task").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = blocks.groupBy("task").agg(F.sum("tokens").alias("tokens"))
+    over = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = tasks.select("task", F.coalesce(F.sum("tokens").over(over), F.lit(0)).alias("before"))
+    base = blocks.withColumn("within", F.coalesce(F.sum("tokens").over(inside), F.lit(0))).join(tasks, "task").select(
+        "task", "number", (F.col("before") + F.col("within")).alias("base")
+    )
     return documents.join(base, ["task", "number"]).withColumn("start", F.col("base") + F.col("block_start")).drop("base")

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ebbtide.llm import packing, token_files, tokens
 from tests.llm import brute
@@ -112,7 +113,7 @@ def test_token_files(spark, request, tmp_path, name):
     docs = request.getfixturevalue(name)
     path = str(tmp_path / "ids")
     token_files.write_token_files(docs, path, block_tokens=2000)
-    found = token_files.with_start(token_files.read_token_files(spark, path), token_files.read_blocks(spark, path))
+    found = token_files.with_start(token_files.read_token_files(spark, path))
     got = sorted(found.collect(), key=lambda r: r["start"])
     texts = sorted(brute.pairs(docs), key=lambda row: (row[0] is not None, row[0] or 0))
     assert [r["doc_id"] for r in got] == [i for i, _ in texts]
@@ -126,7 +127,7 @@ def test_token_files(spark, request, tmp_path, name):
 def test_token_files_of_nothing(spark, no_docs, tmp_path):
     path = str(tmp_path / "ids")
     token_files.write_token_files(no_docs, path)
-    assert token_files.read_token_files(spark, path).count() == token_files.read_blocks(spark, path).count() == 0
+    assert token_files.with_start(token_files.read_token_files(spark, path)).count() == 0
 
 
 @pytest.mark.parametrize("step", [0, 1, 7, 1000, 2**33])
@@ -134,14 +135,45 @@ def test_elias_fano(step):
     rng = np.random.default_rng(step % 97)
     values = np.cumsum(rng.integers(0, step + 1, 900)).astype(np.uint64)
     code = token_files.EliasFano.from_bytes(token_files.EliasFano.encode(values).to_bytes())
-    assert code.decode().tolist() == values.tolist() == [code.select(i) for i in range(len(values))]
-    assert len(code.to_bytes()) <= 17 + 2 + 900 * (2 + max(1, step).bit_length()) / 8 + 900 / 8
+    assert [code.select(i) for i in range(len(values))] == values.tolist() == code.select(0, len(values)).tolist()
+    for _ in range(50):
+        a, b = sorted(rng.integers(0, 900, 2).tolist())
+        assert code.select(a, b).tolist() == values[a:b].tolist()
+    assert len(code.to_bytes()) <= 17 + 2 + 8 * 4 + 900 * (2 + max(1, step).bit_length()) / 8 + 900 / 8
     with pytest.raises(IndexError):
         code.select(900)
-    assert token_files.EliasFano.from_bytes(token_files.EliasFano.encode(values[:0]).to_bytes()).decode().tolist() == []
+    empty = token_files.EliasFano.from_bytes(token_files.EliasFano.encode(values[:0]).to_bytes())
+    assert empty.count == 0
+
+
+def test_the_directory_is_read_from_the_code():
+    """Nothing is decoded when a code is opened, and a look-up touches the bytes it needs only."""
+    values = np.arange(0, 7 * 100_000, 7)
+    data = bytearray(token_files.EliasFano.encode(values).to_bytes())
+    code = token_files.EliasFano.from_bytes(bytes(data))
+    assert not hasattr(code, "decode") and {k: len(v) for k, v in vars(code).items() if hasattr(v, "__len__")}.keys() == {"_directory", "_low", "_high"}
+    high = len(data) - len(code._high)
+    data[high + 20_000 : high + 30_000] = bytes(10_000)  # damage far away does no harm
+    assert token_files.EliasFano.from_bytes(bytes(data)).select(500, 700).tolist() == values[500:700].tolist()
 
 
 def test_wide_ids():
     wide = np.array([1, 70_000, 3], "<u4")
-    *_, ids, ends, found = token_files.unpack_block(token_files.pack_block(0, 0, [None, 5], [1, 2], wide.tobytes()))
-    assert ids == [None, 5] and ends.tolist() == [0, 1, 3] and found.tolist() == wide.tolist()
+    block = token_files.Block(token_files.pack_block(0, 0, [None, 5], [1, 2], wide.tobytes()))
+    assert block.ids(0, 2) == [None, 5] and block.bounds(0, 2).tolist() == [0, 1, 3] and block.token_ids(0, 3).tolist() == wide.tolist()
+    assert block.ids(1, 2) == [5] and block.ids(0, 1) == [None] and block.token_ids(1, 2).tolist() == [70_000]
+
+
+def test_rows_without_id_fill_several_ranges(spark, tmp_path):
+    docs = spark.range(0, 4000, 1, 8).selectExpr("IF(id % 100 = 0, id, NULL) AS doc_id", "concat('text ', id) AS text")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        token_files.write_token_files(docs, str(tmp_path / "ids"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    read = token_files.with_start(token_files.read_token_files(spark, str(tmp_path / "ids")))
+    tasks = {r["task"]: r["n"] for r in read.where("doc_id is null").groupBy("task").agg(F.count("*").alias("n")).collect()}
+    assert len(tasks) > 2 and max(tasks.values()) < 2000
+    got = sorted(read.collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in got] == [None] * 3960 + list(range(0, 4000, 100))
+    assert all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(got, got[1:]))
