@@ -15,7 +15,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.llm.common import arrow_map, free_name, written
+from ebbtide.llm.common import arrow_map, dropped, free_name, written
 
 BLOCK_BITS = 13
 POSITION_BITS = 15
@@ -107,8 +107,10 @@ def hash_filter(rows: DataFrame, hashes_of: Callable[[Iterator], Iterable[np.nda
     sent = arrow_map(rows, distinct, "bucket long, once binary, again binary").repartition("bucket")
     size = 1 << (bits_a_bucket - 3)
     data = np.zeros(size << BUCKET_BITS, np.uint8)
-    for row in written(arrow_map(sent, bits, "bucket long, bits binary"), "filter").toLocalIterator():
+    stored = written(arrow_map(sent, bits, "bucket long, bits binary"), "filter")
+    for row in stored.toLocalIterator():
         data[row["bucket"] * size : (row["bucket"] + 1) * size] = np.frombuffer(row["bits"], np.uint8)
+    dropped(stored)
     return rows.sparkSession.sparkContext.broadcast(FilterBits(data))
 
 

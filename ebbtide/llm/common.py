@@ -10,10 +10,8 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.session import scratch_path
+from ebbtide.session import drop_table, scratch_path
 
-#: Words end at these bytes: space, tab, line feed, vertical tab, form feed, carriage return.
-WORD_BREAKS = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -28,6 +26,12 @@ def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(*tables: DataFrame) -> None:
+    """Deletes written tables that nothing reads any more."""
+    for one in tables:
+        drop_table(one)
+
+
 def arrow_map(df: DataFrame, function: Callable, schema: str) -> DataFrame:
     """``mapInArrow`` with this package at hand on every executor.
 

@@ -45,14 +45,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbtide.llm.bloom import hash_filter, marked, maybe_in
-from ebbtide.llm.common import arrow_map, free_name, id_and_text, type_name, written
+from ebbtide.llm.common import arrow_map, dropped, free_name, id_and_text, type_name, written
 from ebbtide.llm.graph import components
 from ebbtide.llm.words import grouped, mixed, split_hashes
 
 SHINGLE = 5
 PERCENT = 80
-CELL_BITS = 20
-CELLS_A_ROW = 4096
+CELL_BITS = 22
+CELLS_A_ROW = 16_384
+FREQUENT = 64
 LEVELS = 4  # an octave
 SKETCH_BITS = 2048
 BATCH_BYTES = 8_000_000
@@ -257,14 +258,18 @@ def _shared(sets: DataFrame) -> DataFrame:
                 names=["signature", "node", "n", "rest"],
             )
 
-    members = written(arrow_map(found, rows, "signature long, node long, n long, rest int").distinct(), "maybe-members")
+    maybe = written(arrow_map(found, rows, "signature long, node long, n long, rest int").distinct(), "maybe-members")
     several = (
-        members.groupBy("signature").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+        maybe.groupBy("signature").agg(F.min("node").alias("low"), F.max("node").alias("high"))
         .where("low < high").select("signature")
     )
-    members = written(members.join(written(several, "shared-signatures"), "signature", "left_semi"), "members")
-    weights = members.groupBy("node").agg((F.count(F.lit(1)) / F.max("n")).alias("weight"))
-    return written(members.join(weights, "node"), "weighted-members")
+    several = written(several, "shared-signatures")
+    members = written(maybe.join(several, "signature", "left_semi"), "members")
+    dropped(maybe, several)
+    weights = written(members.groupBy("node").agg((F.count(F.lit(1)) / F.max("n")).alias("weight")), "weights")
+    weighted = written(members.join(weights, "node"), "weighted-members")
+    dropped(members, weights)
+    return weighted
 
 
 def _first_pivots(members: DataFrame, percent: int) -> DataFrame:
@@ -277,7 +282,9 @@ def _first_pivots(members: DataFrame, percent: int) -> DataFrame:
         ),
         "pivots",
     )
-    return _pairs(members, heaviest, F.lit(True), percent)
+    found = written(_pairs(members, heaviest, F.lit(True), percent), "pairs")
+    dropped(heaviest)
+    return found
 
 
 def _pairs(members: DataFrame, pivots: DataFrame, facing: Column, percent: int) -> DataFrame:
@@ -317,12 +324,14 @@ def _verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
 
 
 def _links_of(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs that link; sets are recomputed for the nodes of plausible pairs only."""
+    """The pairs that link; sets are recomputed for the nodes of plausible pairs only, and dropped again."""
     plausible = written(_plausible(pairs, nodes, percent), "plausible")
     ends = plausible.select(F.col("a").alias("node")).unionByName(plausible.select(F.col("b").alias("node"))).distinct()
     wanted = written(nodes.select("node", "id").join(ends, "node", "left_semi"), "wanted")
     tokens = written(_token_sets(texts, wanted, size), "token-sets", "lz4")
-    return written(_verified(plausible, tokens, percent), "links")
+    found = written(_verified(plausible, tokens, percent), "links")
+    dropped(plausible, wanted, tokens)
+    return found
 
 
 def _open(members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
@@ -332,17 +341,21 @@ def _open(members: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """
     roots = labels.select("node", "root")
     labelled = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    several = (
+    several = written(
         labelled.groupBy("signature")
         .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("n").alias("least_n"))
-        .where("low < high").select("signature", "least_n")
+        .where("low < high").select("signature", "least_n"),
+        "open-signatures",
     )
     can_link = (100 + percent) * F.col("rest") >= percent * (F.col("n") + F.col("least_n"))
-    return labelled.join(written(several, "open-signatures"), "signature").where(can_link).drop("least_n")
+    left = written(labelled.join(several, "signature").where(can_link).drop("least_n"), "open")
+    dropped(several)
+    return left
 
 
-def links(texts: DataFrame, sets: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame | None]:
-    """Verified links (a, b) between nodes that give the components, and these (node, root)."""
+def links(texts: DataFrame, sets: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Verified links (a, b) between nodes that give the components, these (node, root), and what is
+    left of ``sets`` (id, node, n). Tables are dropped as soon as nothing reads them any more."""
     spark = texts.sparkSession
     members = _shared(sets)
     nodes = written(
@@ -350,21 +363,20 @@ def links(texts: DataFrame, sets: DataFrame, size: int, percent: int) -> tuple[D
         .groupBy("node").agg(F.min("id").alias("id"), F.max("n").alias("n"), F.max("sketch").alias("sketch")),
         "nodes",
     )
-    pairs = written(_first_pivots(members, percent), "pairs")
+    slim = written(sets.select("id", "node", "n"), "sets")
+    dropped(sets)
+    pairs = _first_pivots(members, percent)
     found = _links_of(pairs, nodes, texts, size, percent)
     labels = components(found) if found.take(1) else spark.createDataFrame([], "node long, root long")
-    pivots = 4
+    pivots, held = 4, members
     while True:
-        left = written(_open(members, labels, percent).drop("root"), "open")
+        left = _open(members, labels, percent)
+        dropped(held)
         if not left.take(1):
-            return found, labels
+            return found, labels, slim
         order = Window.partitionBy("signature").orderBy(F.desc("weight"), F.desc("node"))
-        ranked = written(
-            left.withColumn("rank", F.row_number().over(order)).join(
-                labels.select("node", "root"), "node", "left"
-            ).withColumn("root", F.coalesce("root", "node")),
-            "ranked",
-        )
+        ranked = written(left.withColumn("rank", F.row_number().over(order)), "ranked")
+        dropped(left)
         heads = ranked.where(F.col("rank") <= pivots).select(
             "signature", F.col("node").alias("pivot"), F.col("n").alias("pivot_n"), F.col("rest").alias("pivot_rest"),
             F.col("root").alias("pivot_root"), F.col("rank").alias("pivot_rank"),
@@ -372,7 +384,7 @@ def links(texts: DataFrame, sets: DataFrame, size: int, percent: int) -> tuple[D
         facing = (F.col("rank") > F.col("pivot_rank")) & (F.col("root") != F.col("pivot_root"))
         fresh = written(_pairs(ranked, heads, facing, percent).join(pairs, ["a", "b"], "left_anti"), "pairs")
         # A pivot has met every other member of its signature.
-        members = ranked.where(F.col("rank") > pivots).select("signature", "node", "n", "rest", "weight")
+        members, held = ranked.where(F.col("rank") > pivots).select("signature", "node", "n", "rest", "weight"), ranked
         pairs = pairs.unionByName(fresh)
         new = _links_of(fresh, nodes, texts, size, percent)
         if new.take(1):
@@ -388,11 +400,10 @@ def similar_sets(
     texts = id_and_text(docs, id_col, text_col)
     counters = _counters(texts, size)
     levels = np.round(LEVELS * np.log2(np.maximum(counters, 1))).astype(np.uint8)
-    # Frequent: in an eighth of all documents or more, and well above what shares a counter.
-    floor = max(256 + 4 * counters.mean(), texts.count() / 8)
-    frequent = int(np.ceil(LEVELS * np.log2(floor)))
+    # Frequent: in so many documents and well above what shares a counter.
+    frequent = int(np.ceil(LEVELS * np.log2(FREQUENT + 4 * counters.mean())))
     sets = _sets(texts, levels, frequent, size, percent)
-    _, labels = links(texts, sets, size, percent)
+    _, labels, sets = links(texts, sets, size, percent)
     rooted = sets.select("id", "n", "node").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     classes_ = rooted.where("root is not null").groupBy("root").agg(F.min("id").alias("smallest"))
     named = rooted.join(written(classes_, "components"), "root", "left")
