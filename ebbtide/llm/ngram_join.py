@@ -51,9 +51,8 @@ from ebbtide.llm.words import grouped, mixed, split_hashes
 
 SHINGLE = 5
 PERCENT = 80
-CELL_BITS = 22
-CELLS_A_ROW = 16_384
-FREQUENT = 64
+CELL_BITS = 20
+CELLS_A_ROW = 4096
 LEVELS = 4  # an octave
 SKETCH_BITS = 2048
 BATCH_BYTES = 8_000_000
@@ -400,8 +399,9 @@ def similar_sets(
     texts = id_and_text(docs, id_col, text_col)
     counters = _counters(texts, size)
     levels = np.round(LEVELS * np.log2(np.maximum(counters, 1))).astype(np.uint8)
-    # Frequent: in so many documents and well above what shares a counter.
-    frequent = int(np.ceil(LEVELS * np.log2(FREQUENT + 4 * counters.mean())))
+    # Frequent: in an eighth of all documents or more, and well above what shares a counter.
+    floor = max(256 + 4 * counters.mean(), texts.count() / 8)
+    frequent = int(np.ceil(LEVELS * np.log2(floor)))
     sets = _sets(texts, levels, frequent, size, percent)
     _, labels, sets = links(texts, sets, size, percent)
     rooted = sets.select("id", "n", "node").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
