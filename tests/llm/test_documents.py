@@ -299,19 +299,22 @@ def test_pipeline_keeps_columns_and_clean_documents(spark, sf_dir, documents):
 
 def test_registered_queries():
     names = set(contract.queries())
-    assert {name.split("_")[0] for name in operator_queries()} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in operator_queries()} == {f"op{n}" for n in range(1, 14)}
     assert set(operator_queries()) <= names and "pipeline" in names
     assert set(operator_statements()) <= set(operator_queries())
 
 
-def test_exact_dedup_sql(spark, sf_dir):
+@pytest.mark.parametrize("name", sorted(operator_statements()))
+def test_query_equals_sql(spark, sf_dir, name):
     import duckdb
 
     db = duckdb.connect()
-    db.sql(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
-    expected = db.sql(operator_statements()["op10_exact_dedup"])
-    found = operator_queries()["op10_exact_dedup"](spark, sf_dir).select(*expected.columns)
-    assert sorted(map(tuple, found.collect())) == sorted(expected.fetchall())
+    for table in ("documents", "embeddings"):
+        db.sql(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    expected = db.sql(operator_statements()[name])
+    found = operator_queries()[name](spark, sf_dir)
+    assert sorted(found.columns) == sorted(expected.columns)
+    assert sorted(map(tuple, found.select(*expected.columns).collect())) == sorted(expected.fetchall())
 
 
 def test_overlap_is_measured_in_words():
