@@ -58,7 +58,7 @@ def distinct_values(df: DataFrame, column: str, ordered: bool = False) -> DataFr
     return values.orderBy(F.col(column).asc_nulls_last()) if ordered else values
 
 
-def _with_share(counts: DataFrame, *group: str) -> DataFrame:
+def with_share(counts: DataFrame, *group: str) -> DataFrame:
     """Add each value's percentage of its group.
 
     The window runs over counted rows, one per value of a small vocabulary, never over the log.
@@ -83,7 +83,7 @@ def value_counts(
         .groupBy(dimension(dim).alias("metric"))
         .agg(F.count(F.lit(1)).alias("value"))
     )
-    shares = _with_share(counts)
+    shares = with_share(counts)
     if limit is not None:
         shares = shares.orderBy(F.desc("value"), F.col("metric").asc_nulls_last()).limit(limit)
     return shares.withColumn("time", F.current_timestamp()) if snapshot else shares
@@ -131,8 +131,8 @@ def weekday_counts(df: DataFrame, filters: LogFilter = LogFilter()) -> DataFrame
     )
 
 
-def _combinations(df: DataFrame, *extra: Column) -> DataFrame:
-    """Rows counted per combination of all panel dimensions.
+def combinations(df: DataFrame, *extra: Column) -> DataFrame:
+    """Rows counted per combination of all panel dimensions, as ``n``.
 
     The log is read and shuffled once for a whole dashboard; the panels are then cut from
     these counts, of which there are as many as combinations occur.
@@ -141,7 +141,8 @@ def _combinations(df: DataFrame, *extra: Column) -> DataFrame:
     return df.groupBy(*extra, *dims).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _panels(counts: DataFrame, *extra: str) -> DataFrame:
+def panels(counts: DataFrame, *extra: str) -> DataFrame:
+    """``(panel, metric, value)`` of every dimension, from rows that stand for ``n`` log rows each."""
     pairs = F.array(*[F.struct(F.lit(n).alias("panel"), F.col(n).alias("metric")) for n in DIMENSIONS])
     return (
         counts.select(*extra, "n", F.explode(pairs).alias("p"))
@@ -158,7 +159,7 @@ def value_distribution(
     ``limits`` keeps the largest slices of a panel (ties by name), such as
     ``{"page": 50, "level": 50}``; shares stay shares of all rows.
     """
-    shares = _with_share(_panels(_combinations(filters.apply(df))), "panel")
+    shares = with_share(panels(combinations(filters.apply(df))), "panel")
     if not limits:
         return shares
     order = Window.partitionBy("panel").orderBy(F.desc("value"), F.col("metric").asc_nulls_last())
@@ -172,7 +173,7 @@ def time_distribution(
 ) -> DataFrame:
     """All eight time series from one scan: ``(time, panel, metric, value)``."""
     time = time_bucket(F.col("timestamp"), interval).alias("time")
-    return _panels(_combinations(filters.apply(df), time), "time").orderBy(
+    return panels(combinations(filters.apply(df), time), "time").orderBy(
         "time", "panel", F.col("metric").asc_nulls_last()
     )
 

@@ -17,20 +17,17 @@ running :func:`update_state` for that day.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.functions.filters import Moment, in_date_range, with_user
-from ebbtide.functions.timestamps import as_day
 from ebbtide.operators import features as ft
 from ebbtide.operators.features import SESSION, USER
 from ebbtide.plans.churn import FLAG_NAMES, fused, session_measures, with_pages
 from ebbtide.schema import PARTITION_COLUMN
-from ebbtide.session import Folder
-from ebbtide.sources.lake import read_lake
+from ebbtide.sources.lake import read_lake, store_days
 
 SESSIONS, ARTISTS, VIEWS = "sessions", "artists", "views"
 SCHEMAS = {
@@ -64,16 +61,8 @@ def update_state(
     """
     log = read_lake(spark, lake, start, end)
     for name, rows in day_states(log, ios_pattern).items():
-        folder = Folder(spark, f"{state}/{name}")
-        (
-            rows.select(*[column.split()[0] for column in SCHEMAS[name].split(", ")])
-            .hint("rebalance", PARTITION_COLUMN)
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION_COLUMN).parquet(str(folder))
-        )
-        there = set(Folder(spark, lake).names(f"{PARTITION_COLUMN}=*"))
-        for day in folder.names(f"{PARTITION_COLUMN}=*"):
-            if day not in there and as_day(start) <= dt.date.fromisoformat(day.partition("=")[2]) < as_day(end):
-                (folder / day).delete()
+        columns = [column.split()[0] for column in SCHEMAS[name].split(", ")]
+        store_days(rows.select(*columns), f"{state}/{name}", lake, start, end)
 
 
 def read_state(

@@ -151,6 +151,10 @@ PANEL = (
     "timestamp BETWEEN TIMESTAMP '2024-01-05 06:00:00' AND TIMESTAMP '2024-01-25 18:00:00' "
     f"AND {SELECTIONS}"
 )
+CUT_PANEL = (
+    "timestamp BETWEEN TIMESTAMP '2024-01-05 06:01:40' AND TIMESTAMP '2024-01-25 18:03:20' "
+    f"AND {SELECTIONS}"
+)
 INTERVAL_MS = {
     "5m": 300_000, "10m": 600_000, "30m": 1_800_000, "1h": 3_600_000, "6h": 21_600_000, "12h": 43_200_000,
     "1d": 86_400_000, "7d": 604_800_000, "14d": 1_209_600_000, "30d": 2_592_000_000,
@@ -208,6 +212,16 @@ def _time_panels() -> str:
     return f"{PANEL_LOGS} {parts}"
 
 
+def _resolutions() -> str:
+    parts = " UNION ALL ".join(
+        f"SELECT ms, '{dim}' AS panel, {_metric(dim)} AS metric FROM panel WHERE {PANEL}" for dim in DIMENSIONS
+    )
+    widths = ", ".join(f"('{name}', {width})" for name, width in INTERVAL_MS.items())
+    return f"""{PANEL_LOGS}, p AS ({parts})
+    SELECT interval, make_timestamp(CAST(floor(ms / width) AS BIGINT) * width * 1000) AS time, panel, metric, count(*) AS value
+    FROM p, (VALUES {widths}) w(interval, width) GROUP BY ALL"""
+
+
 def _flag(column: str, condition: str) -> str:
     return f"max(CAST({condition} AS INT)) AS {column}"
 
@@ -376,6 +390,13 @@ def oracle_statements() -> dict[str, str]:
         "churn_features": FEATURES,
         "churn_features_by_day": FEATURES,
         "churn_features_joined": FEATURES,
+        "cube_resolutions": _resolutions(),
+        "cube_distribution": _panels(CUT_PANEL),
+        "cube_series_cut": _series("page", "5m", f"{CUT_PANEL} AND level IN ('paid')"),
+        "audience_by_level": f"""{LOGS}, days AS (
+            SELECT level, userId FROM u WHERE date >= DATE '2024-01-01' AND date < DATE '2024-01-30')
+            SELECT level, count(*) AS rows, count(DISTINCT userId) AS users, true AS within_bound FROM days GROUP BY 1
+            UNION ALL SELECT 'all', count(*), count(DISTINCT userId), true FROM days""",
         "user_agent_facets": f"{LOGS} SELECT event_id, userAgent, {FACETS} FROM logs",
         "log_timestamps": f"{LOGS} SELECT event_id, timestamp, registration_timestamp, date FROM logs",
         "lake_roundtrip": f"""{LOGS} SELECT {LAKE}, date FROM logs

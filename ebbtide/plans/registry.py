@@ -8,10 +8,11 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.functions.filters import LogFilter, with_user
+from ebbtide.functions.filters import LogFilter, in_date_range, with_user
+from ebbtide.functions.timestamps import utc_day
 from ebbtide.operators import explore, features
 from ebbtide.operators.evaluation import confusion, evaluate
-from ebbtide.plans import churn, feature_state, training
+from ebbtide.plans import audience, churn, cube, feature_state, training
 from ebbtide.plans.ingest import enrich, ingest
 from ebbtide.schema import LOG_SCHEMA, PARTITION_COLUMN, RAW_SCHEMA
 from ebbtide.session import materialize, scratch_path
@@ -203,6 +204,58 @@ def churn_features_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feature_state.features_from_state(spark, f"{base}/state", pages=PAGES)
 
 
+# Cuts five-minute buckets at both ends.
+CUT_RANGE = LogFilter(start="2024-01-05T06:01:40Z", end="2024-01-25T18:03:20Z")
+
+
+def dated_panel_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return panel_log(spark, sf_dir).withColumn(PARTITION_COLUMN, utc_day(F.col("timestamp")))
+
+
+def grown_lake(spark: SparkSession, log: DataFrame, base: str, update: Callable[..., None]) -> tuple[str, str]:
+    """Lake and day table of ``log``: all days but the last first, early ones with wrong rows, then these
+    replaced, then the last days."""
+    lake, table = f"{base}/lake", f"{base}/table"
+    wrong, last = F.col(PARTITION_COLUMN) < EARLY_END, F.col(PARTITION_COLUMN) >= LAKE_END
+    spoilt = {"level": F.lit("none"), "userId": F.concat(F.lit("wrong "), "userId")}
+    write_lake(log.where(~last).withColumns({k: F.when(wrong, v).otherwise(F.col(k)) for k, v in spoilt.items()}), lake)
+    update(spark, lake, table, "2000-01-01", LAKE_END)
+    write_lake(log.where(wrong | last), lake)
+    update(spark, lake, table, "2000-01-01", EARLY_END)
+    update(spark, lake, table, LAKE_END, "2100-01-01")
+    return lake, table
+
+
+def panel_cube(spark: SparkSession, sf_dir: str, filters: LogFilter = RANGE) -> DataFrame:
+    log = dated_panel_log(spark, sf_dir)
+    lake, table = grown_lake(spark, log, scratch_path(spark, "cube"), cube.update_cube)
+    return cube.cube_rows(spark, lake, table, filters)
+
+
+def on_cube(operator: Callable[..., DataFrame], *args, filters: LogFilter = RANGE) -> Query:
+    return lambda spark, sf_dir: operator(panel_cube(spark, sf_dir, filters), *args)
+
+
+def audience_by_level(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact users per level and over all, and whether the merged day sketches are within their bound."""
+    log = event_log(spark, sf_dir)
+    _, table = grown_lake(spark, log, scratch_path(spark, "audience"), audience.update_audience)
+    chosen = in_date_range(with_user(log), LAKE_START, LAKE_END)
+    sketches = audience.read_audience(spark, table, LAKE_START, LAKE_END)
+    exact, guessed = [
+        one("level").unionByName(one().withColumn("level", F.lit("all")))
+        for one in (
+            lambda *by: chosen.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("userId").alias("users")),
+            lambda *by: audience.users(sketches, *by),
+        )
+    ]
+    error = F.abs(F.col("guess") - F.col("users")) / F.col("users")
+    return (
+        exact.join(guessed.select("level", "rows", F.col("users").alias("guess")), ["level", "rows"], "left")
+        .select("level", "rows", "users", F.coalesce(error <= audience.ERROR_BOUND, F.lit(False)).alias("within_bound"))
+    )
+
+
 def hash_split(df: DataFrame) -> DataFrame:
     users = df.select("userId").distinct()
     return users.select("userId", training.in_train().cast("int").alias("train"))
@@ -291,6 +344,10 @@ def all_queries() -> dict[str, Query]:
         "churn_features_discovered": on_log(lambda df: churn.churn_features(with_null_pages(df))),
         "churn_features": on_log(fused_features),
         "churn_features_by_day": churn_features_by_day,
+        "cube_resolutions": on_cube(cube.time_resolutions),
+        "cube_distribution": on_cube(cube.value_distribution, filters=CUT_RANGE),
+        "cube_series_cut": on_cube(cube.time_counts, "page", "5m", filters=replace(CUT_RANGE, level=["paid"])),
+        "audience_by_level": audience_by_level,
         "churn_features_joined": on_log(churn.churn_features_joined, PAGES),
         "user_agent_facets": on_log(user_agent_facets),
         "log_timestamps": timestamps,

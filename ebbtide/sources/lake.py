@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ebbtide.functions.filters import Moment, in_date_range
+from ebbtide.functions.timestamps import as_day
 from ebbtide.schema import LAKE_SCHEMA, PARTITION_COLUMN
 from ebbtide.session import Folder
 
@@ -56,6 +59,23 @@ def publish_batch(staged: Folder, lake: Folder, batch: str) -> None:
             (staged / day / name).move(lake / day / f"{batch}-{number:05}.orc")
 
 
+def store_days(rows: DataFrame, path: str, lake: str, start: Moment, end: Moment) -> None:
+    """Keep ``rows``, derived from the lake's days ``[start, end)``, as a day-partitioned table.
+
+    Days in ``rows`` replace their partitions; days of the range that the lake does not have (any
+    more) leave the table.
+    """
+    folder = Folder(rows.sparkSession, path)
+    (
+        rows.hint("rebalance", PARTITION_COLUMN)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION_COLUMN).parquet(path)
+    )
+    there = set(Folder(rows.sparkSession, lake).names(f"{PARTITION_COLUMN}=*"))
+    for day in folder.names(f"{PARTITION_COLUMN}=*"):
+        if day not in there and as_day(start) <= dt.date.fromisoformat(day.partition("=")[2]) < as_day(end):
+            (folder / day).delete()
+
+
 def read_lake(
     spark: SparkSession, path: str, start: Moment | None = None, end: Moment | None = None
 ) -> DataFrame:
