@@ -293,6 +293,13 @@ FROM logs WHERE {BROKEN} GROUP BY 1"""
 
 IN_TRAIN = "CAST('0x' || substr(md5(userId), 1, 7) AS BIGINT) % 10000 < 8000"
 TEST_USERS = f"{LOGS}, t AS (SELECT userId, {LABEL} FROM u WHERE NOT ({IN_TRAIN}) GROUP BY 1)"
+# A label that one feature decides: a classifier that has learned anything finds every one of them.
+PLANTED = f"""{LOGS}, t AS (
+  SELECT * FROM (
+    SELECT concat(userId, '-', CAST(sessionId AS VARCHAR(20))) AS userId,
+           coalesce(max(CAST(userAgent_os_family = 'iOS' AS INT)), 0) AS churn
+    FROM u GROUP BY 1)
+  WHERE NOT ({IN_TRAIN}))"""
 
 METRICS = """
 WITH c AS (
@@ -413,6 +420,12 @@ def oracle_statements() -> dict[str, str]:
         "compare_totals": f"""{TEST_USERS}
             SELECT classifier, count(*) AS test_rows, CAST(sum(churn) AS BIGINT) AS churned
             FROM t, (VALUES ('dt'), ('lr')) c(classifier) GROUP BY 1""",
+        "compare_planted": f"""{PLANTED}
+            SELECT classifier, CAST(1 AS DOUBLE) AS weighted_f1, CAST(1 AS DOUBLE) AS f1_churn, CAST(1 AS DOUBLE) AS accuracy,
+                   count(*) FILTER (WHERE churn = 0) AS tn, CAST(0 AS BIGINT) AS fp, CAST(0 AS BIGINT) AS fn,
+                   count(*) FILTER (WHERE churn = 1) AS tp
+            FROM t, (VALUES ('dt'), ('rf'), ('lr'), ('svc')) c(classifier) GROUP BY 1""",
+        "score_planted": f"{PLANTED} SELECT userId, churn AS prediction FROM t",
         "score_coverage": f"{TEST_USERS} SELECT count(*) AS users, count(*) AS scored FROM t",
         "metrics": METRICS,
         "confusion": CONFUSION,

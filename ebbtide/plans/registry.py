@@ -288,6 +288,19 @@ def score_coverage(df: DataFrame) -> DataFrame:
     return score(df).agg(F.count(F.lit(1)).alias("users"), F.count_if(known).alias("scored"))
 
 
+def planted_features(df: DataFrame) -> DataFrame:
+    """Features of each user's sessions as users of their own, with a label that one of them decides."""
+    users = df.withColumn("userId", F.concat("userId", F.lit("-"), "sessionId"))
+    return fused_features(users).withColumn("churn", F.col("uses_ios"))
+
+
+def score_planted(df: DataFrame) -> DataFrame:
+    """Predictions of each planted label, from a model fitted on the other users."""
+    train_rows, test_rows = training.hash_split(materialize(planted_features(df), "features"))
+    scores = training.score_users(training.train(train_rows, "rf"), test_rows)
+    return scores.select("userId", F.col("prediction").cast("int").alias("prediction"))
+
+
 def compare_totals(df: DataFrame) -> DataFrame:
     found = training.compare(fused_features(df), ("dt", "lr"))
     return found.select(
@@ -362,7 +375,9 @@ def all_queries() -> dict[str, Query]:
         "compare_classifiers": on_log(lambda df: training.compare(fused_features(df))),
         "compare_mlp": on_log(lambda df: training.compare(fused_features(df), ("mlp",))),
         "compare_totals": on_log(compare_totals),
+        "compare_planted": on_log(lambda df: training.compare(planted_features(df))),
         "score_users": on_log(score),
+        "score_planted": on_log(score_planted),
         "score_coverage": on_log(score_coverage),
         "stream_ingest": stream_ingest,
         "stream_quarantine": stream_quarantine,

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -152,28 +154,34 @@ def compare(
     kinds: Sequence[str] = CLASSIFIERS,
     seed: int = SEED,
     split: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None = None,
+    parallelism: int = len(CLASSIFIERS),
 ) -> DataFrame:
-    """Train and evaluate classifiers on one split, one result row each.
+    """Train and evaluate classifiers on one split, one result row each, in the order of ``kinds``.
 
     ``split`` makes (train, test) of the assembled rows: :func:`hash_split` unless given,
     :func:`random_split` for a seeded random one. The feature frame is written once, so neither fits nor evaluations go back to the log;
-    the assembled training rows are persisted for the iterative fits only. One row of
-    metrics per classifier comes to the driver.
+    the assembled training rows are persisted for the iterative fits only. ``parallelism`` fits go
+    side by side, so small jobs of one fill the gaps of another. One row of metrics per classifier
+    comes to the driver.
     """
     stored = materialize(features, "features")
     columns = feature_columns(stored)
     train_rows, test_rows = (split or hash_split)(assemble(stored))
     train_rows = train_rows.select("features", "churn").persist(StorageLevel.MEMORY_AND_DISK)
-    results = []
+    spark = features.sparkSession
+
+    @inheritable_thread_target(spark)
+    def result(kind: str) -> tuple:
+        model = classifier(kind, len(columns), seed).fit(train_rows)
+        return (kind, *evaluate(model.transform(test_rows)).first())
+
     try:
-        for kind in kinds:
-            model = classifier(kind, len(columns), seed).fit(train_rows)
-            metrics = evaluate(model.transform(test_rows)).first()
-            results.append((kind, *metrics))
+        with ThreadPoolExecutor(parallelism) as pool:
+            results = list(pool.map(result, kinds))
     finally:
         train_rows.unpersist()
         drop_table(stored)
-    return features.sparkSession.createDataFrame(results, COMPARISON)
+    return spark.createDataFrame(results, COMPARISON)
 
 
 def score_users(model: ChurnModel, features: DataFrame) -> DataFrame:

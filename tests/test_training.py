@@ -6,6 +6,7 @@ from ebbtide.operators.evaluation import confusion, evaluate
 from ebbtide.plans import training
 from ebbtide.plans.churn import churn_features
 from ebbtide.plans.prediction import predict_churn
+from ebbtide.plans.registry import planted_features
 from ebbtide.sources.event_log import PAGES, event_log
 from ebbtide.sources.lake import write_lake
 
@@ -134,3 +135,49 @@ def test_prediction_run_over_the_lake(spark, sf_dir, tmp_path):
     )
     assert summary.first().messages == 1000
     assert results.first().classifier == "dt"
+
+
+@pytest.fixture(scope="module")
+def planted(spark, sf_dir):
+    return training.materialize(planted_features(event_log(spark, sf_dir)), "planted")
+
+
+def test_planted_split_is_found(planted):
+    model = training.train(training.hash_split(planted)[0], "dt")
+    tree = model.pipeline.stages[-1]
+    place = training.feature_columns(planted).index("uses_ios")
+    assert tree.depth == 1 and tree.numNodes == 3
+    assert f"If (feature {place} <= 0.5)" in tree.toDebugString
+
+
+def test_planted_label_is_learned_by_every_classifier(planted):
+    rows = {r.classifier: r for r in training.compare(planted, (*training.CLASSIFIERS, "mlp")).collect()}
+    assert list(rows) == [*training.CLASSIFIERS, "mlp"]
+    for kind in training.CLASSIFIERS:
+        assert rows[kind].accuracy == rows[kind].f1_churn == 1
+    assert rows["mlp"].accuracy >= 0.9
+
+
+@pytest.mark.parametrize("answer", [0.0, 1.0])
+def test_constant_model_would_show(spark, planted, monkeypatch, answer):
+    class Constant:
+        def fit(self, rows):
+            return self
+
+        def transform(self, rows):
+            return rows.withColumn("prediction", F.lit(answer))
+
+    expected = training.compare(planted, ("dt",)).first()
+    monkeypatch.setattr(training, "classifier", lambda *args: Constant())
+    found = training.compare(planted, ("dt",)).first()
+    assert (found.fp, found.fn) != (0, 0) and found.accuracy < expected.accuracy == 1
+
+
+def test_fits_side_by_side_give_what_they_give_alone(planted):
+    together = training.compare(planted, ("lr", "rf", "dt")).collect()
+    assert together == training.compare(planted, ("lr", "rf", "dt"), parallelism=1).collect()
+
+
+def test_failed_fit_is_an_error(spark, planted):
+    with pytest.raises(Exception, match="classes"):
+        training.compare(planted.withColumn("churn", F.lit(0)), ("dt", "svc"))
