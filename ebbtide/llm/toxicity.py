@@ -59,59 +59,89 @@ TOP_WEIGHT = 6.0
 THRESHOLD = 0.7
 CACHE_ENTRIES = 500_000
 
-_EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 _INSIDE = re.compile(r"[\W_]+")
 _STRETCHED = re.compile(r"(.)\1{2,}")
 _SWAPS = str.maketrans(DISGUISES)
+_SWAPPED = frozenset(DISGUISES)
 
 
 class Reader:
     """Turns texts into features, with a bounded cache of what words are."""
 
     PLAIN, TOXIC, DISGUISED, ADDRESS, WEIGHTED = 1, 2, 3, 4, 5
+    NOTHING = (PLAIN, "", 0.0)
 
     def __init__(self, forms: tuple[tuple[str, float], ...]):
         self._lexicon, self._address = frozenset(INSULTS), frozenset(SECOND_PERSON)
         self._weights = dict(forms)
+        # What every learned word beginning starts with.
+        self._heads = frozenset(form[: STEMS[0]] for form, _ in forms if form.endswith("*"))
         self._known: dict[str, tuple[int, str, float]] = {}
+        self._letters: dict[str, str] = {}
+
+    def forget(self) -> None:
+        """Empties the caches, which only spare work."""
+        self._known.clear()
+        self._letters.clear()
 
     def _weight(self, word: str) -> float:
         get = self._weights.get
+        if word[: STEMS[0]] not in self._heads:
+            return get(word, 0.0)
         return max([get(word, 0.0), *[get(word[:n] + "*", 0.0) for n in STEMS if len(word) >= n]])
 
     def _new(self, word: str) -> tuple[int, str, float]:
-        plain = _EDGES.sub("", word.lower())
+        lower = word.lower()
+        plain = lower if lower.isalnum() else _trimmed(lower)
         weight = self._weight(plain)
         if plain in self._lexicon:
             found = (self.TOXIC, plain, max(weight, TOP_WEIGHT / 2))
         elif weight:
             found = (self.WEIGHTED, plain, weight)
-        elif plain in self._address or _INSIDE.sub("", plain) in self._address:
+        elif plain in self._address or not plain.isalnum() and _INSIDE.sub("", plain) in self._address:
             found = (self.ADDRESS, plain, 0.0)
-        elif hidden := self._hidden(word.lower()):
+        elif hidden := self._hidden(lower, plain):
             found = (self.DISGUISED, hidden, TOP_WEIGHT / 2)
         else:
-            found = (self.PLAIN, "", 0.0)
+            found = self.NOTHING
         if len(word) <= 64:
             if len(self._known) >= CACHE_ENTRIES:
                 self._known.clear()
             self._known[word] = found
         return found
 
-    def _hidden(self, word: str) -> str:
-        for text in (_EDGES.sub("", word), word):
-            for swapped in (text, text.translate(_SWAPS)):
-                bare = _INSIDE.sub("", swapped)
-                for form in (bare, _STRETCHED.sub(r"\1", bare), _STRETCHED.sub(r"\1\1", bare)):
+    def _hidden(self, word: str, plain: str) -> str:
+        """The insult that ``word`` (in lower case; ``plain`` without its edges) is a disguise of."""
+        texts = [plain]
+        if not _SWAPPED.isdisjoint(word):
+            texts += [plain.translate(_SWAPS), word.translate(_SWAPS)]
+        for text in texts:
+            bare = text if text.isalnum() else _INSIDE.sub("", text)
+            if bare in self._lexicon:
+                return bare
+            if _STRETCHED.search(bare):
+                for form in (_STRETCHED.sub(r"\1", bare), _STRETCHED.sub(r"\1\1", bare)):
                     if form in self._lexicon:
                         return form
         return ""
 
+    def _letter(self, word: str) -> str:
+        """``word`` in lower case without its edges."""
+        if len(self._letters) >= CACHE_ENTRIES:
+            self._letters.clear()
+        found = self._letters[word] = _trimmed(word.lower())
+        return found
+
     def _spelt(self, words: list[str]) -> list[str]:
         """Insults written letter by letter."""
-        out, run = [], []
+        out, run, get = [], [], self._letters.get
         for word in [*words, ""]:
-            letter = _EDGES.sub("", word.lower()) if len(word) <= 3 else ""
+            if len(word) > 3:
+                if not run:
+                    continue
+                letter = ""
+            elif (letter := get(word)) is None:
+                letter = self._letter(word)
             if len(letter) == 1:
                 run.append(letter)
                 continue
@@ -133,7 +163,7 @@ class Reader:
         weighted = [form for _, _, form, weight in marked if weight]
         disguised = sum(kind == self.DISGUISED for _, kind, _, _ in marked)
         address = [k for k, kind, _, _ in marked if kind == self.ADDRESS]
-        spelt = self._spelt(words) if sum(len(word) == 1 for word in words) >= 3 else []
+        spelt = self._spelt(words) if list(map(len, words)).count(1) >= 3 else []
         near, at = 0, 0
         for k, _ in bad:
             while at < len(address) and address[at] < k - NEAR:
@@ -153,11 +183,21 @@ class Reader:
         ]
 
 
+def _trimmed(word: str) -> str:
+    """``word`` without what stands at its edges and is no letter or digit."""
+    first, last = 0, len(word)
+    while last and not word[last - 1].isalnum():
+        last -= 1
+    while first < last and not word[first].isalnum():
+        first += 1
+    return word[first:last]
+
+
 _NO_LETTERS = {c: None for c in (*range(65, 91), *range(97, 123))}
 _NO_CAPITALS = {c: None for c in range(65, 91)}
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _reader(forms: tuple[tuple[str, float], ...]) -> Reader:
     return Reader(forms)
 
@@ -207,10 +247,13 @@ def with_features(docs: DataFrame, forms: tuple[tuple[str, float], ...], text_co
     place = docs.columns.index(text_col)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = _reader(forms).features
-        for batch in batches:
-            found = pa.array([features(text.as_py()) for text in batch.column(place)], pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*batch.schema.names, name])
+        reader = _reader(forms)
+        try:
+            for batch in batches:
+                found = pa.array([reader.features(text.as_py()) for text in batch.column(place)], pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*batch.schema.names, name])
+        finally:  # the worker goes on to other stages, which need its memory
+            reader.forget()
 
     schema = StructType([*docs.schema.fields, StructField(name, ArrayType(DoubleType()))])
     return arrow_map(docs, read, schema)

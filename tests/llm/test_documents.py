@@ -125,6 +125,30 @@ def test_toxicity_features():
     assert of("a calm sentence")["hits"] == 0
 
 
+def test_plain_words_share_one_entry():
+    reader = toxicity.Reader((("grumble*", 2.0),))
+    assert reader.features("a calm, quiet sentence. (x) 4 3,5 sooo")[0] == 0
+    assert len({id(kind) for kind in reader._known.values()}) == 1 and len(reader._known) == 8
+    assert [reader._new(w)[:2] for w in ("_Idiot_", "!d!0t", "iddddiot", "i-d-1-o-t", "$hit", "y.o.u", "grumbling")] == [
+        (reader.TOXIC, "idiot"), (reader.DISGUISED, "idiot"), (reader.DISGUISED, "idiot"), (reader.DISGUISED, "idiot"),
+        (reader.DISGUISED, "shit"), (reader.ADDRESS, "y.o.u"), (reader.PLAIN, ""),
+    ]
+
+
+def test_worker_keeps_no_words_after_its_task(spark):
+    forms = (("grumble*", 2.0),)
+    docs = spark.createDataFrame([(k, f"some words {k} here") for k in range(200)], "doc_id long, text string").coalesce(1)
+
+    def known(batches):
+        import pyarrow as pa
+
+        list(batches)
+        yield pa.RecordBatch.from_arrays([pa.array([len(toxicity._reader(forms)._known)], pa.int64())], names=["n"])
+
+    assert toxicity.with_features(docs, forms, "text", "features").agg(F.max("features")).count() == 1
+    assert [r["n"] for r in docs.mapInArrow(known, "n long").collect()] == [0]
+
+
 def test_every_learned_form_is_kept(spark):
     letters = "abcdefghij"
     vocabulary = [f"{a}{b}{c}" for a in letters for b in letters for c in letters][:600]
