@@ -56,6 +56,7 @@ CELLS_A_ROW = 4096
 LEVELS = 4  # an octave
 SKETCH_BITS = 2048
 BATCH_BYTES = 8_000_000
+SEEN_NODES = 200_000
 
 
 def shingles(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
@@ -203,15 +204,23 @@ def _sketch(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(bits).view(np.int64)
 
 
-def _token_sets(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """node, tokens of the wanted nodes: recomputed from the texts of the rows that may hold them."""
+def _token_sets(texts: DataFrame, wanted: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
+    """at, node, tokens recomputed from the texts of the rows that may hold wanted nodes, as a table; and
+    (node, at): one of these rows for each wanted node. Sets are not shuffled to tell their copies apart."""
     import pyarrow as pa
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int | None] = {None}
         for batch in batches:
             nodes, found, held = [], [], 0
             for got in _sets_of(batch.column(0), size):
-                nodes.append(_node(got))
+                node = _node(got)
+                if node in seen:  # most copies in one task are one row
+                    continue
+                if len(seen) > SEEN_NODES:
+                    seen = {None}
+                seen.add(node)
+                nodes.append(node)
                 found.append(got.view(np.int64))
                 held += got.nbytes
                 if held > BATCH_BYTES:
@@ -229,11 +238,22 @@ def _token_sets(texts: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
     near = maybe_in(texts, "id", wanted).select("text")
     sets = arrow_map(near, tokens, "node long, tokens array<long>")
-    return sets.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
+    sets = written(sets.select(F.monotonically_increasing_id().alias("at"), "node", "tokens"), "token-sets", "lz4")
+    one = sets.select("node", "at").join(wanted.select("node"), "node", "left_semi").groupBy("node").agg(F.min("at").alias("at"))
+    return sets, written(one, "token-rows")
 
 
-def _shared(sets: DataFrame) -> DataFrame:
-    """signature, node, n, rest, weight for signatures of two nodes or more.
+def _can_link(percent: int) -> Column:
+    """Whether a member can link with another of its signature (``nodes`` of them, least and largest
+    ``n``, sums of ``n`` and ``rest``): of two, with the other one, else with one as small as the least."""
+    other_n, other_rest = F.col("sum_n") - F.col("n"), F.col("sum_rest") - F.col("rest")
+    enough = lambda rest, n: (100 + percent) * rest >= percent * (F.col("n") + n)
+    of_two = (100 * F.least("n", other_n) >= percent * F.greatest("n", other_n)) & enough(F.least("rest", other_rest), other_n)
+    return F.when(F.col("nodes") == 2, of_two).otherwise(enough(F.col("rest"), F.col("least_n")))
+
+
+def _shared(sets: DataFrame, percent: int) -> DataFrame:
+    """signature, node, n, rest, weight for signatures of two nodes or more, of members that can link there.
 
     ``weight`` is the number of these signatures that a node has per token: most for an original.
     """
@@ -258,12 +278,11 @@ def _shared(sets: DataFrame) -> DataFrame:
             )
 
     maybe = written(arrow_map(found, rows, "signature long, node long, n long, rest int").distinct(), "maybe-members")
-    several = (
-        maybe.groupBy("signature").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-        .where("low < high").select("signature")
+    several = maybe.groupBy("signature").agg(
+        F.count(F.lit(1)).alias("nodes"), F.min("n").alias("least_n"), F.sum("n").alias("sum_n"), F.sum("rest").alias("sum_rest")
     )
-    several = written(several, "shared-signatures")
-    members = written(maybe.join(several, "signature", "left_semi"), "members")
+    several = written(several.where("nodes > 1"), "shared-signatures")
+    members = written(maybe.join(several, "signature").where(_can_link(percent)).select(maybe.columns), "members")
     dropped(maybe, several)
     weights = written(members.groupBy("node").agg((F.count(F.lit(1)) / F.max("n")).alias("weight")), "weights")
     weighted = written(members.join(weights, "node"), "weighted-members")
@@ -312,14 +331,17 @@ def _plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return joined.where(near("a", "b") & near("b", "a")).select("a", "b")
 
 
-def _verified(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
-    """The pairs that link, from their whole sets."""
-    of_a = tokens.select(F.col("node").alias("a"), F.col("tokens").alias("tokens_a"))
-    of_b = tokens.select(F.col("node").alias("b"), F.col("tokens").alias("tokens_b"))
-    joined = pairs.join(of_a, "a").join(of_b, "b")
+def _verified(pairs: DataFrame, tokens: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """The pairs that link, from their whole sets: those that ``rows`` names of ``tokens``."""
+    side = lambda c: rows.select(F.col("node").alias(c), F.col("at").alias(f"at_{c}"))
+    set_of = lambda c: tokens.select(F.col("at").alias(f"at_{c}"), F.col("tokens").alias(f"tokens_{c}"))
+    placed = written(pairs.join(side("a"), "a").join(side("b"), "b"), "placed-pairs")
+    joined = placed.join(set_of("a"), "at_a").join(set_of("b"), "at_b")
     common = F.size(F.array_intersect("tokens_a", "tokens_b"))
     union = F.size("tokens_a") + F.size("tokens_b") - common
-    return joined.where(100 * common >= percent * union).select("a", "b")
+    found = written(joined.where(100 * common >= percent * union).select("a", "b"), "links")
+    dropped(placed)
+    return found
 
 
 def _links_of(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -327,9 +349,9 @@ def _links_of(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, p
     plausible = written(_plausible(pairs, nodes, percent), "plausible")
     ends = plausible.select(F.col("a").alias("node")).unionByName(plausible.select(F.col("b").alias("node"))).distinct()
     wanted = written(nodes.select("node", "id").join(ends, "node", "left_semi"), "wanted")
-    tokens = written(_token_sets(texts, wanted, size), "token-sets", "lz4")
-    found = written(_verified(plausible, tokens, percent), "links")
-    dropped(plausible, wanted, tokens)
+    tokens, rows = _token_sets(texts, wanted, size)
+    found = _verified(plausible, tokens, rows, percent)
+    dropped(plausible, wanted, tokens, rows)
     return found
 
 
@@ -356,7 +378,7 @@ def links(texts: DataFrame, sets: DataFrame, size: int, percent: int) -> tuple[D
     """Verified links (a, b) between nodes that give the components, these (node, root), and what is
     left of ``sets`` (id, node, n). Tables are dropped as soon as nothing reads them any more."""
     spark = texts.sparkSession
-    members = _shared(sets)
+    members = _shared(sets, percent)
     nodes = written(
         sets.join(members.select("node").distinct(), "node", "left_semi")
         .groupBy("node").agg(F.min("id").alias("id"), F.max("n").alias("n"), F.max("sketch").alias("sketch")),

@@ -197,3 +197,48 @@ def test_word_hashes_follow_the_words():
                 assert names.setdefault(w, h) == h and back.setdefault(h, w) == w
         whole = split_hashes([b" ".join(texts)], lower)[0]
         assert whole.tolist() == [names[w] for ws in plain for w in ws]
+
+
+def chosen_sets(spark, docs, monkeypatch):
+    """Runs the join; what it handed on for comparison: rows of whole sets, and member rows."""
+    seen = {"sets": [], "members": [], "kinds": []}
+    token_sets, shared = ngram_join._token_sets, ngram_join._shared
+
+    def watched(*args):
+        sets, rows = token_sets(*args)
+        seen["sets"].append((sets._jdf.queryExecution().toString(), rows.count(), rows.select("node").distinct().count()))
+        return sets, rows
+
+    def members(*args):
+        found = shared(*args)
+        seen["members"] += found.select("signature", "node", "n").collect()
+        return found
+
+    monkeypatch.setattr(ngram_join, "_token_sets", watched)
+    monkeypatch.setattr(ngram_join, "_shared", members)
+    found = rows(ngram_join.similar_sets(docs), "doc_id", "n_shingles", "component_id")
+    return found, seen
+
+
+def test_whole_sets_are_told_apart_without_a_shuffle(spark, monkeypatch):
+    docs = near_copies(spark, seed=11)
+    docs = docs.unionByName(docs).repartition(4)  # every node stands in several rows
+    found, seen = chosen_sets(spark, docs, monkeypatch)
+    assert found == sorted(brute.components(brute.pairs(docs)), key=brute.key)
+    assert seen["sets"]
+    for plan, n, distinct in seen["sets"]:
+        assert "Exchange" not in plan and n == distinct
+
+
+def test_members_that_cannot_link_are_left_out(spark, monkeypatch):
+    """Two sets that share a shingle by which they cannot link: one is far larger than the other."""
+    passage = " ".join(f"p{k}" for k in range(5))
+    large = " ".join(f"l{k}" for k in range(300))
+    near = [f"n{k}" for k in range(100)]
+    texts = [(k, f"{passage.replace('p', f'p{k}x')} s{k} t{k}") for k in range(20)]
+    texts += [(100 + k, f"{passage.replace('p', f'p{k}x')} {large.replace('l', f'l{k}x')}") for k in range(20)]
+    texts += [(200, " ".join(near)), (201, " ".join([*near[:99], "other"]))]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    found, seen = chosen_sets(spark, docs, monkeypatch)
+    assert found == sorted(brute.components(brute.pairs(docs)), key=brute.key)
+    assert {r["n"] for r in seen["members"]} == {96}
