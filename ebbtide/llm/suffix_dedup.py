@@ -123,12 +123,13 @@ class Stretch:
         return first - self.starts[doc], last - self.starts[doc], out
 
 
-def two_stage_order(data: np.ndarray, limit: int) -> np.ndarray:
+def two_stage_order(data: np.ndarray, limit: int, wanted: np.ndarray | None = None) -> np.ndarray:
     """The suffixes of ``data`` (uint8, ends with a 0 that is nowhere else) in order of their first ``limit`` bytes.
 
     A suffix is of type B when it is smaller than its successor, else of type A. Type B is sorted
     directly; scanning the buckets from the left, each suffix in place puts the type A suffix
-    before it at the front of its bucket.
+    before it at the front of its bucket. With ``wanted`` (a mask) only these suffixes are ordered, and
+    those that induce them: the ones after a type A suffix, up to the next of type B.
     """
     n = len(data)
     after = np.concatenate([data[1:], [0]]).astype(np.int16)
@@ -139,15 +140,24 @@ def two_stage_order(data: np.ndarray, limit: int) -> np.ndarray:
     smaller = np.zeros(n, bool)
     smaller[next_known < n] = difference[next_known[next_known < n]] < 0
     smaller[-1] = True  # the end
-    direct = np.flatnonzero(smaller)
+    if wanted is None:
+        wanted = needed = np.ones(n, bool)
+    else:
+        at = np.arange(n)
+        last_wanted = np.maximum.accumulate(np.where(wanted, at, -1))
+        last_direct = np.concatenate([[-1], np.maximum.accumulate(np.where(smaller, at, -1))[:-1]])
+        needed = last_wanted > last_direct
+        needed |= wanted
+    direct = np.flatnonzero(smaller & needed)
     direct = direct[_direct_order(data, direct, limit)]
-    return _induced(data, direct, smaller)
+    order = _induced(data, direct, smaller, needed)
+    return order[wanted[order]]
 
 
 def _words_at(padded: np.ndarray, starts: np.ndarray, offset: int) -> np.ndarray:
     """Eight bytes from each start as one big-endian number."""
-    view = np.lib.stride_tricks.sliding_window_view(padded, 8)
-    return np.ascontiguousarray(view[starts + offset]).view(">u8").ravel().astype(np.uint64)
+    eights = np.ndarray((len(padded) - 7,), "<u8", padded, 0, (1,))  # eight bytes from each byte on
+    return eights[starts + offset].byteswap()
 
 
 def _direct_order(data: np.ndarray, starts: np.ndarray, limit: int) -> np.ndarray:
@@ -176,13 +186,13 @@ def _direct_order(data: np.ndarray, starts: np.ndarray, limit: int) -> np.ndarra
     return order
 
 
-def _induced(data: np.ndarray, direct: np.ndarray, smaller: np.ndarray) -> np.ndarray:
-    """All suffixes in order, from the sorted type B ones."""
-    n = len(data)
-    counts = np.bincount(data, minlength=256)
+def _induced(data: np.ndarray, direct: np.ndarray, smaller: np.ndarray, needed: np.ndarray) -> np.ndarray:
+    """All needed suffixes in order, from the sorted type B ones."""
+    induced = needed & ~smaller
+    counts = np.bincount(data[needed], minlength=256)
     ends = np.cumsum(counts)
     heads = ends - counts
-    out = np.full(n, -1, np.int64)
+    out = np.full(int(ends[-1]), -1, np.int64)
     # Type B fills the back of its bucket, in its order.
     first = data[direct]
     within = np.zeros(len(direct), np.int64)
@@ -202,7 +212,7 @@ def _induced(data: np.ndarray, direct: np.ndarray, smaller: np.ndarray) -> np.nd
                 break
             found = block[:size] - 1
             found = found[found >= 0]
-            found = found[~smaller[found]]
+            found = found[induced[found]]
             targets = data[found]
             for target in np.unique(targets):
                 same = found[targets == target]
@@ -239,12 +249,11 @@ def repeated_strings(texts: list[bytes], owners: np.ndarray, length: int = LENGT
     raised = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8) + np.uint8(1)
     data[:] = raised
     data[starts + sizes] = 0
-    order = two_stage_order(data, length)
     text_of = np.repeat(np.arange(len(texts)), sizes + 1)
-    inside = order - starts[text_of[order]] + length <= sizes[text_of[order]]
-    order = order[inside]
-    if not len(order):
+    inside = np.arange(len(data)) - starts[text_of] + length <= sizes[text_of]
+    if not inside.any():
         return np.empty(0, np.int64), np.empty(0, np.int64)
+    order = two_stage_order(data, length, inside)
     group = np.cumsum(~common_prefixes(data, order, length)) - 1
     least = np.full(int(group[-1]) + 1, LAST)
     owner = owners[text_of[order]]

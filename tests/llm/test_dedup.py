@@ -199,6 +199,30 @@ def test_word_hashes_follow_the_words():
         assert whole.tolist() == [names[w] for ws in plain for w in ws]
 
 
+@pytest.mark.parametrize("letters", [2, 3, 200])
+def test_two_stage_order_sorts_only_what_is_wanted(letters):
+    rng = np.random.default_rng(letters)
+    for n in (1, 2, 30, 700):
+        data = np.concatenate([rng.integers(1, letters + 1, n), [0]]).astype(np.uint8)
+        whole = suffix_dedup.two_stage_order(data, n + 8)
+        for share in (0, 0.05, 0.5, 1):
+            wanted = rng.random(n + 1) < share
+            order = suffix_dedup.two_stage_order(data, n + 8, wanted)
+            assert order.tolist() == [k for k in whole.tolist() if wanted[k]]
+
+
+def test_suffixes_that_run_over_an_end_are_not_sorted(monkeypatch):
+    """Of contexts of 74 bytes, 25 suffixes are long enough; the others are sorted where they induce one."""
+    rng = np.random.default_rng(2)
+    texts = [rng.integers(97, 123, 74).astype(np.uint8).tobytes() for _ in range(300)]
+    texts += [b"XY" + text[3:60] + b"ZZZ" for text in texts[:100]]
+    sorted_, original = [], suffix_dedup._direct_order
+    monkeypatch.setattr(suffix_dedup, "_direct_order", lambda d, s, n: sorted_.append(len(s)) or original(d, s, n))
+    found = suffix_dedup.repeated_strings(texts, np.arange(len(texts)))
+    assert set(zip(*map(np.ndarray.tolist, found))) == {(300 + t, 2 + k) for t in range(100) for k in range(8)}
+    assert sum(sorted_) < 0.3 * sum(map(len, texts))
+
+
 def chosen_sets(spark, docs, monkeypatch):
     """Runs the join; what it handed on for comparison: rows of whole sets, and member rows."""
     seen = {"sets": [], "members": [], "kinds": []}
