@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ebbtide.llm.bloom import FilterBits, hash_filter, marked
 from ebbtide.llm.common import arrow_map, id_and_text, type_name, written
-from ebbtide.llm.words import grouped, mixed, split_hashes
+from ebbtide.llm.words import grouped, joined_hashes, mixed
 
 WINDOW = 35
 BLOCK = 18
@@ -42,39 +42,67 @@ FLUSH_ROWS = 400_000
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
-def stretches(words: np.ndarray, size: int, step: int = 1) -> np.ndarray:
-    """Hashes of ``size`` words in a row, starting at every ``step``-th word."""
-    if len(words) < size:
+def _doubled(words: np.ndarray, size: int) -> list[np.ndarray]:
+    """Hashes of 1, 2, 4 ... words in a row, up to ``size``: each from two neighbours of the one before."""
+    keys, done = [words], 1
+    for _ in range(size.bit_length() - 1):
+        key = keys[-1]
+        keys.append(mixed(key[:-done] * MULTIPLIER + key[done:] * np.uint64(5)))
+        done *= 2
+    return keys
+
+
+def stretches(words: np.ndarray, size: int, starts: np.ndarray | None = None, keys: list[np.ndarray] | None = None) -> np.ndarray:
+    """Hashes of ``size`` words in a row, starting at every word (or at ``starts``); ``keys`` are doubled ones."""
+    n = len(words) - size + 1
+    if n <= 0:
         return np.empty(0, np.uint64)
-    # Doubling: the hash of 2k words from the hashes of two neighbours of k.
-    key, done, out, filled = words, 1, None, 0
+    keys, out, filled = keys or _doubled(words, size), None, 0
     for bit in range(size.bit_length()):
         if size >> bit & 1:
-            part = key[filled : filled + len(words) - size + 1]
+            part = keys[bit][filled : filled + n] if starts is None else keys[bit][starts + filled]
             out = part if out is None else mixed(out * MULTIPLIER + part * np.uint64(2 * bit + 3))
-            filled += done
-        if size >> (bit + 1):
-            key = mixed(key[:-done] * MULTIPLIER + key[done:] * np.uint64(5))
-            done *= 2
-    return out[::step]
+            filled += 1 << bit
+    return out
 
 
-def _hashes(texts_to: Callable[[np.ndarray], np.ndarray]) -> Callable[[Iterator], Iterator[np.ndarray]]:
-    """Hashes of the texts in batches, from their word hashes."""
-    return lambda batches: (
-        texts_to(words) for batch in batches for group in grouped(batch.column(0)) for words in split_hashes(group)
-    )
+class Words:
+    """The words of some texts one after the other, as hashes."""
 
+    def __init__(self, texts: list[bytes]):
+        self.words, self.ends = joined_hashes(texts)
+        sizes = np.diff(self.ends, prepend=0)
+        self.text = np.repeat(np.arange(len(sizes)), sizes)
+        self.offset = np.arange(len(self.words)) - np.repeat(self.ends - sizes, sizes)
+        self.left = np.repeat(sizes, sizes) - self.offset
 
-def candidate_windows(words: np.ndarray, anchors: FilterBits, block: int, window: int) -> np.ndarray:
-    """Starts of the windows that hold a stretch which may be an anchor."""
-    n = len(words) - window + 1
-    if n <= 0:
-        return np.empty(0, np.int64)
-    hit = anchors.may_hold(stretches(words, block))
+    def inside(self, size: int) -> np.ndarray:
+        """For each start of ``size`` words in a row whether they are of one text."""
+        return self.left[: max(0, len(self.words) - size + 1)] >= size
+
+    def blocks(self, size: int) -> np.ndarray:
+        """For each start of ``size`` words whether they are a block of their text."""
+        whole = self.inside(size)
+        return whole & (self.offset[: len(whole)] % size == 0)
+
+
+def _hashes(found_in: Callable[[Words], np.ndarray]) -> Callable[[Iterator], Iterator[np.ndarray]]:
+    """Hashes of the texts in batches, some texts at a time."""
+    return lambda batches: (found_in(Words(group)) for batch in batches for group in grouped(batch.column(0)))
+
+
+def candidate_windows(texts: Words, anchors: FilterBits, block: int, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and hashes of the windows that hold a stretch which may be an anchor."""
+    whole = texts.inside(window)
+    n = len(whole)
+    if not n:
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    keys = _doubled(texts.words, window)
+    hit = anchors.may_hold(stretches(texts.words, block, keys=keys))
     sums = np.concatenate([[0], np.cumsum(hit)])
     # A window from i holds the stretches from i to i + window - block.
-    return np.flatnonzero(sums[window - block + 1 : window - block + 1 + n] - sums[:n])
+    found = np.flatnonzero((sums[window - block + 1 : window - block + 1 + n] > sums[:n]) & whole)
+    return found, stretches(texts.words, window, found, keys)
 
 
 def repeated_windows(texts: DataFrame, window: int = WINDOW, block: int = BLOCK) -> DataFrame:
@@ -83,31 +111,32 @@ def repeated_windows(texts: DataFrame, window: int = WINDOW, block: int = BLOCK)
 
     if window < 2 * block - 1:
         raise ValueError("a window must hold a whole block wherever it lies")
-    index = hash_filter(texts.select("text"), _hashes(lambda words: stretches(words, block, block)))
+    def blocks(texts: Words) -> np.ndarray:
+        return stretches(texts.words, block, np.flatnonzero(texts.blocks(block)))
+
+    index = hash_filter(texts.select("text"), _hashes(blocks))
 
-    def probes(words: np.ndarray) -> np.ndarray:
-        found = stretches(words, block)
-        keep = index.value.may_hold(found)
-        keep[::block] = True
-        return found[keep]
+    def probes(texts: Words) -> np.ndarray:
+        found = stretches(texts.words, block)
+        return found[(index.value.may_hold(found) | texts.blocks(block)) & texts.inside(block)]
 
     anchors = hash_filter(texts.select("text"), _hashes(probes), least=2)
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, starts, hashes, size = [], [], [], 0
-            for k, words in enumerate(w for group in grouped(batch.column(0)) for w in split_hashes(group)):
-                found = candidate_windows(words, anchors.value, block, window)
-                if not len(found):
-                    continue
-                at.append(np.full(len(found), k))
-                starts.append(found)
-                hashes.append(stretches(words, window)[found])
+            at, starts, hashes, size, passed = [], [], [], 0, 0
+            for group in grouped(batch.column(0)):
+                some = Words(group)
+                found, keys = candidate_windows(some, anchors.value, block, window)
+                at.append(some.text[found] + passed)
+                starts.append(some.offset[found])
+                hashes.append(keys)
                 size += len(found)
+                passed += len(group)
                 if size > FLUSH_ROWS:
                     yield _rows(batch, at, starts, hashes)
                     at, starts, hashes, size = [], [], [], 0
-            if at:
+            if size:
                 yield _rows(batch, at, starts, hashes)
 
     def _rows(batch, at, starts, hashes):

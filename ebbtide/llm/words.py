@@ -114,8 +114,8 @@ def _stretches(text: bytes) -> Iterator[bytes]:
 _AFTER_BLANK = re.compile(rb"[\x20\x09-\x0D]").search
 
 
-def split_hashes(texts: list[bytes], lower: bool = False) -> list[np.ndarray]:
-    """For each text the hashes of its words, which end at blanks; ``lower`` takes A-Z as a-z.
+def joined_hashes(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of the words of all texts, which end at blanks, and where each text's end; ``lower`` takes A-Z as a-z.
 
     A word's hash mixes its length and its bytes, eight at a time, each step one to one; no family of
     words is known to collide. Words of more than ``LONG_WORD`` bytes are hashed whole. A long text is
@@ -123,12 +123,18 @@ def split_hashes(texts: list[bytes], lower: bool = False) -> list[np.ndarray]:
     longest word.
     """
     if not texts:
-        return []
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
     if len(texts) == 1:
-        return [np.concatenate([_hashes_of(part, lower)[1] for part in _stretches(texts[0])])]
+        found = np.concatenate([_hashes_of(part, lower)[1] for part in _stretches(texts[0])])
+        return found, np.array([len(found)])
     starts, found = _hashes_of(b" ".join(texts), lower)
-    ends_of_texts = np.cumsum([len(text) + 1 for text in texts])
-    return np.split(found, np.searchsorted(starts, ends_of_texts[:-1]))
+    return found, np.searchsorted(starts, np.cumsum([len(text) + 1 for text in texts]))
+
+
+def split_hashes(texts: list[bytes], lower: bool = False) -> list[np.ndarray]:
+    """For each text the hashes of its words, as ``joined_hashes`` gives them."""
+    found, ends = joined_hashes(texts, lower)
+    return np.split(found, ends[:-1]) if texts else []
 
 
 def grouped(column) -> Iterator[list[bytes]]:

@@ -266,3 +266,18 @@ def test_members_that_cannot_link_are_left_out(spark, monkeypatch):
     found, seen = chosen_sets(spark, docs, monkeypatch)
     assert found == sorted(brute.components(brute.pairs(docs)), key=brute.key)
     assert {r["n"] for r in seen["members"]} == {96}
+
+
+def test_words_of_many_texts_are_hashed_together(monkeypatch):
+    """Windows are those of each text; the hashing is called for groups of texts, not for each."""
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice("abcdefgh") for _ in range(rng.choice([0, 1, 17, 18, 34, 35, 36, 90]))).encode() for _ in range(200)]
+    some, plain = substring_dedup.Words(texts), [text.split() for text in texts]
+    for size in (18, 35):
+        starts = [(t, k) for t, words in enumerate(plain) for k in range(len(words) - size + 1)]
+        at = np.flatnonzero(some.inside(size))
+        assert list(zip(some.text[at].tolist(), some.offset[at].tolist())) == starts
+        alone = np.concatenate([substring_dedup.stretches(words, size) for words in split_hashes(texts)])
+        assert (substring_dedup.stretches(some.words, size)[at] == alone).all()
+        blocks = np.flatnonzero(some.blocks(size))
+        assert list(zip(some.text[blocks].tolist(), some.offset[blocks].tolist())) == [s for s in starts if s[1] % size == 0]
