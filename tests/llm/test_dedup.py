@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ebbtide.llm import exact_dedup, ngram_join, substring_dedup, suffix_dedup
+from ebbtide.llm import common, exact_dedup, ngram_join, substring_dedup, suffix_dedup
 from ebbtide.llm.graph import components
 from ebbtide.llm.words import split_hashes
 from tests.llm import brute
@@ -268,6 +268,15 @@ def test_members_that_cannot_link_are_left_out(spark, monkeypatch):
     assert {r["n"] for r in seen["members"]} == {96}
 
 
+def test_memory_goes_back_at_the_end_of_a_task(monkeypatch):
+    import pyarrow as pa
+
+    calls = []
+    pool = type("Pool", (), {"release_unused": lambda self: calls.append("released")})()
+    monkeypatch.setattr(pa, "default_memory_pool", lambda: pool)
+    assert list(common.releasing(lambda batches: (2 * b for b in batches))([1, 2])) == [2, 4] and calls == ["released"]
+
+
 def test_words_of_many_texts_are_hashed_together(monkeypatch):
     """Windows are those of each text; the hashing is called for groups of texts, not for each."""
     rng = random.Random(3)
