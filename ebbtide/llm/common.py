@@ -7,12 +7,15 @@ import os
 import shutil
 import tempfile
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.session import drop_table, scratch_path
 
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4_000_000  # of rows on their way to a Python worker
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -20,10 +23,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs inside send rows to Python workers in batches of some megabytes, unless the session has a bound of its own.
+
+    Ten thousand texts, the default, lie in the JVM's buffers and in the worker at once, on the way there
+    and back. A row is never cut, and no result depends on where batches end.
+    """
+    if spark.conf.get(ARROW_BYTES, None) is not None:
+        yield
+        return
+    spark.conf.set(ARROW_BYTES, BATCH_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.unset(ARROW_BYTES)
+
+
 def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """``df`` as a Parquet table in the shared folder: what follows never recomputes it."""
     path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", compression).parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

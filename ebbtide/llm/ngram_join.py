@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbtide.llm.bloom import hash_filter, marked, maybe_in
-from ebbtide.llm.common import arrow_map, dropped, free_name, id_and_text, type_name, written
+from ebbtide.llm.common import arrow_map, dropped, free_name, id_and_text, small_batches, type_name, written
 from ebbtide.llm.graph import components
 from ebbtide.llm.words import grouped, mixed, split_hashes
 
@@ -147,7 +147,9 @@ def _counters(texts: DataFrame, size: int) -> np.ndarray:
     schema = "row long, cells binary"
     counted = arrow_map(texts, count, schema).repartition("row")
     cells = np.zeros((1 << CELL_BITS) // CELLS_A_ROW * CELLS_A_ROW, np.int64).reshape(-1, CELLS_A_ROW)
-    for row in arrow_map(counted, add, schema).collect():  # bounded by the number of cells
+    with small_batches(texts.sparkSession):
+        rows = arrow_map(counted, add, schema).collect()  # bounded by the number of cells
+    for row in rows:
         cells[row["row"]] = np.frombuffer(row["cells"], np.int64)
     return cells.ravel()
 

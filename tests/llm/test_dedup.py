@@ -277,6 +277,34 @@ def test_memory_goes_back_at_the_end_of_a_task(monkeypatch):
     assert list(common.releasing(lambda batches: (2 * b for b in batches))([1, 2])) == [2, 4] and calls == ["released"]
 
 
+def test_rows_go_to_python_workers_in_small_batches(spark):
+    """Batches of a written table are bounded in bytes, one row at least; a session's own bound stays."""
+    import pyarrow as pa
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    def written_sizes(rows):
+        found = common.written(common.arrow_map(rows, sizes, "n long"), "sizes").collect()
+        assert sum(r["n"] for r in found) == rows.count()
+        return max(r["n"] for r in found)
+
+    texts = spark.range(0, 1000, 1, 1).select(F.repeat(F.lit("x"), 50_000).alias("text"))
+    assert spark.conf.get(common.ARROW_BYTES, None) is None
+    assert written_sizes(texts) * 50_000 <= common.BATCH_BYTES + 50_000
+    assert written_sizes(spark.range(0, 3, 1, 1).select(F.repeat(F.lit("x"), 5_000_000))) == 1
+    assert spark.conf.get(common.ARROW_BYTES, None) is None
+    with pytest.raises(ZeroDivisionError), common.small_batches(spark):
+        1 / 0
+    assert spark.conf.get(common.ARROW_BYTES, None) is None
+    spark.conf.set(common.ARROW_BYTES, 100_000)
+    try:
+        assert written_sizes(texts) <= 2 and spark.conf.get(common.ARROW_BYTES) == "100000"
+    finally:
+        spark.conf.unset(common.ARROW_BYTES)
+
+
 def test_words_of_many_texts_are_hashed_together(monkeypatch):
     """Windows are those of each text; the hashing is called for groups of texts, not for each."""
     rng = random.Random(3)
