@@ -134,15 +134,13 @@ def _counters(texts: DataFrame, size: int) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for row, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                got = np.frombuffer(data, np.int64)
+                got = np.frombuffer(data, f"u{len(data) // CELLS_A_ROW}").astype(np.int64)
                 sums[row] = sums[row] + got if row in sums else got
         yield _cell_rows(sums)
 
     def _cell_rows(rows):
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(rows), pa.int64()), pa.array([row.tobytes() for row in rows.values()], pa.binary())],
-            names=["row", "cells"],
-        )
+        narrow = [row.astype(np.min_scalar_type(row.max())).tobytes() for row in rows.values()]  # 1 to 8 bytes a cell
+        return pa.RecordBatch.from_arrays([pa.array(list(rows), pa.int64()), pa.array(narrow, pa.binary())], names=["row", "cells"])
 
     schema = "row long, cells binary"
     counted = arrow_map(texts, count, schema).repartition("row")
@@ -150,7 +148,7 @@ def _counters(texts: DataFrame, size: int) -> np.ndarray:
     with small_batches(texts.sparkSession):
         rows = arrow_map(counted, add, schema).collect()  # bounded by the number of cells
     for row in rows:
-        cells[row["row"]] = np.frombuffer(row["cells"], np.int64)
+        cells[row["row"]] = np.frombuffer(row["cells"], f"u{len(row['cells']) // CELLS_A_ROW}")
     return cells.ravel()
 
 
@@ -207,15 +205,17 @@ def _sketch(tokens: np.ndarray) -> np.ndarray:
 
 
 def _token_sets(texts: DataFrame, wanted: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
-    """at, node, tokens recomputed from the texts of the rows that may hold wanted nodes, as a table; and
-    (node, at): one of these rows for each wanted node. Sets are not shuffled to tell their copies apart."""
+    """at, node, text of the rows that may hold wanted nodes, as a table; and (node, at): one of these rows for
+    each wanted node. A set goes as its packed text, a fraction of its hashes. Texts are not shuffled to tell
+    copies apart."""
     import pyarrow as pa
 
-    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int | None] = {None}
         for batch in batches:
+            column = batch.column(0).cast("binary")
             nodes, found, held = [], [], 0
-            for got in _sets_of(batch.column(0), size):
+            for k, got in enumerate(_sets_of(column, size)):
                 node = _node(got)
                 if node in seen:  # most copies in one task are one row
                     continue
@@ -223,8 +223,8 @@ def _token_sets(texts: DataFrame, wanted: DataFrame, size: int) -> tuple[DataFra
                     seen = {None}
                 seen.add(node)
                 nodes.append(node)
-                found.append(got.view(np.int64))
-                held += got.nbytes
+                found.append(_packed(column[k].as_py()))
+                held += len(found[-1])
                 if held > BATCH_BYTES:
                     yield _rows(nodes, found)
                     nodes, found, held = [], [], 0
@@ -232,19 +232,27 @@ def _token_sets(texts: DataFrame, wanted: DataFrame, size: int) -> tuple[DataFra
                 yield _rows(nodes, found)
 
     def _rows(nodes, found):
-        ends = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found), pa.int64()))],
-            names=["node", "tokens"],
-        )
+        return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(found, pa.binary())], names=["node", "text"])
 
     near = maybe_in(texts, "id", wanted).select("text")
-    sets = arrow_map(near, tokens, "node long, tokens array<long>")
-    sets = written(sets.select(F.monotonically_increasing_id().alias("at"), "node", "tokens"), "token-sets", "lz4")
+    sets = arrow_map(near, packed, "node long, text binary")
+    sets = written(sets.select(F.monotonically_increasing_id().alias("at"), "node", "text"), "token-sets", "lz4")
     one = sets.select("node", "at").join(wanted.select("node"), "node", "left_semi").groupBy("node").agg(F.min("at").alias("at"))
     return sets, written(one, "token-rows")
 
 
+def _packed(text: bytes) -> bytes:
+    import pyarrow as pa
+
+    return len(text).to_bytes(8, "little") + pa.compress(text, codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes) -> bytes:
+    import pyarrow as pa
+
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+
+
 def _can_link(percent: int) -> Column:
     """Whether a member can link with another of its signature (``nodes`` of them, least and largest
     ``n``, sums of ``n`` and ``rest``): of two, with the other one, else with one as small as the least."""
@@ -333,27 +341,41 @@ def _plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return joined.where(near("a", "b") & near("b", "a")).select("a", "b")
 
 
-def _verified(pairs: DataFrame, tokens: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
-    """The pairs that link, from their whole sets: those that ``rows`` names of ``tokens``."""
+def _verified(pairs: DataFrame, packed: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs that link, from their whole sets: those of the texts that ``rows`` names of ``packed``."""
+    import pyarrow as pa
+
     side = lambda c: rows.select(F.col("node").alias(c), F.col("at").alias(f"at_{c}"))
-    set_of = lambda c: tokens.select(F.col("at").alias(f"at_{c}"), F.col("tokens").alias(f"tokens_{c}"))
+    text_of = lambda c: packed.select(F.col("at").alias(f"at_{c}"), F.col("text").alias(f"text_{c}"))
     placed = written(pairs.join(side("a"), "a").join(side("b"), "b"), "placed-pairs")
-    joined = placed.join(set_of("a"), "at_a").join(set_of("b"), "at_b")
-    common = F.size(F.array_intersect("tokens_a", "tokens_b"))
-    union = F.size("tokens_a") + F.size("tokens_b") - common
-    found = written(joined.where(100 * common >= percent * union).select("a", "b"), "links")
+    joined = placed.join(text_of("a"), "at_a").join(text_of("b"), "at_b").select("a", "b", "text_a", "text_b")
+
+    def sets_of(column) -> Iterator[np.ndarray]:
+        for data in column:
+            (words,) = split_hashes([_unpacked(data.as_py())], lower=True)
+            yield shingles(words, size)
+
+    def linking(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(sets_of(batch.column(2)), sets_of(batch.column(3))):
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(100 * common >= percent * (len(x) + len(y) - common))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    found = written(arrow_map(joined, linking, "a long, b long"), "links")
     dropped(placed)
     return found
 
 
 def _links_of(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs that link; sets are recomputed for the nodes of plausible pairs only, and dropped again."""
+    """The pairs that link; sets are recomputed from the texts of the nodes of plausible pairs only."""
     plausible = written(_plausible(pairs, nodes, percent), "plausible")
     ends = plausible.select(F.col("a").alias("node")).unionByName(plausible.select(F.col("b").alias("node"))).distinct()
     wanted = written(nodes.select("node", "id").join(ends, "node", "left_semi"), "wanted")
-    tokens, rows = _token_sets(texts, wanted, size)
-    found = _verified(plausible, tokens, rows, percent)
-    dropped(plausible, wanted, tokens, rows)
+    packed, rows = _token_sets(texts, wanted, size)
+    found = _verified(plausible, packed, rows, size, percent)
+    dropped(plausible, wanted, packed, rows)
     return found
 
 
@@ -408,12 +430,15 @@ def links(texts: DataFrame, sets: DataFrame, size: int, percent: int) -> tuple[D
         fresh = written(_pairs(ranked, heads, facing, percent).join(pairs, ["a", "b"], "left_anti"), "pairs")
         # A pivot has met every other member of its signature.
         members, held = ranked.where(F.col("rank") > pivots).select("signature", "node", "n", "rest", "weight"), ranked
+        pivots *= 4
+        if not fresh.take(1):  # nothing to verify, as in most late rounds
+            dropped(fresh)
+            continue
         pairs = pairs.unionByName(fresh)
         new = _links_of(fresh, nodes, texts, size, percent)
         if new.take(1):
             found = found.unionByName(new)
             labels = components(found)
-        pivots *= 4
 
 
 def similar_sets(

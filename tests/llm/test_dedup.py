@@ -318,3 +318,44 @@ def test_words_of_many_texts_are_hashed_together(monkeypatch):
         assert (substring_dedup.stretches(some.words, size)[at] == alone).all()
         blocks = np.flatnonzero(some.blocks(size))
         assert list(zip(some.text[blocks].tolist(), some.offset[blocks].tolist())) == [s for s in starts if s[1] % size == 0]
+
+
+def test_sets_travel_as_packed_texts(spark, monkeypatch):
+    """What is shuffled for a comparison is smaller than the hashes of the sets."""
+    sizes, token_sets = [], ngram_join._token_sets
+
+    def watched(*args):
+        packed, rows_ = token_sets(*args)
+        sizes.append(packed.selectExpr("sum(length(text))").first()[0])
+        return packed, rows_
+
+    monkeypatch.setattr(ngram_join, "_token_sets", watched)
+    rng = random.Random(4)
+    words = [[rng.choice(["of", "data", "language", "training", "é\x00 Model"]) for _ in range(3000)] for _ in range(4)]
+    texts = [(10 * k + c, " ".join(["Copy", str(c), *own])) for k, own in enumerate(words) for c in range(3)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    found = rows(ngram_join.similar_sets(docs), "doc_id", "n_shingles", "component_id")
+    assert found == sorted(brute.components(brute.pairs(docs)), key=brute.key)
+    assert 0 < sizes[0] < 0.5 * sum(8 * n for _, n, _ in found)
+
+
+def test_rounds_without_pairs_verify_nothing(spark, monkeypatch):
+    pairs, links_of = [], ngram_join._links_of
+
+    def watched(some, *args):
+        pairs.append(some.count())
+        return links_of(some, *args)
+
+    monkeypatch.setattr(ngram_join, "_links_of", watched)
+    docs = near_copies(spark, seed=5)
+    found = rows(ngram_join.similar_sets(docs), "doc_id", "n_shingles", "component_id")
+    assert found == sorted(brute.components(brute.pairs(docs)), key=brute.key)
+    assert all(pairs)
+
+
+def test_counters_of_any_width(spark):
+    """Cells are sent as narrow as their counts allow, and add up over tasks."""
+    texts = [(k, f"one two three four five{' x y z v w' if k % 3 else ''}") for k in range(70_000)] + [(-1, "some other words stand here")]
+    docs = spark.createDataFrame(texts, "id long, text string").repartition(3)
+    found = ngram_join._counters(docs, 5)
+    assert sorted(found[found > 0].tolist()) == [1, *[46_666] * 5, 70_000]
