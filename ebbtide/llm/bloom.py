@@ -1,8 +1,9 @@
 """A filter of bounded size over 64-bit hashes, made by Spark, tested in the JVM or with numpy.
 
-It has ``1 << (BLOCK_BITS + 15)`` bits (32 MB) whatever the input, in blocks of 4 KB; the leading
-bits of a hash name its bit. A fuller filter lets more rows through; what passes is always checked
-exactly by the caller.
+It has ``1 << (BLOCK_BITS + 15)`` bits (32 MB) at most, in blocks of 4 KB; the leading bits of a hash
+name its bit. Filters over the keys of a table have ``BITS_A_KEY`` bits a key up to that bound, so that
+few keys are not 32 MB in the driver. A fuller filter lets more rows through; what passes is always
+checked exactly by the caller.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from ebbtide.llm.common import arrow_map, dropped, free_name, written
 BLOCK_BITS = 13
 POSITION_BITS = 15
 BUCKET_BITS = 10
+BITS_A_KEY = 128
 FLUSH_ROWS = 2_000_000
 
 
@@ -35,15 +37,20 @@ class FilterBits:
         return (byte >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def _place(hashed: Column) -> tuple[Column, Column]:
-    block = F.shiftrightunsigned(hashed, 64 - BLOCK_BITS).cast("int")
-    position = F.shiftrightunsigned(hashed, 64 - BLOCK_BITS - POSITION_BITS).bitwiseAND((1 << POSITION_BITS) - 1)
+def _block_bits(keys: int) -> int:
+    """Leading bits of a hash that name its block, in a filter over so many keys."""
+    return min(BLOCK_BITS, max(1, (keys * BITS_A_KEY).bit_length() - POSITION_BITS))
+
+
+def _place(hashed: Column, block_bits: int) -> tuple[Column, Column]:
+    block = F.shiftrightunsigned(hashed, 64 - block_bits).cast("int")
+    position = F.shiftrightunsigned(hashed, 64 - block_bits - POSITION_BITS).bitwiseAND((1 << POSITION_BITS) - 1)
     return block, position
 
 
-def filter_blocks(hashes: DataFrame, hashed: Column) -> DataFrame:
-    """block, bits: the filter as a written table of at most ``1 << BLOCK_BITS`` rows."""
-    block, position = _place(hashed)
+def filter_blocks(hashes: DataFrame, hashed: Column, block_bits: int = BLOCK_BITS) -> DataFrame:
+    """block, bits: the filter as a written table of at most ``1 << block_bits`` rows."""
+    block, position = _place(hashed, block_bits)
     bits = hashes.select(block.alias("block"), position.alias("position")).groupBy("block").agg(
         F.bitmap_construct_agg("position").alias("bits")
     )
@@ -117,12 +124,13 @@ def hash_filter(rows: DataFrame, hashes_of: Callable[[Iterator], Iterable[np.nda
 def marked(rows: DataFrame, key: str, keys: DataFrame, flag: str = "maybe", hashed: bool = False) -> DataFrame:
     """``rows`` with ``flag``: false where the key is certainly not among ``keys`` (same column name).
 
-    ``hashed``: the key is a hash already.
+    ``hashed``: the key is a hash already. ``keys`` is counted first, so a written table is best.
     """
     mix = (lambda c: c) if hashed else F.xxhash64
     block, bits = free_name(rows.columns, "block"), free_name(rows.columns, "bits")
-    found = filter_blocks(keys, mix(F.col(key))).toDF(block, bits)
-    at, position = _place(mix(F.col(key)))
+    block_bits = _block_bits(keys.count())
+    found = filter_blocks(keys, mix(F.col(key)), block_bits).toDF(block, bits)
+    at, position = _place(mix(F.col(key)), block_bits)
     joined = rows.withColumn(block, at).join(F.broadcast(found), block, "left")
     byte = F.conv(F.hex(F.substring(F.col(bits), (position.bitwiseAND(~7) / 8 + 1).cast("int"), 1)), 16, 10).cast("int")
     test = F.call_function("getbit", byte, position.bitwiseAND(7).cast("int")) == 1

@@ -469,7 +469,7 @@ def drop_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     those that go are shuffled.
     """
     found = written(similar_sets(docs, id_col, text_col, **options), "similar")
-    gone = found.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
+    gone = written(found.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct(), "gone")
     flag = free_name(docs.columns, "maybe")
     near = marked(docs, id_col, gone, flag)
     stay = near.where(F.col(flag)).join(gone, id_col, "left_anti").select(*docs.columns)

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ebbtide.llm import common, exact_dedup, ngram_join, substring_dedup, suffix_dedup
+from ebbtide.llm import bloom, common, exact_dedup, ngram_join, substring_dedup, suffix_dedup
 from ebbtide.llm.graph import components
 from ebbtide.llm.words import split_hashes
 from tests.llm import brute
@@ -320,6 +320,24 @@ def test_words_of_many_texts_are_hashed_together(monkeypatch):
         assert list(zip(some.text[blocks].tolist(), some.offset[blocks].tolist())) == [s for s in starts if s[1] % size == 0]
 
 
+def test_filters_follow_the_number_of_keys(spark, monkeypatch):
+    """A filter over few keys is small; whatever its size, no key is missed, a null one included."""
+    sizes, original = [], bloom.filter_blocks
+
+    def watched(*args):
+        found = original(*args)
+        sizes.append(found.selectExpr("sum(length(bits))").first()[0] or 0)
+        return found
+
+    monkeypatch.setattr(bloom, "filter_blocks", watched)
+    rows_ = spark.range(30_000).select(F.when(F.col("id") > 0, F.col("id")).alias("key"))
+    for n in (0, 1, 700, 20_000):
+        found = bloom.marked(rows_, "key", rows_.where(F.coalesce("key", F.lit(0)) < n))
+        assert found.where(~F.col("maybe") & (F.coalesce("key", F.lit(0)) < n)).count() == 0
+        assert found.where("maybe").count() <= n + 0.02 * 30_000
+    assert sizes[0] == 0 and max(sizes) <= 512 * 1024
+
+
 def test_sets_travel_as_packed_texts(spark, monkeypatch):
     """What is shuffled for a comparison is smaller than the hashes of the sets."""
     sizes, token_sets = [], ngram_join._token_sets
