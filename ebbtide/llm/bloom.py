@@ -2,7 +2,8 @@
 
 It has ``1 << (BLOCK_BITS + 15)`` bits (32 MB) at most, in blocks of 4 KB; the leading bits of a hash
 name its bit. Filters over the keys of a table have ``BITS_A_KEY`` bits a key up to that bound, so that
-few keys are not 32 MB in the driver. A fuller filter lets more rows through; what passes is always
+few keys are not 32 MB in the driver; filters over hashes come to it as the places of their bits where
+these are few, some megabytes at a time. A fuller filter lets more rows through; what passes is always
 checked exactly by the caller.
 """
 
@@ -13,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ebbtide.llm.common import arrow_map, dropped, free_name, written
@@ -23,6 +24,7 @@ POSITION_BITS = 15
 BUCKET_BITS = 10
 BITS_A_KEY = 128
 FLUSH_ROWS = 2_000_000
+FETCH_BYTES = 4_000_000  # of a filter on its way to the driver
 
 
 @dataclass(frozen=True)
@@ -104,23 +106,42 @@ def hash_filter(rows: DataFrame, hashes_of: Callable[[Iterator], Iterable[np.nda
             if least > 1:
                 found.sort()
                 found = np.concatenate([found[1:][found[1:] == found[:-1]], *again.pop(bucket)])
-            flags = np.zeros(1 << bits_a_bucket, np.uint8)
-            flags[found >> np.uint32(32 - bits_a_bucket)] = 1
+            places = np.unique(found >> np.uint32(32 - bits_a_bucket))
+            if places.nbytes >= size:
+                flags = np.zeros(1 << bits_a_bucket, np.uint8)
+                flags[places] = 1
+                places = np.packbits(flags, bitorder="little")
             yield pa.RecordBatch.from_arrays(
-                [pa.array([bucket], pa.int64()), pa.array([np.packbits(flags, bitorder="little").tobytes()], pa.binary())],
-                names=["bucket", "bits"],
+                [pa.array([bucket], pa.int64()), pa.array([places.tobytes()], pa.binary())], names=["bucket", "bits"]
             )
 
     sent = arrow_map(rows, distinct, "bucket long, once binary, again binary").repartition("bucket")
     size = 1 << (bits_a_bucket - 3)
     data = np.zeros(size << BUCKET_BITS, np.uint8)
     stored = written(arrow_map(sent, bits, "bucket long, bits binary"), "filter")
-    for row in stored.toLocalIterator():
-        data[row["bucket"] * size : (row["bucket"] + 1) * size] = np.frombuffer(row["bits"], np.uint8)
+    for row in _fetched(stored):
+        own = data[row["bucket"] * size : (row["bucket"] + 1) * size]
+        if len(row["bits"]) == size:
+            own[:] = np.frombuffer(row["bits"], np.uint8)
+        else:  # fewer bytes: the places
+            places = np.frombuffer(row["bits"], np.uint32)
+            np.bitwise_or.at(own, places >> np.uint32(3), np.uint8(1) << (places & np.uint32(7)).astype(np.uint8))
     dropped(stored)
     return rows.sparkSession.sparkContext.broadcast(FilterBits(data))
 
 
+def _fetched(stored: DataFrame) -> Iterator[Row]:
+    """The rows of a filter, ``FETCH_BYTES`` at a time, however they lie in files."""
+    lengths = sorted(stored.select("bucket", F.length("bits")).collect())
+    edges, held = [], 0
+    for bucket, length in lengths:
+        if not edges or held + length > FETCH_BYTES:
+            edges, held = [*edges, bucket], 0
+        held += length
+    for low, high in zip(edges, [*edges[1:], 1 << BUCKET_BITS]):
+        yield from stored.where(F.col("bucket").between(low, high - 1)).collect()
+
+
 def marked(rows: DataFrame, key: str, keys: DataFrame, flag: str = "maybe", hashed: bool = False) -> DataFrame:
     """``rows`` with ``flag``: false where the key is certainly not among ``keys`` (same column name).
 

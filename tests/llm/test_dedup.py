@@ -377,3 +377,33 @@ def test_counters_of_any_width(spark):
     docs = spark.createDataFrame(texts, "id long, text string").repartition(3)
     found = ngram_join._counters(docs, 5)
     assert sorted(found[found > 0].tolist()) == [1, *[46_666] * 5, 70_000]
+
+
+@pytest.mark.parametrize("shift, size", [(54, 4 * 1024), (36, 32 * 1024), (50, 4 * 16_384)])
+def test_filters_over_hashes_come_in_pieces(spark, monkeypatch, shift, size):
+    """Few bits come as their places, many as they are, some bytes at a time; none is missing or false."""
+    sizes, fetched, original, collect = [], [], bloom.written, type(spark.range(0)).collect
+
+    def watched(*args):
+        found = original(*args)
+        sizes.append(found.selectExpr("sum(length(bits))").first()[0] or 0)
+        return found
+
+    def collected(frame):
+        got = collect(frame)
+        fetched.append(sum(len(r["bits"]) for r in got) if "bits" in frame.columns else 0)
+        return got
+
+    monkeypatch.setattr(bloom, "written", watched)
+    monkeypatch.setattr(bloom, "FETCH_BYTES", 1000, raising=False)
+    monkeypatch.setattr(type(spark.range(0)), "collect", collected)
+    n = 1024 if shift == 54 else 16_384  # in 1,024 buckets; in one; in 1,024 with 16 each
+    keys = spark.range(n).selectExpr(f"shiftleft(id, {shift}) AS key").repartition(3)
+    found = bloom.hash_filter(keys.unionByName(keys), lambda batches: (b.column(0).to_numpy().view(np.uint64) for b in batches), least=2)
+    held = found.value
+    assert held.may_hold(np.arange(n, dtype=np.uint64) << np.uint64(shift)).all()
+    assert np.unpackbits(held.data[held.data > 0]).sum() == n
+    assert sizes == [size] and sum(fetched) == size
+    assert max(fetched) <= (32 * 1024 if shift == 36 else 1000)
+    none = bloom.hash_filter(keys, lambda batches: (b.column(0).to_numpy().view(np.uint64) for b in batches), least=2)
+    assert not none.value.data.any() and sizes[1:] == [0]
